@@ -6,7 +6,7 @@ import importlib
 
 from sensorlens.plans.catalog import ORACLES, QUERIES, Query
 
-MODULES = ("reading", "understanding")
+MODULES = ("reading", "understanding", "preparing", "modelling")
 
 
 def _load() -> None:
