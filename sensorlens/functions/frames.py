@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -41,6 +42,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint: the rows survive the loss of executors."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame down once and go on from the written table.
+
+    For frames that several jobs read: the plan behind them runs once, the rows survive the
+    loss of executors, and as a columnar table later jobs read only the columns they need.
+    The table lies in the checkpoint folder and goes with it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

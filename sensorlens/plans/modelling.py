@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sensorlens.functions.frames import materialise
 from sensorlens.operators import evaluate, explain, model, prep, split
 from sensorlens.plans import workflow
 from sensorlens.plans.catalog import query
-from sensorlens.plans.tables import FEATURES, SCORED_SQL, XY_SQL, Y_SQL
+from sensorlens.plans.tables import FEATURES, SCORED_SQL, X_SQL, XY_SQL, Y_SQL
 from sensorlens.plans.tables import digest_sql, features_x, joined_xy, labels_y, rule_scored, table
 
 TEST = f"({digest_sql('id')} < '33333333')"
@@ -195,7 +196,7 @@ def _prepared(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, name, params=None, registry=model.CLASSIFIERS, label="faulty", scaling="standard"):
-    train, test = split.split_holdout(joined_xy(spark, sf_dir), label)
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), label)
     pre = prep.fit_numeric_preprocessor(train, FEATURES, prep.PreprocessConfig(scaling=scaling))
     estimators = model.build_estimators({name: params}, registry)
     return model.fit_models(pre, estimators, train, label)[name], train, test
@@ -243,7 +244,15 @@ def b57(spark, sf_dir):
     return _predictions(spark, sf_dir, "svm_classifier", {"maxIter": 20})
 
 
-@query("b58_naive_bayes_classifier")
+def _naive_bayes_sql() -> str:
+    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) as v_{c}" for c in FEATURES)
+    score = "ln(n / total)" + "".join(f" - 0.5 * ln(v_{c}) - ({c} - m_{c}) ** 2 / (2 * v_{c})" for c in FEATURES)
+    return f"""with xy as materialized (select * from {XY_SQL}),
+ g as (select faulty as cls, count(*)::double as n, sum(count(*)) over () as total, {fit} from xy where not {TEST} group by 1)
+ select id, faulty, arg_max(cls, {score})::double as prediction from xy, g where {TEST} group by 1, 2"""
+
+
+@query("b58_naive_bayes_classifier", _naive_bayes_sql())
 def b58(spark, sf_dir):
     return _predictions(spark, sf_dir, "naive_bayes_classifier")
 
@@ -256,21 +265,26 @@ def _linear_sql() -> str:
 
 @query("b60_linear_regression", _linear_sql())
 def b60(spark, sf_dir):
-    train, test = split.split_holdout(joined_xy(spark, sf_dir), "margin")
-    pre = prep.fit_numeric_preprocessor(train, ["price"])
-    fitted = model.fit_models(pre, model.build_estimators({"linear_regression": {}}, model.REGRESSORS), train, "margin")
-    return rounded(model.predict(fitted["linear_regression"], test, ["id", "margin"]), "prediction", digits=2)
+    fitted, _, test = _price_model(spark, sf_dir)
+    return rounded(model.predict(fitted, test, ["id", "margin"]), "prediction", digits=2)
 
 
 @query("b60_ridge_and_lasso")
 def b60_ridge(spark, sf_dir):
-    train, test = split.split_holdout(joined_xy(spark, sf_dir), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     chosen = model.build_estimators({"ridge_regression": {"alpha": 1.0}, "lasso_regression": {"alpha": 0.1}}, model.REGRESSORS)
     scored = model.score_models(model.fit_models(pre, chosen, train, "margin"), test, "margin")
     return evaluate.rank_regressors(evaluate.regression_scores(scored, by=["model", "model_ordinal"]))
 
 
+def _price_model(spark, sf_dir):
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    pre = prep.fit_numeric_preprocessor(train, ["price"])
+    chosen = model.build_estimators({"linear_regression": {}}, model.REGRESSORS)
+    return model.fit_models(pre, chosen, train, "margin")["linear_regression"], train, test
+
+
 @query("b61_polynomial_regression")
 def b61(spark, sf_dir):
     return _predictions(spark, sf_dir, "polynomial_regression", {"degree": 2}, model.REGRESSORS, "margin")
@@ -278,7 +292,7 @@ def b61(spark, sf_dir):
 
 @query("b62_tree_regressors")
 def b62(spark, sf_dir):
-    train, test = split.split_holdout(joined_xy(spark, sf_dir), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     chosen = model.build_estimators({"decision_tree_regressor": {"max_depth": 5},
                                      "random_forest_regressor": {"n_estimators": 20, "max_depth": 5}}, model.REGRESSORS)
@@ -292,7 +306,7 @@ def b63(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir, label):
-    train, _ = split.split_holdout(joined_xy(spark, sf_dir), label)
+    train, _ = split.split_holdout(materialise(joined_xy(spark, sf_dir)), label)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     return model.labelled(pre, train, label, ["id"])
 
@@ -327,12 +341,62 @@ def b66_folds(spark, sf_dir):
 
 @query("b67_probabilistic_regression")
 def b67(spark, sf_dir):
-    train, test = split.split_holdout(joined_xy(spark, sf_dir), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     linear = model.build_estimators({"linear_regression": {}}, model.REGRESSORS)["linear_regression"]
     return model.fit_probabilistic_regression(pre, linear, train, "margin").transform(test, ["id", "margin"])
 
 
+PRICE_FIT = f"(select regr_slope(margin, price) as b, regr_intercept(margin, price) as a from {XY_SQL} where not {TEST})"
+
+
+@query("b67_probabilistic_one_feature", f"""with f as {PRICE_FIT},
+ r as (select price, abs(margin - a - b * price) as miss from {XY_SQL}, f where not {TEST}),
+ g as (select regr_slope(miss, price) as d, regr_intercept(miss, price) as c, avg(miss) as typical from r)
+ select id, 'norm' as distribution, round(a + b * price, 2) as loc,
+ round(greatest((c + d * price) * sqrt(pi() / 2), typical / 1000), 2) as scale from {XY_SQL}, f, g where {TEST}""")
+def b67_one(spark, sf_dir):
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    pre = prep.fit_numeric_preprocessor(train, ["price"])
+    linear = model.build_estimators({"linear_regression": {}}, model.REGRESSORS)["linear_regression"]
+    fitted = model.fit_probabilistic_regression(pre, linear, train, "margin")
+    return rounded(fitted.transform(test, ["id"]), "loc", "scale", digits=2)
+
+
+@query("b69_coefficient_one_feature", f"""select 'price' as feature, round(b * s, 3) as coefficient, round(abs(b * s), 3) as magnitude
+ from {PRICE_FIT}, (select stddev_pop(price) as s from {XY_SQL} where not {TEST})""")
+def b69_one(spark, sf_dir):
+    fitted, _, _ = _price_model(spark, sf_dir)
+    return rounded(model.coefficients(fitted, ["price"]), "coefficient", "magnitude", digits=3)
+
+
+@query("b70_partial_dependence_line", f"""with f as {PRICE_FIT},
+ e as (select quantile_cont(price, 0.05) as lo, quantile_cont(price, 0.95) as hi, count(*) as n from {XY_SQL} where {TEST})
+ select 'price' as feature, round(lo + (hi - lo) * i / 49, 2) as grid_value, round(a + b * (lo + (hi - lo) * i / 49), 2) as mean_prediction, n
+ from f, e, range(50) r(i)""")
+def b70_line(spark, sf_dir):
+    fitted, _, test = _price_model(spark, sf_dir)
+    return rounded(explain.partial_dependence(fitted, test, ["price"]), "grid_value", "mean_prediction", digits=2)
+
+
+@query("b76_batch_scoring_line", f"""select id, round(a + b * price, 2) as prediction from {X_SQL}, {PRICE_FIT}""")
+def b76_line(spark, sf_dir):
+    fitted, _, _ = _price_model(spark, sf_dir)
+    return rounded(model.batch_scoring(fitted, features_x(spark, sf_dir)), "prediction", digits=2)
+
+
+@query("a64_shuffle_is_permutation", f"""select r.i::integer as repeat, count(*) as n_rows, round(sum(price), 0) as price_total, round(min(price), 2) as price_min,
+ round(max(price), 2) as price_max, 0 as unmoved from {XY_SQL}, range(3) r(i) group by 1""")
+def a64_shuffle(spark, sf_dir):
+    xy = joined_xy(spark, sf_dir)
+    copies = explain.shuffled_copies(xy, FEATURES, 3, 42, ["id"])
+    price = F.col("partner.price")
+    same = F.col("partner") == F.col("own")
+    return copies.groupBy("repeat").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum(price), 0).alias("price_total"), F.round(F.min(price), 2).alias("price_min"),
+        F.round(F.max(price), 2).alias("price_max"), F.count_if(same).cast("int").alias("unmoved"))
+
+
 @query("b69_coefficients")
 def b69(spark, sf_dir):
     fitted, _, _ = _fitted(spark, sf_dir, "linear_regression", {}, model.REGRESSORS, "margin")

@@ -452,6 +452,14 @@ def b24(spark, sf_dir):
     return clean.iterative_imputation(x_missing(spark, sf_dir), FEATURES, rounds=2)
 
 
+@query("b24_impute_by_regression", f"""with x as materialized (select id, qty, price from {X_MISSING_SQL}),
+ f as (select regr_slope(qty, price) as b, regr_intercept(qty, price) as a from x where qty is not null)
+ select id, round(coalesce(qty, a + b * price), 3) as qty, price from x, f""")
+def b24_line(spark, sf_dir):
+    x = x_missing(spark, sf_dir).select("id", "qty", "price")
+    return rounded(clean.iterative_imputation(x, ["qty", "price"], rounds=1, reg_param=0.0), "qty", digits=3)
+
+
 def _clipped_sql(lo: str, hi: str) -> str:
     stats = ", ".join(f"{lo.format(c=c)} as lo_{c}, {hi.format(c=c)} as hi_{c}" for c in ("qty", "price"))
     out = ", ".join(f"round(case when {c} is not null then greatest(least({c}, hi_{c}), lo_{c}) end, 6) as {c}" for c in ("qty", "price"))

@@ -1,7 +1,6 @@
 """The staged work on a feature table X and a label table Y, as plain compositions.
 
-Each stage is lazy until a fit or a report needs data. The joined frame is described by one
-plan; nothing is read twice for the sake of a stage.
+Each stage is lazy until a fit or a report needs data. X and Y are joined once for all stages.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
+from sensorlens.functions.frames import materialise
 from sensorlens.operators import evaluate, explain, keys, model, prep, profile, select, split
 
 
@@ -51,11 +51,15 @@ def prepare(
     holdout: split.HoldoutConfig | None = None,
     preprocess: prep.PreprocessConfig = prep.PreprocessConfig(),
 ) -> Prepared:
-    """Join, drop, select, split, and fit fill values and scales on the training rows."""
+    """Join, drop, select, split, and fit fill values and scales on the training rows.
+
+    The joined frame is written down once, because the selection checks, the fits, training
+    and scoring all read it.
+    """
     holdout = holdout or split.HoldoutConfig(key=key)
     joined = keys.inner_join_x_y(x, y, key)
     joined = select.drop_after_join(joined, [c for c in drop_after_join if c != key])
-    joined = select.cast_label(joined, label)
+    joined = materialise(select.cast_label(joined, label))
     candidates = select.feature_columns(joined, label, [key])
     varying = select.remove_constant_features(joined, candidates, threshold_unique).df
     distinct = select.remove_duplicate_features(
