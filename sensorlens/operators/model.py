@@ -34,6 +34,8 @@ from sensorlens.operators.evaluate import confusion_counts, headline_scores, top
 from sensorlens.operators.prep import NumericPreprocessor
 from sensorlens.operators.split import fold_column
 
+# Estimators whose alpha weighs the penalty against the sum of squares, not its mean.
+PENALTY_PER_TABLE = ("ridge_regression",)
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows; stands for "no limit"
 LABEL = "label"
 
@@ -54,7 +56,12 @@ def _tree(params: dict) -> dict:
 
 
 def _linear(params: dict, mixing: float) -> dict:
-    out = {"regParam": params.pop("alpha", 0.0), "elasticNetParam": mixing}
+    """Penalties act on the columns as given; scale them first."""
+    out = {
+        "regParam": params.pop("alpha", 0.0),
+        "elasticNetParam": mixing,
+        "standardization": False,
+    }
     if params:
         raise ValueError(f"unknown linear parameters {sorted(params)}")
     return out
@@ -128,14 +135,22 @@ def fit_models(
     """
     vectors = labelled(preprocessor, train, label).persist()
     try:
-        return {
-            name: PipelineModel([*preprocessor.stages(), _flat(est.fit(vectors))])
-            for name, est in estimators.items()
-        }
+        fitted = {}
+        for name, est in estimators.items():
+            if name in PENALTY_PER_TABLE:
+                est = est.copy({est.regParam: _penalty_per_row(vectors, est.getRegParam())})
+            fitted[name] = PipelineModel([*preprocessor.stages(), _flat(est.fit(vectors))])
+        return fitted
     finally:
         vectors.unpersist()
 
 
+def _penalty_per_row(vectors: DataFrame, alpha: float) -> float:
+    """Spark ML weighs a squared penalty against the mean error of a label scaled to unit spread."""
+    row = vectors.agg(F.count("*").alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
+    return alpha / max(1, row["n"]) * (row["spread"] or 1.0)
+
+
 def _flat(model: Transformer) -> Transformer:
     return model.bestModel if isinstance(model, CrossValidatorModel) else model
 

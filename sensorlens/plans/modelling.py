@@ -185,6 +185,14 @@ def b77(spark, sf_dir):
 
 # --- models ------------------------------------------------------------------------------
 
+def _naive_bayes_sql() -> str:
+    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) as v_{c}" for c in FEATURES)
+    score = "ln(n / total)" + "".join(f" - 0.5 * ln(v_{c}) - ({c} - m_{c}) ** 2 / (2 * v_{c})" for c in FEATURES)
+    return f"""with xy as materialized (select * from {XY_SQL}),
+ g as (select faulty as cls, count(*)::double as n, sum(count(*)) over () as total, {fit} from xy where not {TEST} group by 1)
+ select id, faulty, arg_max(cls, {score})::double as prediction from xy, g where {TEST} group by 1, 2"""
+
+
 TREES = {
     "decision_tree_classifier": {"max_depth": 6},
     "random_forest_classifier": {"n_estimators": 20, "max_depth": 6},
@@ -222,6 +230,18 @@ def a55(spark, sf_dir):
     return workflow.fit_and_score(_prepared(spark, sf_dir), TREES).metrics
 
 
+def _bayes_metrics_sql() -> str:
+    scored = f"select 'naive_bayes_classifier' as model, faulty as label, prediction::integer as prediction from ({_naive_bayes_sql()})"
+    return f"""select model, round(sum(hits)::double / sum(support), 6) as accuracy,
+ round(sum(f * support)::double / sum(support), 6) as f1_weighted, sum(support)::bigint as support from {scores_sql(scored)} group by model"""
+
+
+@query("a55_workflow_bayes", _bayes_metrics_sql())
+def a55_bayes(spark, sf_dir):
+    done = workflow.fit_and_score(_prepared(spark, sf_dir), {"naive_bayes_classifier": {}})
+    return rounded(done.metrics.select("model", "accuracy", "f1_weighted", "support"), "accuracy", "f1_weighted")
+
+
 @query("a56_predict_report")
 def a56(spark, sf_dir):
     return workflow.fit_and_score(_prepared(spark, sf_dir), TREES).report
@@ -244,14 +264,6 @@ def b57(spark, sf_dir):
     return _predictions(spark, sf_dir, "svm_classifier", {"maxIter": 20})
 
 
-def _naive_bayes_sql() -> str:
-    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) as v_{c}" for c in FEATURES)
-    score = "ln(n / total)" + "".join(f" - 0.5 * ln(v_{c}) - ({c} - m_{c}) ** 2 / (2 * v_{c})" for c in FEATURES)
-    return f"""with xy as materialized (select * from {XY_SQL}),
- g as (select faulty as cls, count(*)::double as n, sum(count(*)) over () as total, {fit} from xy where not {TEST} group by 1)
- select id, faulty, arg_max(cls, {score})::double as prediction from xy, g where {TEST} group by 1, 2"""
-
-
 @query("b58_naive_bayes_classifier", _naive_bayes_sql())
 def b58(spark, sf_dir):
     return _predictions(spark, sf_dir, "naive_bayes_classifier")
@@ -285,6 +297,32 @@ def _price_model(spark, sf_dir):
     return model.fit_models(pre, chosen, train, "margin")["linear_regression"], train, test
 
 
+@query("b60_ridge_and_lasso_one_feature", f"""with xy as materialized (select * from {XY_SQL}),
+ s as (select avg(price) as m, stddev_pop(price) as sd, avg(margin) as y, covar_pop(price, margin) / stddev_pop(price) as c, count(*) as n from xy where not {TEST})
+ select id, round(y + c * n / (n + 500) * (price - m) / sd, 2) as ridge,
+ round(y + sign(c) * greatest(abs(c) - 300, 0) * (price - m) / sd, 2) as lasso from xy, s where {TEST}""")
+def b60_one(spark, sf_dir):
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    pre = prep.fit_numeric_preprocessor(train, ["price"])
+    chosen = model.build_estimators({"ridge_regression": {"alpha": 500.0}, "lasso_regression": {"alpha": 300.0}}, model.REGRESSORS)
+    fitted = model.fit_models(pre, chosen, train, "margin")
+    ridge = model.predict(fitted["ridge_regression"], test, ["id", "price"]).withColumnRenamed("prediction", "ridge")
+    both = model.predict(fitted["lasso_regression"], ridge, ["id", "ridge"]).withColumnRenamed("prediction", "lasso")
+    return rounded(both, "ridge", "lasso", digits=2)
+
+
+@query("b61_quadratic_one_feature", f"""with xy as materialized (select *, price * price as p2 from {XY_SQL}), tr as (select * from xy where not {TEST}),
+ f as (select regr_slope(margin, price) as b, regr_intercept(margin, price) as a, regr_slope(p2, price) as d, regr_intercept(p2, price) as c from tr),
+ g as (select regr_slope(margin, p2 - c - d * price) as q from tr, f)
+ select id, round(a + b * price + q * (p2 - c - d * price), 1) as prediction from xy, f, g where {TEST}""")
+def b61_one(spark, sf_dir):
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    pre = prep.fit_numeric_preprocessor(train, ["price"])
+    chosen = model.build_estimators({"polynomial_regression": {"degree": 2}}, model.REGRESSORS)
+    fitted = model.fit_models(pre, chosen, train, "margin")["polynomial_regression"]
+    return rounded(model.predict(fitted, test, ["id"]), "prediction", digits=1)
+
+
 @query("b61_polynomial_regression")
 def b61(spark, sf_dir):
     return _predictions(spark, sf_dir, "polynomial_regression", {"degree": 2}, model.REGRESSORS, "margin")
@@ -334,6 +372,23 @@ def b66(spark, sf_dir):
     return model.cross_validate(tree, _vectors(spark, sf_dir, "faulty"), folds=5)
 
 
+def _bayes_folds_sql() -> str:
+    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) as v_{c}" for c in FEATURES)
+    score = "ln(n / total)" + "".join(f" - 0.5 * ln(v_{c}) - ({c} - m_{c}) ** 2 / (2 * v_{c})" for c in FEATURES)
+    scored = "select fold::varchar as model, faulty as label, prediction from scored"
+    return f"""with xy as materialized (select *, cast(('0x' || {digest_sql('id', 42, 13)})::bigint % 5 as integer) as fold from {XY_SQL} where not {TEST}),
+ g as (select k, faulty as cls, count(*)::double as n, sum(count(*)) over (partition by k) as total, {fit} from xy, range(5) r(k) where fold <> k group by k, faulty),
+ scored as materialized (select id, fold, faulty, arg_max(cls, {score}) as prediction from xy join g on k = fold group by 1, 2, 3)
+ select model::integer as fold, round(sum(hits)::double / sum(support), 6) as accuracy, round(sum(f * support)::double / sum(support), 6) as f1_weighted,
+ sum(support)::bigint as support from {scores_sql(scored)} group by model"""
+
+
+@query("b66_cross_validation_bayes", _bayes_folds_sql())
+def b66_bayes(spark, sf_dir):
+    bayes = model.build_estimators({"naive_bayes_classifier": {}})["naive_bayes_classifier"]
+    return rounded(model.cross_validate(bayes, _vectors(spark, sf_dir, "faulty"), folds=5), "accuracy", "f1_weighted")
+
+
 @query("b66_fold_column", f"""select id, faulty, cast(('0x' || {digest_sql('id', 42, 13)})::bigint % 5 as integer) as fold from {Y_SQL}""")
 def b66_folds(spark, sf_dir):
     return split.fold_column(labels_y(spark, sf_dir).drop("margin"), 5)

@@ -320,6 +320,14 @@ def b11(spark, sf_dir):
     return P.pca_exploratory(features_x(spark, sf_dir), keep=["id"])
 
 
+@query("b11_pca_two_columns", f"""with x as materialized (select id, qty, price from {X_SQL}),
+ s as (select avg(qty) as mq, stddev_pop(qty) as sq, avg(price) as mp, stddev_pop(price) as sp from x)
+ select id, round(abs((qty - mq) / sq + (price - mp) / sp) / sqrt(2), 6) as pc1, round(abs((qty - mq) / sq - (price - mp) / sp) / sqrt(2), 6) as pc2 from x, s""")
+def b11_two(spark, sf_dir):
+    pcs = P.pca_exploratory(features_x(spark, sf_dir), cols=["qty", "price"], keep=["id"])
+    return pcs.select("id", F.round(F.abs("pc1"), 6).alias("pc1"), F.round(F.abs("pc2"), 6).alias("pc2"))
+
+
 @query("a02_smallest_by_key", "select l_orderkey from lineitem order by l_orderkey limit 20000")
 def a02_threshold(spark, sf_dir):
     return smallest_rows(table(spark, sf_dir, "lineitem").select("l_orderkey"), 20_000, "l_orderkey")
