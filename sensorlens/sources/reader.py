@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -43,6 +44,10 @@ class ReadStrategy:
                 raise ValueError(f"{name} must be > 0")
 
 
+# Python's name of an encoding where Spark's differs.
+SPARK_CHARSETS = {"iso8859-1": "iso-8859-1", "ascii": "us-ascii"}
+
+
 @dataclass(frozen=True)
 class CsvOptions:
     sep: str = ","
@@ -50,7 +55,8 @@ class CsvOptions:
     decimal: str = "."
 
     def reader_options(self) -> dict[str, str]:
-        return {"header": "true", "sep": self.sep, "encoding": self.encoding}
+        name = codecs.lookup(self.encoding).name
+        return {"header": "true", "sep": self.sep, "encoding": SPARK_CHARSETS.get(name, name)}
 
 
 def apply_strategy(df: DataFrame, strategy: ReadStrategy, key: str | None) -> DataFrame:
