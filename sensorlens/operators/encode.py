@@ -81,7 +81,7 @@ def ordinal_encoding(
     coded = running_totals(counts, column, "one", bound).select(
         column, F.col("before").cast("long").alias(f"{column}_code"), F.col("n").alias("_n")
     )
-    return attach_by_key(df, coded, column, weight="_n", bound=bound).drop("_n")
+    return attach_by_key(df, coded, column, "_n", bound, written=True).drop("_n")
 
 
 def frequency_encoding(

@@ -14,7 +14,7 @@ from sensorlens.functions.frames import materialise, report_frame, union_all
 from sensorlens.operators.evaluate import confusion_counts, headline_scores, regression_scores, top_k
 from sensorlens.operators.order_stats import quantiles, smallest_rows
 
-SHUFFLE_GROUP_ROWS = 100_000
+SHUFFLE_GROUP_ROWS = 10_000
 
 
 def sample_for_explaining(df: DataFrame, sample_rows: int | None, key: str, seed: int) -> DataFrame:

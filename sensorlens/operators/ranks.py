@@ -54,16 +54,19 @@ def attach_by_key(
     key: str,
     weight: str | None = None,
     bound: int = LOOKUP_BOUND,
+    written: bool = False,
 ) -> DataFrame:
     """Left join with a lookup that has one row per key.
 
-    A lookup of at most ``bound`` rows is broadcast after counting it. A larger one is
+    A lookup of at most ``bound`` rows is broadcast after counting it; for that it is
+    written down first, unless it already rests on a ``written`` table. A larger one is
     joined by a shuffle, and rows without a key or with a hot key stay out of it: hot keys
     are those whose ``weight`` in the lookup (rows per key in ``df``) reaches
     ``HOT_SHARE`` of all rows. There are at most ``1 / HOT_SHARE`` of them, so their lookup
     rows can always be broadcast.
     """
-    lookup = materialise(lookup)
+    if not written:
+        lookup = materialise(lookup)
     if lookup.count() <= bound:
         return df.join(F.broadcast(lookup), key, "left")
     added = [f for f in lookup.schema.fields if f.name != key]
@@ -103,5 +106,5 @@ def average_ranks(df: DataFrame, column: str, bound: int = LOOKUP_BOUND) -> Data
 
 def replace_by_rank(df: DataFrame, column: str, bound: int = LOOKUP_BOUND) -> DataFrame:
     ranks = average_ranks(df, column, bound)
-    joined = attach_by_key(df, ranks, column, weight="n", bound=bound)
+    joined = attach_by_key(df, ranks, column, weight="n", bound=bound, written=True)
     return joined.withColumn(column, F.col("avg_rank")).drop("avg_rank", "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sensorlens.functions.frames import materialise
 from sensorlens.operators import clean, encode, engineer, integrate, keys, prep, select, split
 from sensorlens.plans.catalog import query
 from sensorlens.plans.tables import FEATURES, X_MISSING_SQL, X_SQL, XY_SQL, Y_SQL, WIDE_SQL
@@ -156,7 +157,7 @@ def b52(spark, sf_dir):
 
 def _padded_x(spark, sf_dir):
     """Features with a constant, an all-missing, a nearly constant and two copied columns."""
-    return features_x(spark, sf_dir).withColumns({
+    return materialise(features_x(spark, sf_dir)).withColumns({
         "fixed": F.lit(5.0), "void": F.lit(None).cast("double"), "flag": (F.col("n_lines") > 3).cast("int"),
         "qty_again": F.col("qty"), "qty_moved": F.col("qty") + F.lit(1.0), "lines_again": F.col("n_lines")})
 
@@ -300,7 +301,7 @@ def b55(spark, sf_dir):
 
 
 def _train_and_all(spark, sf_dir):
-    x = x_missing(spark, sf_dir)
+    x = materialise(x_missing(spark, sf_dir))
     return split.split_holdout(x, None)[0], x
 
 
@@ -456,7 +457,7 @@ def b24(spark, sf_dir):
  f as (select regr_slope(qty, price) as b, regr_intercept(qty, price) as a from x where qty is not null)
  select id, round(coalesce(qty, a + b * price), 3) as qty, price from x, f""")
 def b24_line(spark, sf_dir):
-    x = x_missing(spark, sf_dir).select("id", "qty", "price")
+    x = materialise(x_missing(spark, sf_dir).select("id", "qty", "price"))
     return rounded(clean.iterative_imputation(x, ["qty", "price"], rounds=1, reg_param=0.0), "qty", digits=3)
 
 
@@ -468,7 +469,7 @@ def _clipped_sql(lo: str, hi: str) -> str:
 
 @query("b25_winsorization", _clipped_sql("quantile_cont({c}, 0.01)", "quantile_cont({c}, 0.99)"))
 def b25(spark, sf_dir):
-    x = x_missing(spark, sf_dir).select("id", "qty", "price")
+    x = materialise(x_missing(spark, sf_dir).select("id", "qty", "price"))
     return rounded(clean.winsorization(x, ["qty", "price"]), "qty", "price", digits=6)
 
 
@@ -476,7 +477,7 @@ def b25(spark, sf_dir):
     "(quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)))",
     "(quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)))"))
 def b26(spark, sf_dir):
-    x = x_missing(spark, sf_dir).select("id", "qty", "price")
+    x = materialise(x_missing(spark, sf_dir).select("id", "qty", "price"))
     return rounded(clean.iqr_clipping(x, ["qty", "price"]), "qty", "price", digits=6)
 
 
@@ -504,7 +505,7 @@ def _power_sql(value: str, shape: str, changed: str, source: str, key: str, doma
 
 @query("b29_box_cox", _power_sql("price", "ln(v)", "case when lam = 0 then ln(v) else (pow(v, lam) - 1) / case when lam = 0 then 1 else lam end end", X_SQL, "id"))
 def b29(spark, sf_dir):
-    x = features_x(spark, sf_dir).select("id", F.col("price").alias("v"))
+    x = materialise(features_x(spark, sf_dir).select("id", F.col("price").alias("v")))
     lam = clean.fit_power(x, ["v"], "box_cox")
     return rounded(clean.box_cox(x, ["v"], lam), "v", digits=6).withColumn("lam", F.lit(float(lam["v"])))
 

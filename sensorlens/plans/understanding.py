@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sensorlens.functions.frames import materialise
 from sensorlens.operators import profile as P
 from sensorlens.operators.evaluate import top_k
 from sensorlens.operators.order_stats import smallest_rows
@@ -231,13 +232,13 @@ def _outliers_sql(bounds: str) -> str:
     """(select q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from
  (select quantile_cont({c}::double, 0.25) as q1, quantile_cont({c}::double, 0.75) as q3 from t))"""))
 def b02(spark, sf_dir):
-    return rounded(P.outlier_detection(features_x(spark, sf_dir)), "lower", "upper")
+    return rounded(P.outlier_detection(materialise(features_x(spark, sf_dir))), "lower", "upper")
 
 
 @query("b03_outliers_zscore", _outliers_sql(
     "(select avg({c}) - 3 * stddev_samp({c}) as lo, avg({c}) + 3 * stddev_samp({c}) as hi from t)"))
 def b03(spark, sf_dir):
-    return rounded(P.outlier_detection(features_x(spark, sf_dir), "zscore"), "lower", "upper")
+    return rounded(P.outlier_detection(materialise(features_x(spark, sf_dir)), "zscore"), "lower", "upper")
 
 
 def _duplicates_sql(columns: str, source: str) -> str:
@@ -285,7 +286,7 @@ def b06(spark, sf_dir):
  (select quantile_cont({c}::double, 0.25) as q1, quantile_cont({c}::double, 0.5) as q2, quantile_cont({c}::double, 0.75) as q3 from t)) b
  group by q1, q2, q3""", ["qty", "price", "disc", "tax", "n_lines"], X_SQL))
 def b07(spark, sf_dir):
-    return rounded(P.boxplots(features_x(spark, sf_dir)), "min", "whisker_low", "q1", "median", "q3", "whisker_high", "max")
+    return rounded(P.boxplots(materialise(features_x(spark, sf_dir))), "min", "whisker_low", "q1", "median", "q3", "whisker_high", "max")
 
 
 def _pairs_sql(columns, source: str) -> str:
@@ -312,19 +313,19 @@ def b09(spark, sf_dir):
 
 @query("b10_scatter_sample", f"select id, qty, price, disc, tax, n_lines from {X_SQL} order by {digest_sql('id', 42, 13)}, id limit 10000")
 def b10(spark, sf_dir):
-    return P.scatter_matrix(features_x(spark, sf_dir), sample_rows=10_000)
+    return P.scatter_matrix(materialise(features_x(spark, sf_dir)), sample_rows=10_000)
 
 
 @query("b11_pca_exploratory")
 def b11(spark, sf_dir):
-    return P.pca_exploratory(features_x(spark, sf_dir), keep=["id"])
+    return P.pca_exploratory(materialise(features_x(spark, sf_dir)), keep=["id"])
 
 
 @query("b11_pca_two_columns", f"""with x as materialized (select id, qty, price from {X_SQL}),
  s as (select avg(qty) as mq, stddev_pop(qty) as sq, avg(price) as mp, stddev_pop(price) as sp from x)
  select id, round(abs((qty - mq) / sq + (price - mp) / sp) / sqrt(2), 6) as pc1, round(abs((qty - mq) / sq - (price - mp) / sp) / sqrt(2), 6) as pc2 from x, s""")
 def b11_two(spark, sf_dir):
-    pcs = P.pca_exploratory(features_x(spark, sf_dir), cols=["qty", "price"], keep=["id"])
+    pcs = P.pca_exploratory(materialise(features_x(spark, sf_dir)), cols=["qty", "price"], keep=["id"])
     return pcs.select("id", F.round(F.abs("pc1"), 6).alias("pc1"), F.round(F.abs("pc2"), 6).alias("pc2"))
 
 
