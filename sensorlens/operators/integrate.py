@@ -91,22 +91,38 @@ def priority_rules(
     """Merge sources on a key; each column takes its first non-missing value in rule order.
 
     ``rules`` maps a column to source names, best first. A column without a rule follows
-    the order of ``sources``. Keys of all sources are kept.
+    the order of ``sources``. Keys of all sources are kept, and so is every row without a
+    key. A source has one row per key; of repeated keys the largest value counts.
+
+    The sources are stacked and merged by one aggregate, so there is a single exchange
+    however many sources there are, and it carries one row per key and partition.
     """
     order = list(sources)
-    tagged = {
-        name: df.withColumnsRenamed({c: f"{name}__{c}" for c in df.columns if c != key})
-        for name, df in sources.items()
-    }
-    joined = reduce(lambda a, b: a.join(b, key, "full"), tagged.values())
     columns: list[str] = []
     for df in sources.values():
         columns += [c for c in df.columns if c != key and c not in columns]
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            df.select(
+                quoted(key),
+                *[quoted(c).alias(f"{name}__{c}") for c in df.columns if c != key],
+            )
+            for name, df in sources.items()
+        ],
+    )
+    parts = [c for c in stacked.columns if c != key]
+    merged = (
+        stacked.filter(quoted(key).isNotNull())
+        .groupBy(quoted(key).alias(key))
+        .agg(*[F.max(quoted(c)).alias(c) for c in parts])
+    )
+    whole = merged.unionByName(stacked.filter(quoted(key).isNull()))
     picked = []
     for c in columns:
         ranked = [s for s in rules.get(c, order) if c in sources[s].columns]
         picked.append(F.coalesce(*[quoted(f"{s}__{c}") for s in ranked]).alias(c))
-    return joined.select(key, *picked)
+    return whole.select(quoted(key), *picked)
 
 
 def data_enrichment(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str]):

@@ -232,5 +232,25 @@ def smallest_rows(
         return df.filter(k.isNotNull())
     cut = order_statistics(df, {"key": k}, {"key": [n - 1]}, {"key": total})["key", n - 1]
     under = df.filter(k < F.lit(cut))
-    missing = n - under.count()
-    return under.unionByName(df.filter(k == F.lit(cut)).limit(missing))
+    return under.unionByName(_some_of(df.filter(k == F.lit(cut)), n - under.count()))
+
+
+def _some_of(ties: DataFrame, n: int) -> DataFrame:
+    """``n`` of the rows that share the cut key, chosen by row hash.
+
+    Rows that share the hash as well are copies of each other: they are counted instead of
+    gathered, and as many copies as needed are written out again.
+    """
+    h = F.xxhash64(*[quoted(c) for c in ties.columns])
+    cut = order_statistics(ties, {"h": h}, {"h": [n - 1]})["h", n - 1]
+    under = ties.filter(h < F.lit(cut))
+    copies = (
+        ties.filter(h == F.lit(cut))
+        .groupBy(*[quoted(c).alias(c) for c in ties.columns])
+        .agg(F.count("*").alias("_copies"))
+    )
+    rest = n - under.count()
+    repeated = copies.withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(rest))))
+    )
+    return under.unionByName(repeated.drop("_copies", "_copy").limit(rest))

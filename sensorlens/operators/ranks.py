@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import quoted
 from sensorlens.functions.frames import materialise
+from sensorlens.operators.keys import hot_keys
 
 LOOKUP_BOUND = 200_000  # lookup rows that may be broadcast or ordered in one task
 HOT_SHARE = 0.001  # a key with this share of the rows is hot: at most 1000 such keys
@@ -60,10 +61,10 @@ def attach_by_key(
 
     A lookup of at most ``bound`` rows is broadcast after counting it; for that it is
     written down first, unless it already rests on a ``written`` table. A larger one is
-    joined by a shuffle, and rows without a key or with a hot key stay out of it: hot keys
-    are those whose ``weight`` in the lookup (rows per key in ``df``) reaches
-    ``HOT_SHARE`` of all rows. There are at most ``1 / HOT_SHARE`` of them, so their lookup
-    rows can always be broadcast.
+    joined by a shuffle, and rows without a key or with a hot key stay out of it. Hot keys
+    are those whose ``weight`` in the lookup (rows per key in ``df``) reaches ``HOT_SHARE``
+    of all rows; without a weight a sketch of the key column names them. Either way their
+    number is limited by the share, so their lookup rows can always be broadcast.
     """
     if not written:
         lookup = materialise(lookup)
@@ -75,9 +76,10 @@ def attach_by_key(
     )
     keyed = df.filter(quoted(key).isNotNull())
     if weight is None:
-        return keyed.join(lookup, key, "left").unionByName(no_key)
-    total = lookup.agg(F.sum(weight)).first()[0] or 0
-    is_hot = quoted(weight) >= max(1, int(total * HOT_SHARE))
+        is_hot = quoted(key).isin(hot_keys(keyed, key))
+    else:
+        total = lookup.agg(F.sum(weight)).first()[0] or 0
+        is_hot = quoted(weight) >= max(1, int(total * HOT_SHARE))
     hot = F.broadcast(lookup.filter(is_hot))
     cold = lookup.filter(~is_hot)
     return (

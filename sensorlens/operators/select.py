@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sensorlens.functions.columns import all_of, quoted, require_columns
 from sensorlens.functions.frames import report_frame, union_all
 
-PROOF_ROWS = 10_000
+OCCUPANCY_BITS = 64
 SIGNATURE_BITS = 0x7FFFF
 
 
@@ -58,8 +58,9 @@ def remove_constant_features(
     """Drop features with at most ``threshold_unique`` values, a missing value being one.
 
     At threshold 1 one aggregate of minimum, maximum and missing count decides. Above it,
-    a handful of rows first clears every column that already shows more values there;
-    only the remaining columns, which vary little, are counted exactly.
+    values are first hashed into 64 slots: a column that occupies more slots than the
+    threshold certainly has more values. Only the remaining columns, which vary little,
+    are counted exactly, so columns of many values are never exchanged.
     """
     features = list(df.columns if features is None else features)
     require_columns(df, features, "feature")
@@ -80,11 +81,32 @@ def remove_constant_features(
             if row[f"n{i}"] == 0 or (row[f"same{i}"] and row[f"n{i}"] == row["rows"])
         ]
     else:
-        few = _low_cardinality(df.limit(PROOF_ROWS), features, threshold_unique)
+        few = _few_slots(df, features, threshold_unique)
         removed = _low_cardinality(df, few, threshold_unique)
     return FeatureSelectionResult(df.drop(*removed), removed)
 
 
+def _few_slots(df: DataFrame, features: Sequence[str], at_most: int) -> list[str]:
+    if at_most >= OCCUPANCY_BITS:
+        return list(features)
+    one = F.lit(1).cast("long")
+    row = df.agg(
+        *[
+            F.bit_count(
+                F.bit_or(
+                    F.call_function(
+                        "shiftleft",
+                        F.when(quoted(c).isNotNull(), one),
+                        F.pmod(F.xxhash64(quoted(c)), F.lit(OCCUPANCY_BITS)).cast("int"),
+                    )
+                )
+            ).alias(f"slots{i}")
+            for i, c in enumerate(features)
+        ]
+    ).first()
+    return [c for i, c in enumerate(features) if (row[i] or 0) <= at_most]
+
+
 def _low_cardinality(df: DataFrame, features: Sequence[str], at_most: int) -> list[str]:
     if not features:
         return []

@@ -69,6 +69,13 @@ def test_constant_features(numbers, values, threshold, removed):
     assert got.removed == (["x"] if removed else [])
 
 
+def test_near_constant_features_of_many_values(spark):
+    df = spark.range(500).select("id", F.pmod("id", F.lit(3)).alias("three"), F.lit("s").alias("text"))
+    assert select.remove_constant_features(df, threshold_unique=2).removed == ["text"]
+    assert select.remove_constant_features(df, threshold_unique=3).removed == ["three", "text"]
+    assert select.remove_constant_features(df, threshold_unique=100).removed == ["three", "text"]
+
+
 def test_duplicate_features(frame):
     df = frame("a int, b int, c int", (1, 1, 2), (2, 2, 1), (None, None, None))
     got = select.remove_duplicate_features(df)
@@ -128,6 +135,8 @@ def test_integration(frame):
     assert stacked.count() == 4 and stacked.filter("w is null").count() == 2
     merged = integrate.priority_rules({"a": ha, "b": hb}, "id", {"v": ["b", "a"]})
     assert sorted((r.id, r.v) for r in merged.collect()) == [(1, 10.0), (2, 2.5), (3, 3.5)]
+    keyless = integrate.priority_rules({"a": ha.unionByName(ha.withColumn("id", F.lit(None).cast("long"))), "b": hb}, "id", {})
+    assert keyless.count() == 5 and keyless.filter("id is null").count() == 2
     assert integrate.orphan_rows(ha, hb, {"id": "id"}).count() == 1
     assert integrate.dataset_merging(ha, hb, ["id"], "right").count() == 2
     with pytest.raises(ValueError):

@@ -52,6 +52,14 @@ def test_smallest_rows_with_ties(spark, bound):
     assert smallest_rows(df, 100, "k", bound=bound).count() == 60
 
 
+def test_smallest_rows_among_identical_copies(spark):
+    df = spark.createDataFrame([(1, "a")] * 3 + [(2, "b")] * 40 + [(2, "c")] * 2 + [(3, "d")], "k int, v string")
+    got = smallest_rows(df, 30, "k", bound=1)
+    counts = {r.v: r["count"] for r in got.groupBy("v").count().collect()}
+    assert counts["a"] == 3 and sum(counts.values()) == 30 and "d" not in counts
+    assert got.exceptAll(df).count() == 0
+
+
 @pytest.mark.parametrize("bound", [5, 10_000])
 def test_running_totals_across_partitions(spark, bound):
     rows = [(f"k{i:03d}", i % 4 + 1) for i in range(40)]
@@ -64,14 +72,15 @@ def test_running_totals_across_partitions(spark, bound):
     assert {r.k: r.before for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("weight", ["n", None])
 @pytest.mark.parametrize("bound", [1, 10_000])
-def test_attach_keeps_every_row(spark, bound):
+def test_attach_keeps_every_row(spark, bound, weight):
     keys = ["hot"] * 300 + [f"c{i}" for i in range(50)] * 2 + [None] * 20 + ["stranger"]
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i int")
     lookup = spark.createDataFrame(
         [("hot", 300, 1.0)] + [(f"c{i}", 2, float(i)) for i in range(50)], "k string, n int, v double"
     )
-    got = attach_by_key(df, lookup, "k", weight="n", bound=bound)
+    got = attach_by_key(df, lookup, "k", weight=weight, bound=bound)
     assert got.count() == len(keys) == got.select("i").distinct().count()
     values = {r.i: r.v for r in got.collect()}
     assert values[0] == 1.0 and values[len(keys) - 1] is None and values[305] == 5.0
