@@ -13,6 +13,8 @@ from sensorlens.functions.frames import long_report, report_frame
 HOT_KEY_SHARE = 0.01
 SALTS = 32
 TRACKED_KEYS = 10_000
+# Fixed value: text shown for a column without description.
+MISSING_DESCRIPTION = {"en": "(missing description)"}
 
 
 def _suffixed(x: DataFrame, y: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -160,7 +162,7 @@ def column_legend(
     missing: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Each column of the frame with its description and the number of values it holds."""
-    missing = {"en": "(missing description)"} | dict(missing or {})
+    missing = MISSING_DESCRIPTION | dict(missing or {})
     one = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
     if not df.columns:
         return report_frame(df.sparkSession, [], "column string, ordinal int, n long")

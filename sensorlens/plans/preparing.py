@@ -67,6 +67,7 @@ def a22(spark, sf_dir):
     return keys.row_parity(features_x(spark, sf_dir), labels_y(spark, sf_dir), "id")
 
 
+# Column descriptions and the texts shown for columns without one.
 LEGEND = {
     "id": {"en": "Sample index", "it": "Indice del campione"},
     "qty": {"en": "Quantity summed over the order", "it": "Quantità totale dell'ordine"},
