@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sensorlens.functions.columns import quoted, require_columns
+from sensorlens.functions.columns import quoted, require_columns, split_number
 from sensorlens.functions.frames import materialise, report_frame, union_all
 from sensorlens.operators.evaluate import confusion_counts, headline_scores, regression_scores, top_k
 from sensorlens.operators.order_stats import quantiles, smallest_rows
@@ -21,7 +21,7 @@ def sample_for_explaining(df: DataFrame, sample_rows: int | None, key: str, seed
     """``sample_rows`` rows with the smallest key hash; all rows when ``None``."""
     if sample_rows is None:
         return df
-    return smallest_rows(df, sample_rows, F.xxhash64(quoted(key), F.lit(seed)))
+    return smallest_rows(df, sample_rows, split_number(quoted(key), seed))
 
 
 def shuffled_copies(

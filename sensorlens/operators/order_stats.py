@@ -25,6 +25,7 @@ GATHER_BOUND = 1_000_000  # values of one column that may be gathered and sorted
 VALUES_PER_JOB = 8_000_000  # values of all columns gathered by one job
 SKETCH_ACCURACY = 10_000
 TARGETS_PER_JOB = 128
+LOOK_ALIKES = 100_000  # different values that one double may stand for
 TOP_N_BOUND = 10_000  # rows a plain top-n sort may send from each partition
 
 
@@ -80,8 +81,12 @@ def order_statistics(
         wide = [s for s in searches if not s.found and s.inside > bound]
         if not wide:
             break
+        before = {id(s): (s.interval, s.found) for s in wide}
         for start in range(0, len(wide), TARGETS_PER_JOB):
             _narrow(df, columns, wide[start : start + TARGETS_PER_JOB])
+        for s in wide:
+            if before[id(s)] == (s.interval, s.found):
+                _count_values(df, columns[s.name], s, bound)
     _gather(df, columns, [s for s in searches if not s.found])
     return {(s.name, s.rank): s.value for s in searches}
 
@@ -133,6 +138,24 @@ def _narrow(df: DataFrame, columns: Mapping[str, Column], searches: list[_Search
                     _cut(s, v, seen[2 * at], seen[2 * at + 1])
 
 
+def _count_values(df: DataFrame, column: Column, s: _Search, bound: int) -> None:
+    """Settle a search whose interval the sketch cannot divide.
+
+    Sketches work on doubles, so integers beyond 2**53 that share a double look alike. An
+    interval of such look-alikes has few different values, and those are counted one by one.
+    """
+    counted = df.select(column.alias("v")).filter(s.holds(F.col("v"))).groupBy("v").count()
+    rows = counted.limit(max(bound, LOOK_ALIKES) + 1).collect()
+    if len(rows) > max(bound, LOOK_ALIKES):
+        raise ValueError(f"values of {s.name} are too close together to be ranked as doubles")
+    passed = s.below
+    for value, n in sorted((r["v"], r["count"]) for r in rows):
+        if s.rank < passed + n:
+            s.found, s.value = True, value
+            return
+        passed += n
+
+
 def _cut(s: _Search, v: Any, less: int, less_or_equal: int) -> None:
     """Shrink one search with a data value and its exact rank range."""
     if s.found or (s.low is not None and v <= s.low) or (s.high is not None and v >= s.high):
@@ -241,7 +264,7 @@ def _some_of(ties: DataFrame, n: int) -> DataFrame:
     Rows that share the hash as well are copies of each other: they are counted instead of
     gathered, and as many copies as needed are written out again.
     """
-    h = F.xxhash64(*[quoted(c) for c in ties.columns])
+    h = F.shiftrightunsigned(F.xxhash64(*[quoted(c) for c in ties.columns]), 12)
     cut = order_statistics(ties, {"h": h}, {"h": [n - 1]})["h", n - 1]
     under = ties.filter(h < F.lit(cut))
     copies = (

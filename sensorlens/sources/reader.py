@@ -10,7 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlens.functions.columns import missing_to_null, quoted, require_columns
+from sensorlens.functions.columns import (
+    missing_to_null,
+    quoted,
+    require_columns,
+    split_number,
+)
 from sensorlens.functions.frames import long_report
 from sensorlens.operators.order_stats import smallest_rows
 
@@ -70,7 +75,7 @@ def apply_strategy(df: DataFrame, strategy: ReadStrategy, key: str | None) -> Da
     if strategy.mode == "chunked":
         return smallest_rows(df, strategy.chunk_size, key)
     return smallest_rows(
-        df, strategy.sample_rows, F.xxhash64(quoted(key), F.lit(strategy.random_state))
+        df, strategy.sample_rows, split_number(quoted(key), strategy.random_state)
     )
 
 

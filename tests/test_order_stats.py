@@ -39,6 +39,14 @@ def test_hot_value_beside_the_rank(spark):
     assert [got["x", r] for r in ranks] == [sorted(values)[r] for r in ranks]
 
 
+def test_integers_that_share_a_double(spark):
+    values = [2**60 + i % 10 for i in range(500)] + [5] * 20
+    df = spark.createDataFrame([(v,) for v in values], "x long")
+    ranks = [0, 19, 20, 69, 70, 300, 519]
+    got = order_statistics(df, {"x": F.col("x")}, {"x": ranks}, bound=3)
+    assert [got["x", r] for r in ranks] == [sorted(values)[r] for r in ranks]
+
+
 def test_rank_out_of_range(numbers):
     with pytest.raises(ValueError):
         order_statistics(numbers(1, 2), {"x": F.col("x")}, {"x": [2]})
