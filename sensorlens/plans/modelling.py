@@ -110,14 +110,14 @@ def _two_guesses(spark, sf_dir):
 
 @query("b68_rmse_mae_ranked", f"""with m as (select 'guess_a' as model, 0 as model_ordinal, sqrt(avg((guess_a - label) ** 2)) as rmse, avg(abs(guess_a - label)) as mae, count(*) as support from {REGRESSION_SQL}
  union all select 'guess_b', 1, sqrt(avg((guess_b - label) ** 2)), avg(abs(guess_b - label)), count(*) from {REGRESSION_SQL})
- select model, model_ordinal, round(rmse, 3) as rmse, round(mae, 3) as mae, support, row_number() over (order by rmse, mae, model_ordinal) as "rank" from m""")
+ select model, model_ordinal, round(rmse, 3) as rmse, round(mae, 3) as mae, support, cast(row_number() over (order by rmse, mae, model_ordinal) as integer) as "rank" from m""")
 def b68(spark, sf_dir):
     m = evaluate.regression_scores(_two_guesses(spark, sf_dir), by=["model", "model_ordinal"])
     return rounded(evaluate.rank_regressors(m), "rmse", "mae", digits=3)
 
 
 @query("b71_compare_models", f"""select model, model_ordinal, round(accuracy, 6) as accuracy, round(f1_weighted, 6) as f1_weighted,
- row_number() over (order by f1_weighted desc, accuracy desc, model_ordinal) as "rank" from {METRICS_SQL}""")
+ cast(row_number() over (order by f1_weighted desc, accuracy desc, model_ordinal) as integer) as "rank" from {METRICS_SQL}""")
 def b71(spark, sf_dir):
     ranked = evaluate.compare_models(_two_metrics(spark, sf_dir)).drop("f1_macro", "support")
     return rounded(ranked, "accuracy", "f1_weighted")

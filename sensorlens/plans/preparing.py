@@ -402,7 +402,7 @@ def b56(spark, sf_dir):
 
 
 @query("b56_sparse_format", """select l_orderkey, l_linenumber, [v for v, i in [l_quantity, l_discount, l_tax] if v <> 0] as vals,
- [i - 1 for v, i in [l_quantity, l_discount, l_tax] if v <> 0] as indices from lineitem""")
+ [cast(i - 1 as integer) for v, i in [l_quantity, l_discount, l_tax] if v <> 0] as indices from lineitem""")
 def b56_sparse(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     entries = prep.sparse_dense_format(lines, ["l_quantity", "l_discount", "l_tax"], "sparse")
