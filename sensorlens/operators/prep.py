@@ -8,7 +8,7 @@ scan's generated code.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -40,7 +40,6 @@ class NumericPreprocessor:
     divisor: dict[str, float]
     scaled: bool = True
     offset: float = 0.0
-    sql_name: str = field(default="__THIS__", repr=False)
 
     def column(self, name: str) -> Column:
         v = F.coalesce(quoted(name).cast("double"), F.lit(self.fill[name]))
@@ -72,7 +71,7 @@ class NumericPreprocessor:
         terms = ", ".join(term(i, c) for i, c in enumerate(self.features))
         names = [f"_f{i}" for i in range(len(self.features))]
         return [
-            SQLTransformer(statement=f"select *, {terms} from {self.sql_name}"),
+            SQLTransformer(statement=f"select *, {terms} from __THIS__"),
             VectorAssembler(inputCols=names, outputCol=output, handleInvalid="error"),
         ]
 

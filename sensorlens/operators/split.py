@@ -8,8 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlens.functions.columns import hex_threshold, quoted, require_columns
-from sensorlens.functions.columns import split_digest, split_number
+from sensorlens.functions.columns import (
+    hex_threshold,
+    quoted,
+    require_columns,
+    split_digest,
+    split_number,
+)
 from sensorlens.operators.order_stats import non_missing_counts, order_statistics
 
 MAX_CLASSES = 1_000
@@ -163,7 +168,8 @@ def walk_forward(df: DataFrame, time_col: str, n_splits: int = 5) -> DataFrame:
 def walk_forward_folds(df: DataFrame, time_col: str, n_splits: int = 5):
     """The (train, test) pairs of :func:`walk_forward`."""
     placed = walk_forward(df, time_col, n_splits)
+    block = F.col("block")
     return [
-        (placed.filter(F.col("block") < k).drop("block"), placed.filter(F.col("block") == k).drop("block"))
+        (placed.filter(block < k).drop("block"), placed.filter(block == k).drop("block"))
         for k in range(1, n_splits + 1)
     ]
