@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("q_tokens",)
+MODULES = ("q_tokens", "q_mixing")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
