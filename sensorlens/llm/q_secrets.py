@@ -23,8 +23,8 @@ with d as (select doc_id, coalesce(text, '') as t from documents),
 found as ({" union all ".join(_rule_sql(i, r.kind, r.pattern, r.group, r.least) for i, r in enumerate(RULES))}),
 each as (select *, unnest(range(1, len(m) + 1)) as i from found),
 spans as (
-  select doc_id, k, kind, (list_sum(list_transform(g[1:i], x -> length(x)))
-      + coalesce(list_sum(list_transform(m[1:i-1], x -> length(x))), 0))::bigint as s, length(m[i]) as n
+  select doc_id, k, kind, (length(array_to_string(g[1:i], ''))
+      + length(array_to_string(m[1:i-1], '')))::bigint as s, length(m[i]) as n
   from each where length(v[i]) >= least),
 listed as (
   select doc_id, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access,

@@ -80,7 +80,9 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     note(held)
     # any of the noted conditions may serve; the one with the rarest shape has most trigrams
     best = max(found, key=lambda alts: min(map(len, alts)), default=None)
-    return None if best is None else sorted(set(best), key=sorted)
+    if best is None:
+        return None
+    return sorted({a for a in best if not any(b < a for b in best)}, key=sorted)
 
 
 def _literal_parts(parsed):
