@@ -66,7 +66,8 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one byte array, each followed by a line end; where each begins, and the end."""
     plain = pc.fill_null(texts.cast(pa.large_string()), "")
-    ended = pc.binary_join_element_wise(plain, pa.scalar("", pa.large_string()), "\n")
+    empty, line_end = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+    ended = pc.binary_join_element_wise(plain, empty, line_end)
     _, offsets, data = ended.buffers()
     bounds = np.frombuffer(offsets, np.int64)[ended.offset : ended.offset + len(ended) + 1]
     whole = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-CACHED_WORDS = 1_200_000  # words whose ids a worker remembers before it starts again
+CACHED_WORDS = 800_000  # words whose ids a worker remembers before it starts again
 
 
 def default_tokenizer() -> str:
