@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("q_secrets", "q_quality", "q_jaccard", "q_mixing", "q_tokens")
+MODULES = ("q_secrets", "q_lines", "q_quality", "q_jaccard", "q_mixing", "q_tokens")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
