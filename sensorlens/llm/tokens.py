@@ -88,7 +88,7 @@ def with_starts(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
     lengths = spark.read.schema(STORED).parquet(path).select(
         F.col("_metadata.file_name").alias("file"), "n_tokens"
     )
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
     files = lengths.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     files = files.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
     above = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
