@@ -84,7 +84,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def random_words(n: int, seed: int) -> np.ndarray:
     """The same ``n`` 64-bit values for a seed everywhere."""
     steps = (np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return mix(steps + np.uint64(seed) * np.uint64(0xD1342543DE82EF95))
+    return mix(steps + np.uint64(seed * 0xD1342543DE82EF95 % (1 << 64)))
 
 
 BASE = 0x2545F4914F6CDD1D  # odd, so that it has an inverse modulo 2**64
