@@ -72,3 +72,10 @@ def all_of(conditions: Sequence[Column]) -> Column:
     for c in conditions:
         out = out & c
     return out
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out

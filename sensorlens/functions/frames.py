@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -27,17 +27,14 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Make sure reliable checkpoints have a folder that every executor can reach."""
+    """The folder in ``spark.checkpoint.dir``, which the driver and all executors share."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="sensorlens-")
-    sc.setCheckpointDir(folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+        folder = sc.getCheckpointDir()
     return folder
 
 
@@ -46,9 +43,37 @@ def materialise(df: DataFrame) -> DataFrame:
 
     For frames that several jobs read: the plan behind them runs once, the rows survive the
     loss of executors, and as a columnar table later jobs read only the columns they need.
-    The table lies in the checkpoint folder and goes with it.
+    The table goes with :func:`release`, and what is left when Python ends goes then.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    _TABLES.setdefault(spark.sparkContext.applicationId, set()).add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_TABLES: dict[str, set[str]] = {}
+
+
+def tables_left(spark: SparkSession) -> list[str]:
+    """The written tables of this application that have not been released."""
+    return sorted(_TABLES.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, paths: Sequence[str] | None = None) -> None:
+    """Delete written tables, by default all of the application: nothing may read them after."""
+    sc = spark.sparkContext
+    held = _TABLES.get(sc.applicationId, set())
+    for path in list(held) if paths is None else paths:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+        held.discard(path)
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and tables_left(spark):
+        release(spark)
+
+
+atexit.register(_release_at_exit)

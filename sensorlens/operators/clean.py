@@ -15,7 +15,7 @@ from sensorlens.functions.columns import all_of, quoted, require_columns
 from sensorlens.functions.frames import materialise
 from sensorlens.operators.order_stats import quantiles
 from sensorlens.operators.prep import fit_fill
-from sensorlens.operators.profile import iqr_bounds, is_zscore_outlier, null_count, zscore_params
+from sensorlens.operators.profile import iqr_bounds, is_zscore_outlier, zscore_params
 
 LAMBDA_GRID = tuple(round(-2 + 0.1 * i, 1) for i in range(41))
 
@@ -26,8 +26,9 @@ def drop_rows(df: DataFrame, how: str = "any", subset: Sequence[str] | None = No
 
 def drop_columns(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Drop columns whose missing ratio is above ``threshold``."""
-    ratios = null_count(df).collect()
-    gone = [r["column"] for r in ratios if (r["missing_ratio"] or 0.0) > threshold]
+    rows = df.agg(F.count("*"), *[F.count(quoted(c)) for c in df.columns]).first()
+    total = rows[0]
+    gone = [c for c, n in zip(df.columns, rows[1:]) if total and total - n > threshold * total]
     return df.drop(*gone)
 
 
@@ -60,6 +61,8 @@ def iterative_imputation(
     work = work.withColumns(
         {c: F.coalesce(quoted(c).cast("double"), F.lit(means[c])) for c in columns}
     )
+    if targets and rounds:
+        work = materialise(work)  # else every fit of the first round reads the source again
     for _ in range(rounds if targets else 0):
         for target in targets:
             others = [c for c in columns if c != target]
@@ -139,34 +142,31 @@ def fit_power(
 
     Of equally likely exponents the one nearest to 1 wins, then the smaller one.
     """
-    best: dict[str, float] = {}
-    for column in columns:
+    variants = {"box_cox": box_cox_column, "yeo_johnson": yeo_johnson_column}
+    if kind not in variants:
+        raise ValueError(f"kind must be box_cox or yeo_johnson, got {kind}")
+    aggs = []
+    for j, column in enumerate(columns):
         v = quoted(column).cast("double")
         if kind == "box_cox":
-            shape = F.avg(F.log(F.when(v > 0, v)))
-            bad = F.count_if(v <= 0)
-            variant = box_cox_column
-        elif kind == "yeo_johnson":
-            shape = F.avg(F.signum(v) * F.log1p(F.abs(v)))
-            bad = F.lit(0)
-            variant = yeo_johnson_column
+            usable = F.when(v > 0, v)
+            aggs += [F.avg(F.log(usable)).alias(f"shape{j}"), F.count_if(v <= 0).alias(f"bad{j}")]
         else:
-            raise ValueError(f"kind must be box_cox or yeo_johnson, got {kind}")
-        usable = F.when(v > 0, v) if kind == "box_cox" else v
-        row = df.agg(
-            shape.alias("shape"),
-            bad.alias("bad"),
-            *[F.var_pop(variant(usable, lam)).alias(f"v{i}") for i, lam in enumerate(grid)],
-        ).first()
-        if row["bad"]:
-            raise ValueError(f"box_cox needs positive values; {column} has {row['bad']} others")
-        if row["shape"] is None:
+            usable = v
+            aggs += [F.avg(F.signum(v) * F.log1p(F.abs(v))).alias(f"shape{j}"), F.lit(0).alias(f"bad{j}")]
+        aggs += [F.var_pop(variants[kind](usable, lam)).alias(f"v{j}_{i}") for i, lam in enumerate(grid)]
+    row = df.agg(*aggs).first()
+    best: dict[str, float] = {}
+    for j, column in enumerate(columns):
+        if row[f"bad{j}"]:
+            raise ValueError(f"box_cox needs positive values; {column} has {row[f'bad{j}']} others")
+        if row[f"shape{j}"] is None:
             raise ValueError(f"{column} holds no value")
         scores = []
         for i, lam in enumerate(grid):
-            spread = row[f"v{i}"]
+            spread = row[f"v{j}_{i}"]
             if spread:
-                scores.append((_power_score(lam, row["shape"], spread), -abs(lam - 1), -lam, lam))
+                scores.append((_power_score(lam, row[f"shape{j}"], spread), -abs(lam - 1), -lam, lam))
         best[column] = max(scores)[-1] if scores else 1.0
     return best
 

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import quoted, require_columns
+from sensorlens.functions.frames import materialise
 from sensorlens.operators.ranks import LOOKUP_BOUND, attach_by_key, running_totals, value_counts
 
-MAX_CATEGORIES = 1_000
 
-
-def categories(train: DataFrame, column: str, at_most: int = MAX_CATEGORIES) -> list:
-    """Distinct non-missing values in order; refuses columns with more than ``at_most``."""
-    rows = value_counts(train, column).select(column).limit(at_most + 1).collect()
-    if len(rows) > at_most:
+def categories(train: DataFrame, column: str, at_most: int | None = None) -> list:
+    """Distinct non-missing values in order; a column of more than ``at_most`` is refused."""
+    values = value_counts(train, column).select(column)
+    rows = (values if at_most is None else values.limit(at_most + 1)).collect()
+    if at_most is not None and len(rows) > at_most:
         raise ValueError(f"{column} has more than {at_most} categories; use one_hot_vector")
     return sorted(r[0] for r in rows)
 
@@ -50,9 +50,13 @@ def one_hot_name(column: str, value) -> str:
 
 
 def one_hot_encoding(
-    df: DataFrame, column: str, train: DataFrame | None = None, at_most: int = MAX_CATEGORIES
+    df: DataFrame, column: str, train: DataFrame | None = None, at_most: int | None = None
 ) -> DataFrame:
-    """Replace a column by one 0/1 column per training category; unknown values are all 0."""
+    """Replace a column by one 0/1 column per training category; unknown values are all 0.
+
+    The frame gets as many columns as there are categories; see :func:`one_hot_vector` for more
+    than a schema should hold.
+    """
     values = categories(df if train is None else train, column, at_most)
     flags = {
         one_hot_name(column, v): F.coalesce((quoted(column) == F.lit(v)).cast("int"), F.lit(0))
@@ -63,25 +67,44 @@ def one_hot_encoding(
     return df.withColumns(flags).drop(column)
 
 
-def one_hot_vector(train: DataFrame, column: str, output: str) -> PipelineModel:
-    """Sparse one-hot vectors for columns too wide for :func:`one_hot_encoding`."""
-    index = f"_{output}_index"
-    stages = [
-        StringIndexer(inputCol=column, outputCol=index, handleInvalid="keep"),
-        OneHotEncoder(inputCols=[index], outputCols=[output], dropLast=True),
-    ]
-    return Pipeline(stages=stages).fit(train)
+@dataclass(frozen=True)
+class OneHotVectors:
+    """Sparse one-hot vectors over any number of categories, whose codes stay in a table."""
+
+    column: str
+    output: str
+    codes: DataFrame
+    size: int
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add the vector; a value that training has not seen, or none, is all 0."""
+        code, index = f"{self.column}_code", f"_{self.output}_index"
+        coded = attach_by_key(df, self.codes, self.column, written=True)
+        known = coded.withColumn(index, F.coalesce(F.col(code), F.lit(self.size)).cast("double"))
+        encoder = OneHotEncoder(inputCols=[index], outputCols=[self.output], dropLast=True)
+        widest = df.sparkSession.createDataFrame([(float(self.size),)], [index])
+        return encoder.fit(widest).transform(known.drop(code)).drop(index)
+
+
+def one_hot_vector(train: DataFrame, column: str, output: str) -> OneHotVectors:
+    """For columns too wide for :func:`one_hot_encoding`; vector places follow the sorted values."""
+    codes = materialise(_codes(train, column, LOOKUP_BOUND).drop("_n"))
+    return OneHotVectors(column, output, codes, codes.count())
+
+
+def _codes(train: DataFrame, column: str, bound: int) -> DataFrame:
+    counts = value_counts(train, column).withColumn("one", F.lit(1))
+    return running_totals(counts, column, "one", bound).select(
+        column, F.col("before").cast("long").alias(f"{column}_code"), F.col("n").alias("_n")
+    )
 
 
 def ordinal_encoding(
     df: DataFrame, column: str, train: DataFrame | None = None, bound: int = LOOKUP_BOUND
 ) -> DataFrame:
     """Add ``<column>_code``: position among the sorted training categories, from 0."""
-    counts = value_counts(df if train is None else train, column).withColumn("one", F.lit(1))
-    coded = running_totals(counts, column, "one", bound).select(
-        column, F.col("before").cast("long").alias(f"{column}_code"), F.col("n").alias("_n")
-    )
-    return attach_by_key(df, coded, column, "_n", bound, written=True).drop("_n")
+    coded = _codes(df if train is None else train, column, bound)
+    return attach_by_key(df, coded, column, bound).drop("_n")
 
 
 def frequency_encoding(
@@ -93,7 +116,7 @@ def frequency_encoding(
 ) -> DataFrame:
     """Add ``<column>_freq``: training rows with that value, 0 when rarer than ``min_freq``."""
     counts = value_counts(df if train is None else train, column)
-    joined = attach_by_key(df, counts.withColumnRenamed("n", "_n"), column, "_n", bound)
+    joined = attach_by_key(df, counts.withColumnRenamed("n", "_n"), column, bound)
     freq = F.when(F.col("_n") >= min_freq, F.col("_n")).otherwise(F.lit(0)).cast("long")
     return joined.withColumn(f"{column}_freq", freq).drop("_n")
 
@@ -113,7 +136,7 @@ def target_encoding(
         .agg(F.avg(label).alias("_mean"), F.count("*").alias("_n"))
     )
     overall = train.agg(F.avg(label)).first()[0]
-    joined = attach_by_key(df, means, column, "_n", bound)
+    joined = attach_by_key(df, means, column, bound)
     return joined.withColumn(f"{column}_target", F.coalesce("_mean", F.lit(overall))).drop(
         "_mean", "_n"
     )
@@ -126,12 +149,10 @@ def rare_grouping(
     other: str = "Other",
     train: DataFrame | None = None,
 ) -> DataFrame:
-    """Values with less than ``min_freq`` of the non-missing rows become ``other``.
-
-    At most ``1 / min_freq`` values can be kept, so the list of kept values is bounded.
-    """
+    """Values with less than ``min_freq`` of the non-missing rows become ``other``."""
     counts = value_counts(df if train is None else train, column)
     total = counts.agg(F.sum("n")).first()[0] or 0
-    kept = [r[0] for r in counts.filter(F.col("n") >= min_freq * total).select(column).collect()]
-    grouped = F.when(quoted(column).isNull() | quoted(column).isin(kept), quoted(column))
-    return df.withColumn(column, grouped.otherwise(F.lit(other)))
+    kept = counts.filter(F.col("n") >= min_freq * total).select(column, F.lit(True).alias("_kept"))
+    joined = attach_by_key(df, kept, column)
+    grouped = F.when(quoted(column).isNull() | F.col("_kept"), quoted(column))
+    return joined.withColumn(column, grouped.otherwise(F.lit(other))).select(*[quoted(c) for c in df.columns])

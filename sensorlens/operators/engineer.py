@@ -64,7 +64,7 @@ def aggregations(
             ],
         )
     )
-    return attach_by_key(keyed, stats, key, "_n", bound).drop(key, "_n")
+    return attach_by_key(keyed, stats, key, bound).drop(key, "_n")
 
 
 def interactions(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -17,13 +17,22 @@ NORMALISATIONS = ("true", "pred", "all", None)
 def confusion_counts(
     scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows per (label, prediction), counted inside each partition before the exchange."""
+    """Rows per (label, prediction), counted inside each partition before the exchange.
+
+    Whole numbers come out as int, whatever type they had; texts and fractions stay as they are.
+    """
     require_columns(scored, [label, prediction, *by])
-    return scored.groupBy(
-        *[quoted(c) for c in by],
-        quoted(label).cast("int").alias("label"),
-        quoted(prediction).cast("int").alias("prediction"),
-    ).agg(F.count("*").alias("n"))
+    a, b = _classes(scored, label, prediction)
+    return scored.groupBy(*[quoted(c) for c in by], a.alias("label"), b.alias("prediction")).agg(
+        F.count("*").alias("n")
+    )
+
+
+def _classes(scored: DataFrame, label: str, prediction: str) -> tuple[Column, Column]:
+    kinds = [scored.schema[c].dataType.typeName() for c in (label, prediction)]
+    if "string" in kinds:
+        return quoted(label).cast("string"), quoted(prediction).cast("string")
+    return quoted(label).cast("int"), quoted(prediction).cast("int")
 
 
 def class_scores(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -92,7 +101,12 @@ def classification_report(
     scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per class, then accuracy, macro average and weighted average."""
-    scores = class_scores(confusion_counts(scored, label, prediction, by), by)
+    return report_of_counts(confusion_counts(scored, label, prediction, by), by)
+
+
+def report_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The classification report of confusion counts."""
+    scores = class_scores(counts, by)
     parts = ("precision", "recall", "f1")
     gathered = scores.groupBy(*by).agg(
         F.collect_list(
@@ -142,9 +156,13 @@ def confusion_matrix(
     normalize: str | None = "true",
 ) -> DataFrame:
     """Confusion counts with a share of the true class, the predicted class or all rows."""
+    return matrix_of_counts(confusion_counts(scored, label, prediction), normalize)
+
+
+def matrix_of_counts(counts: DataFrame, normalize: str | None = "true") -> DataFrame:
+    """The confusion matrix of counts."""
     if normalize not in NORMALISATIONS:
         raise ValueError(f"normalize must be one of {NORMALISATIONS}, got {normalize!r}")
-    counts = confusion_counts(scored, label, prediction)
     if normalize is None:
         return counts.withColumn("share", F.col("n").cast("double"))
     side = {"true": ["label"], "pred": ["prediction"], "all": []}[normalize]

@@ -133,40 +133,40 @@ def partial_dependence(
     df: DataFrame,
     features: Sequence[str],
     grid_resolution: int = 50,
-    max_features: int = 8,
+    max_features: int | None = None,
     key: str = "id",
     sample_rows: int | None = None,
     random_state: int = 42,
 ) -> DataFrame:
-    """Mean prediction with one feature held at each grid value, for up to ``max_features``.
+    """Mean prediction with one feature held at each grid value.
 
     The grid runs over evenly spaced values between the 5th and 95th percentile. Each row is
-    expanded by the grid inside its task and averaged there before the exchange.
+    expanded by the grids of all features inside its task, scored, and averaged there before
+    the exchange: one scan for all features.
     """
     chosen = list(features)[:max_features]
     rows = sample_for_explaining(df, sample_rows, key, random_state)
     ends = quantiles(df, chosen, (0.05, 0.95))
-    parts = []
+    steps = max(1, grid_resolution - 1)
+    held = []
     for f in chosen:
         lo, hi = ends[f]
-        if lo is None:
-            continue
-        steps = max(1, grid_resolution - 1)
-        points = sorted({lo + (hi - lo) * i / steps for i in range(grid_resolution)})
-        grid = F.array(*[F.lit(float(p)) for p in points])
-        spread = rows.select(
-            *[quoted(c) for c in features if c != f], F.explode(grid).alias(f)
-        )
-        scored = model.transform(spread)
-        parts.append(
-            scored.groupBy(quoted(f).alias("grid_value"))
-            .agg(F.avg("prediction").alias("mean_prediction"), F.count("*").alias("n"))
-            .select(F.lit(f).alias("feature"), "grid_value", "mean_prediction", "n")
-        )
-    if not parts:
+        if lo is not None:
+            points = sorted({lo + (hi - lo) * i / steps for i in range(grid_resolution)})
+            held += [F.struct(F.lit(f).alias("feature"), F.lit(float(p)).alias("value")) for p in points]
+    if not held:
         return report_frame(
             df.sparkSession,
             [],
             "feature string, grid_value double, mean_prediction double, n long",
         )
-    return union_all(parts)
+    spread = rows.select(*[quoted(c) for c in features], F.explode(F.array(*held)).alias("_held"))
+    feature, value = F.col("_held.feature"), F.col("_held.value")
+    fixed = spread.withColumns(
+        {c: F.when(feature == c, value).otherwise(quoted(c).cast("double")) for c in features}
+    )
+    return (
+        model.transform(fixed)
+        .groupBy(feature.alias("feature"), value.alias("grid_value"))
+        .agg(F.avg("prediction").alias("mean_prediction"), F.count("*").alias("n"))
+    )

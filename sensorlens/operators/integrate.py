@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlens.functions.columns import quoted, require_columns
+from sensorlens.functions.columns import any_of, quoted, require_columns
 from sensorlens.operators.keys import _suffixed
 from sensorlens.operators.ranks import attach_by_key
+from sensorlens.operators.select import rename_columns
 
 MERGE_KINDS = ("inner", "left", "right")
 
@@ -25,7 +26,14 @@ def dataset_merging(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     require_columns(left, on, "join_key of left")
     require_columns(right, on, "join_key of right")
     left, right = _suffixed(left, right, on)
-    return left.join(right, list(on), how)
+    keyless = any_of([quoted(c).isNull() for c in on])
+    # rows without a key match nothing: they stay out of the join and are added if kept
+    kept, other = (left, right) if how != "right" else (right, left)
+    joined = left.filter(~keyless).join(right.filter(~keyless), list(on), how)
+    if how == "inner":
+        return joined
+    added = {f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in on}
+    return joined.unionByName(kept.filter(keyless).withColumns(added).select(*joined.columns))
 
 
 def union_concat(parts: Sequence[DataFrame]) -> DataFrame:
@@ -34,7 +42,7 @@ def union_concat(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def column_renaming(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))
+    return rename_columns(df, mapping)
 
 
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -79,7 +87,7 @@ def pk_fk_mapping(
 
 def orphan_rows(source: DataFrame, target: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Source rows whose key has no target row."""
-    keys = target.select(*[quoted(t).alias(s) for s, t in mapping.items()])
+    keys = target.select(*[quoted(t).alias(s) for s, t in mapping.items()]).distinct()
     return source.join(keys, list(mapping), "left_anti")
 
 

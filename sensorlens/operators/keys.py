@@ -12,6 +12,7 @@ from sensorlens.functions.frames import long_report, report_frame
 
 HOT_KEY_SHARE = 0.01
 SALTS = 32
+SALT = "_salt"
 TRACKED_KEYS = 10_000
 # Fixed value: text shown for a column without description.
 MISSING_DESCRIPTION = {"en": "(missing description)"}
@@ -44,6 +45,21 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_KEY_SHARE) -> list:
     return [r["item"] for r in row["top"] or [] if r["count"] >= share * row["n"] and r["count"] > 1]
 
 
+def salted_rows(df: DataFrame, spread: Column, salts: int = SALTS) -> DataFrame:
+    """Add a salt: a turn over ``salts`` where ``spread`` holds, 0 elsewhere.
+
+    The salt follows a row's place and not its content, so equal rows are spread too.
+    """
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    return df.withColumn(SALT, F.when(spread, turn).otherwise(F.lit(0)))
+
+
+def salted_copies(df: DataFrame, spread: Column, salts: int = SALTS) -> DataFrame:
+    """A copy of each row for every salt where ``spread`` holds, one row elsewhere."""
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    return df.withColumn(SALT, F.explode(F.when(spread, every).otherwise(F.array(F.lit(0)))))
+
+
 def inner_join_x_y(
     x: DataFrame,
     y: DataFrame,
@@ -56,16 +72,25 @@ def inner_join_x_y(
 
     ``null_safe`` also joins missing keys to missing keys. The join itself is left to the
     optimizer, which splits skewed partitions while it runs. ``hot_share`` adds an explicit
-    split: rows of keys that hold this share of ``x`` are spread over ``salts`` partitions
-    and their partner rows are repeated for each of them. Use it when keys are not unique.
+    split: rows of keys that hold this share of either side, and null-safe rows without a key,
+    are spread over ``salts`` partitions and their partner rows are repeated for each of them.
+    Use it when keys are not unique.
     """
     require_columns(x, [key], "join_key of X")
     require_columns(y, [key], "join_key of Y")
     x, y = _suffixed(x, y, [key])
+    salted = []
     if hot_share is not None:
-        x, y, salted = _salt(x, y, key, hot_share, salts)
-    else:
-        salted = []
+        hot_x = hot_keys(x, key, hot_share)
+        hot_y = [k for k in hot_keys(y, key, hot_share) if k not in hot_x]
+        in_x, in_y = _one_of(key, hot_x), _one_of(key, hot_y)
+        if null_safe:
+            in_x = in_x | quoted(key).isNull()
+        # keys hot in X are spread in X and repeated in Y, keys hot in Y alone the other way
+        x = salted_copies(salted_rows(x, in_x, salts).withColumnRenamed(SALT, "_turn"), in_y, salts)
+        y = salted_copies(salted_rows(y, in_y, salts).withColumnRenamed(SALT, "_turn"), in_x, salts)
+        x, y = (d.withColumn(SALT, F.col(SALT) + F.col("_turn")).drop("_turn") for d in (x, y))
+        salted = [SALT]
     if null_safe:
         right = y.withColumnRenamed(key, "_key_y")
         on = quoted(key).eqNullSafe(F.col("_key_y"))
@@ -78,16 +103,9 @@ def inner_join_x_y(
     return joined.drop(*salted)
 
 
-def _salt(x: DataFrame, y: DataFrame, key: str, share: float, salts: int):
-    hot = hot_keys(x, key, share)
-    if not hot:
-        return x, y, []
-    is_hot = quoted(key).isin(hot)
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in x.columns]), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    x = x.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    y = y.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-    return x, y, ["_salt"]
+def _one_of(key: str, hot: list) -> Column:
+    known = [k for k in hot if k is not None]
+    return F.coalesce(quoted(key).isin(known), F.lit(False)) if known else F.lit(False)
 
 
 def key_overlap(x: DataFrame, y: DataFrame, key: str) -> DataFrame:

@@ -34,24 +34,51 @@ from sensorlens.operators.evaluate import confusion_counts, headline_scores, top
 from sensorlens.operators.prep import NumericPreprocessor
 from sensorlens.operators.split import fold_column
 
-# Estimators whose alpha weighs the penalty against the sum of squares, not its mean.
-PENALTY_PER_TABLE = ("ridge_regression",)
+# Estimators whose penalty weighs against the sum over all rows, not their mean.
+PENALTY_PER_TABLE = ("ridge_regression", "svm_classifier")
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows; stands for "no limit"
 LABEL = "label"
 
 
-def _tree(params: dict) -> dict:
+def _known(kind: str, params: dict) -> None:
+    """Refuse parameters without an equivalent; threads are Spark's affair."""
+    params.pop("n_jobs", None)
+    if params:
+        raise ValueError(f"unknown {kind} parameters {sorted(params)}")
+
+
+def _only(params: dict, name: str, accepted: Sequence) -> None:
+    """Accept a parameter only where it asks for what is done anyway."""
+    if params.get(name, accepted[0]) not in accepted:
+        raise ValueError(f"{name} must be one of {list(accepted)}, got {params[name]!r}")
+    params.pop(name, None)
+
+
+def _tree(params: dict, impurities: Mapping[str, str]) -> dict:
     depth = params.pop("max_depth", None)
     out = {
-        "maxDepth": MAX_TREE_DEPTH if depth is None else depth,
-        "minInstancesPerNode": params.pop("min_samples_leaf", 1),
+        "maxDepth": MAX_TREE_DEPTH if depth is None else min(depth, MAX_TREE_DEPTH),
+        # a split needs that many rows, so each side of it at least half of them in balance
+        "minInstancesPerNode": max(
+            params.pop("min_samples_leaf", 1), params.pop("min_samples_split", 2) // 2
+        ),
+        "maxBins": params.pop("max_bins", 32),
         "seed": params.pop("random_state", 42),
         "maxMemoryInMB": 512,
     }
+    if "criterion" in params:
+        criterion = params.pop("criterion")
+        if criterion not in impurities:
+            raise ValueError(f"criterion must be one of {sorted(impurities)}, got {criterion!r}")
+        out["impurity"] = impurities[criterion]
     if "n_estimators" in params:
         out["numTrees"] = params.pop("n_estimators")
-    if params:
-        raise ValueError(f"unknown tree parameters {sorted(params)}")
+    if "bootstrap" in params:
+        out["bootstrap"] = params.pop("bootstrap")
+    if "max_features" in params:
+        chosen = params.pop("max_features")
+        out["featureSubsetStrategy"] = "all" if chosen is None else str(chosen)
+    _known("tree", params)
     return out
 
 
@@ -61,19 +88,62 @@ def _linear(params: dict, mixing: float) -> dict:
         "regParam": params.pop("alpha", 0.0),
         "elasticNetParam": mixing,
         "standardization": False,
+        "fitIntercept": params.pop("fit_intercept", True),
+        "maxIter": params.pop("max_iter", 100),
+        "tol": params.pop("tol", 1e-6),
     }
-    if params:
-        raise ValueError(f"unknown linear parameters {sorted(params)}")
+    params.pop("random_state", None)
+    _known("linear", params)
+    return out
+
+
+def _svm(params: dict) -> LinearSVC:
+    _only(params, "kernel", ["linear"])
+    _only(params, "probability", [False, True])
+    params.pop("random_state", None)
+    out = LinearSVC(
+        regParam=1.0 / params.pop("C", 1.0),
+        maxIter=params.pop("max_iter", params.pop("maxIter", 100)),
+        tol=params.pop("tol", 1e-6),
+    )
+    _known("svm", params)
+    return out
+
+
+def _bayes(params: dict) -> NaiveBayes:
+    # Spark ML smooths Gaussian variances by a share of the largest one on its own
+    _only(params, "var_smoothing", [1e-9])
+    _known("naive bayes", params)
+    return NaiveBayes(modelType="gaussian")
+
+
+def _boosted(params: dict) -> GBTRegressor:
+    _only(params, "objective", ["reg:squarederror", "squared_error"])
+    depth = params.pop("max_depth", 6)
+    out = GBTRegressor(
+        maxIter=params.pop("n_estimators", 100),
+        maxDepth=MAX_TREE_DEPTH if depth is None else depth,
+        stepSize=params.pop("learning_rate", 0.1),
+        subsamplingRate=params.pop("subsample", 1.0),
+        featureSubsetStrategy=str(params.pop("colsample_bytree", "all")).replace("1.0", "all"),
+        maxBins=params.pop("max_bins", 32),
+        seed=params.pop("random_state", 42),
+    )
+    _known("boosting", params)
     return out
 
 
+# Names of split criteria, and what Spark ML calls them.
+CLASS_IMPURITIES = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
+VALUE_IMPURITIES = {"squared_error": "variance"}
+
 CLASSIFIERS = {
-    "decision_tree_classifier": lambda p: DecisionTreeClassifier(**_tree(p)),
+    "decision_tree_classifier": lambda p: DecisionTreeClassifier(**_tree(p, CLASS_IMPURITIES)),
     "random_forest_classifier": lambda p: RandomForestClassifier(
-        featureSubsetStrategy="sqrt", **_tree({"n_estimators": 100, **p})
+        **_tree({"n_estimators": 100, "max_features": "sqrt", **p}, CLASS_IMPURITIES)
     ),
-    "svm_classifier": lambda p: LinearSVC(regParam=1.0 / p.pop("C", 1.0), **p),
-    "naive_bayes_classifier": lambda p: NaiveBayes(modelType="gaussian", **p),
+    "svm_classifier": _svm,
+    "naive_bayes_classifier": _bayes,
 }
 
 REGRESSORS = {
@@ -88,17 +158,11 @@ REGRESSORS = {
             LinearRegression(featuresCol="_powers", **_linear(p, 0.0)),
         ]
     ),
-    "decision_tree_regressor": lambda p: DecisionTreeRegressor(**_tree(p)),
+    "decision_tree_regressor": lambda p: DecisionTreeRegressor(**_tree(p, VALUE_IMPURITIES)),
     "random_forest_regressor": lambda p: RandomForestRegressor(
-        **_tree({"n_estimators": 100, **p})
-    ),
-    "boosted_trees_regressor": lambda p: GBTRegressor(
-        maxIter=p.pop("n_estimators", 100),
-        maxDepth=p.pop("max_depth", 6),
-        stepSize=p.pop("learning_rate", 0.1),
-        subsamplingRate=p.pop("subsample", 1.0),
-        seed=p.pop("random_state", 42),
+        **_tree({"n_estimators": 100, "max_features": "all", **p}, VALUE_IMPURITIES)
     ),
+    "boosted_trees_regressor": _boosted,
 }
 
 
@@ -138,17 +202,18 @@ def fit_models(
         fitted = {}
         for name, est in estimators.items():
             if name in PENALTY_PER_TABLE:
-                est = est.copy({est.regParam: _penalty_per_row(vectors, est.getRegParam())})
+                est = est.copy({est.regParam: _penalty_per_row(vectors, est.getRegParam(), name)})
             fitted[name] = PipelineModel([*preprocessor.stages(), _flat(est.fit(vectors))])
         return fitted
     finally:
         vectors.unpersist()
 
 
-def _penalty_per_row(vectors: DataFrame, alpha: float) -> float:
-    """Spark ML weighs a squared penalty against the mean error of a label scaled to unit spread."""
+def _penalty_per_row(vectors: DataFrame, alpha: float, name: str = "ridge_regression") -> float:
+    """Spark ML weighs a penalty against the mean error; of a regression label scaled to unit spread."""
     row = vectors.agg(F.count("*").alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
-    return alpha / max(1, row["n"]) * (row["spread"] or 1.0)
+    scale = 1.0 if name == "svm_classifier" else row["spread"] or 1.0
+    return alpha / max(1, row["n"]) * scale
 
 
 def _flat(model: Transformer) -> Transformer:
@@ -161,21 +226,32 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFra
 
 
 def score_models(models: Mapping[str, PipelineModel], df: DataFrame, label: str) -> DataFrame:
-    """Predictions of all models over the same rows, one row per (model, row)."""
-    parts = [
-        predict(m, df, [label]).select(
+    """Predictions of all models over the same rows, one row per (model, row).
+
+    The models are chained over one scan, a prediction column each, and turned into rows last.
+    """
+    kept = df.columns
+    rows = df
+    for i, m in enumerate(models.values()):
+        scored = m.transform(rows)
+        held = [c for c in rows.columns if c.startswith("_prediction_")]
+        rows = scored.select(
+            *[quoted(c) for c in kept], *held, F.col("prediction").alias(f"_prediction_{i}")
+        )
+    each = [
+        F.struct(
             F.lit(name).alias("model"),
             F.lit(i).alias("model_ordinal"),
             quoted(label).cast("double").alias(LABEL),
-            "prediction",
+            F.col(f"_prediction_{i}").alias("prediction"),
         )
-        for i, (name, m) in enumerate(models.items())
+        for i, name in enumerate(models)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return rows.select(F.inline(F.array(*each)))
 
 
 def evaluate_models(models: Mapping[str, PipelineModel], df: DataFrame, label: str) -> DataFrame:
-    """Accuracy and F1 of every model, in one pass per model over the hold-out."""
+    """Accuracy and F1 of every model, in one pass over the hold-out."""
     by = ["model", "model_ordinal"]
     return headline_scores(confusion_counts(score_models(models, df, label), by=by), by)
 

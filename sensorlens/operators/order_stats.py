@@ -21,12 +21,10 @@ from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import quoted
 
-GATHER_BOUND = 1_000_000  # values of one column that may be gathered and sorted in a task
-VALUES_PER_JOB = 8_000_000  # values of all columns gathered by one job
+GATHER_BOUND = 10_000  # values of one column that may be gathered and sorted in a task
+VALUES_PER_JOB = 1_000_000  # values of all columns gathered by one job
 SKETCH_ACCURACY = 10_000
 TARGETS_PER_JOB = 128
-LOOK_ALIKES = 100_000  # different values that one double may stand for
-TOP_N_BOUND = 10_000  # rows a plain top-n sort may send from each partition
 
 
 @dataclass
@@ -86,7 +84,7 @@ def order_statistics(
             _narrow(df, columns, wide[start : start + TARGETS_PER_JOB])
         for s in wide:
             if before[id(s)] == (s.interval, s.found):
-                _count_values(df, columns[s.name], s, bound)
+                _count_values(df, columns[s.name], s)
     _gather(df, columns, [s for s in searches if not s.found])
     return {(s.name, s.rank): s.value for s in searches}
 
@@ -138,22 +136,14 @@ def _narrow(df: DataFrame, columns: Mapping[str, Column], searches: list[_Search
                     _cut(s, v, seen[2 * at], seen[2 * at + 1])
 
 
-def _count_values(df: DataFrame, column: Column, s: _Search, bound: int) -> None:
+def _count_values(df: DataFrame, column: Column, s: _Search) -> None:
     """Settle a search whose interval the sketch cannot divide.
 
-    Sketches work on doubles, so integers beyond 2**53 that share a double look alike. An
-    interval of such look-alikes has few different values, and those are counted one by one.
+    Sketches work on doubles, so integers beyond 2**53 that share a double look alike; such
+    values are ranked as they are.
     """
-    counted = df.select(column.alias("v")).filter(s.holds(F.col("v"))).groupBy("v").count()
-    rows = counted.limit(max(bound, LOOK_ALIKES) + 1).collect()
-    if len(rows) > max(bound, LOOK_ALIKES):
-        raise ValueError(f"values of {s.name} are too close together to be ranked as doubles")
-    passed = s.below
-    for value, n in sorted((r["v"], r["count"]) for r in rows):
-        if s.rank < passed + n:
-            s.found, s.value = True, value
-            return
-        passed += n
+    inside = df.filter(s.holds(column))
+    s.found, s.value = True, value_at_rank(inside, column, s.rank - s.below)
 
 
 def _cut(s: _Search, v: Any, less: int, less_or_equal: int) -> None:
@@ -239,25 +229,38 @@ def _neighbours(n: int, p: float) -> tuple[int, int, float]:
     return left, min(left + 1, n - 1), position - left
 
 
-def smallest_rows(
-    df: DataFrame, n: int, key: str | Column, bound: int = TOP_N_BOUND
-) -> DataFrame:
-    """The ``n`` rows with the smallest key, found by a key threshold when ``n`` is large.
+def smallest_rows(df: DataFrame, n: int, key: str | Column) -> DataFrame:
+    """The ``n`` rows with the smallest key, missing keys first; all rows if there are fewer.
 
-    A top-n sort sends ``n`` rows of every partition to one task; beyond ``bound`` the
-    n-th smallest key is searched instead and the rows are kept by a plain filter.
+    The n-th smallest key is searched and the rows are kept by a plain filter, whatever ``n``
+    and whatever the type of the key; rows that share that key are chosen by row hash.
     """
     k = quoted(key) if isinstance(key, str) else key
-    if n <= bound:
-        return df.orderBy(k).limit(n)
-    total = non_missing_counts(df, {"key": k})["key"]
+    total, keyed = df.agg(F.count("*"), F.count(k)).first()
     if n >= total:
-        return df.filter(k.isNotNull())
-    cut = order_statistics(df, {"key": k}, {"key": [n - 1]}, {"key": total})["key", n - 1]
-    under = df.filter(k < F.lit(cut))
+        return df
+    missing = total - keyed
+    if n <= missing:
+        return _some_of(df.filter(k.isNull()), n)
+    cut = value_at_rank(df, k, n - missing - 1)
+    under = df.filter(k.isNull() | (k < F.lit(cut)))
     return under.unionByName(_some_of(df.filter(k == F.lit(cut)), n - under.count()))
 
 
+def value_at_rank(df: DataFrame, column: Column, rank: int) -> Any:
+    """The value at a 0-based rank of a column of any type that has an order.
+
+    Equal values are counted before the exchange and range-partitioned; counts of earlier
+    ranges are added up, so values are compared as they are and never as doubles.
+    """
+    from sensorlens.operators.ranks import running_totals
+
+    counted = df.select(column.alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("n"))
+    placed = running_totals(counted, "v", "n")
+    holds = (F.col("before") <= F.lit(rank)) & (F.lit(rank) < F.col("before") + F.col("n"))
+    return placed.filter(holds).select("v").first()[0]
+
+
 def _some_of(ties: DataFrame, n: int) -> DataFrame:
     """``n`` of the rows that share the cut key, chosen by row hash.
 
@@ -265,6 +268,8 @@ def _some_of(ties: DataFrame, n: int) -> DataFrame:
     gathered, and as many copies as needed are written out again.
     """
     h = F.shiftrightunsigned(F.xxhash64(*[quoted(c) for c in ties.columns]), 12)
+    if n <= 0:
+        return ties.limit(0)
     cut = order_statistics(ties, {"h": h}, {"h": [n - 1]})["h", n - 1]
     under = ties.filter(h < F.lit(cut))
     copies = (

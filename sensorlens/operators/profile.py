@@ -12,6 +12,7 @@ from sensorlens.functions.frames import long_report, report_frame, union_all
 from sensorlens.operators.order_stats import quantiles, smallest_rows
 
 DISTINCT_COLUMNS_PER_SCAN = 16
+# The percentiles reported by default.
 DEFAULT_PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999)
 
 
@@ -141,7 +142,7 @@ def dtype_analysis(df: DataFrame) -> DataFrame:
 
 def cardinality_count(
     df: DataFrame,
-    max_unique_to_report: int | None = 50,
+    max_unique_to_report: int | None = None,
     cols: Iterable[str] | None = None,
     approx: bool = False,
 ) -> DataFrame:
@@ -297,7 +298,7 @@ def histogram_edges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float
 def histograms(
     df: DataFrame,
     bins: int = 30,
-    max_columns: int | None = 20,
+    max_columns: int | None = None,
     cols: Iterable[str] | None = None,
     exclude: Iterable[str] = ("id",),
 ) -> DataFrame:
@@ -397,7 +398,7 @@ def outlier_detection(
     method: str = "iqr",
     iqr_k: float = 1.5,
     zscore_threshold: float = 3.0,
-    max_columns: int | None = 30,
+    max_columns: int | None = None,
     cols: Iterable[str] | None = None,
     exclude: Iterable[str] = ("id",),
 ) -> DataFrame:
@@ -498,7 +499,7 @@ def inconsistency_checks(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 def boxplots(
     df: DataFrame,
-    max_columns: int | None = 20,
+    max_columns: int | None = None,
     k: float = 1.5,
     cols: Iterable[str] | None = None,
     exclude: Iterable[str] = ("id",),
@@ -547,7 +548,7 @@ def boxplots(
 def correlation_matrix(
     df: DataFrame,
     method: str = "pearson",
-    max_columns: int | None = 30,
+    max_columns: int | None = None,
     cols: Iterable[str] | None = None,
     exclude: Iterable[str] = ("id",),
 ) -> DataFrame:
@@ -559,10 +560,9 @@ def correlation_matrix(
     cols = _numeric(df, cols, exclude, max_columns)
     data = df.select(*[quoted(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
     if method == "spearman":
-        from sensorlens.operators.ranks import replace_by_rank
+        from sensorlens.operators.ranks import replace_by_ranks
 
-        for i in range(len(cols)):
-            data = replace_by_rank(data, f"v{i}")
+        data = replace_by_ranks(data, [f"v{i}" for i in range(len(cols))])
     elif method != "pearson":
         raise ValueError(f"method must be pearson or spearman, got {method}")
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
@@ -585,11 +585,11 @@ def correlation_matrix(
 def scatter_matrix(
     df: DataFrame,
     sample_rows: int = 10_000,
-    max_columns: int = 8,
+    max_columns: int | None = None,
     key: str = "id",
     random_state: int = 42,
 ) -> DataFrame:
-    """``sample_rows`` rows of the first numeric columns, chosen by a digest of the key."""
+    """``sample_rows`` rows of the numeric columns, or the first ones, chosen by a digest of the key."""
     cols = numeric_cols(df, [key])[:max_columns]
     chosen = df.select(quoted(key), *[quoted(c) for c in cols])
     return smallest_rows(chosen, sample_rows, split_number(quoted(key), random_state))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import quoted
 from sensorlens.functions.frames import materialise
-from sensorlens.operators.keys import hot_keys
+from sensorlens.operators.keys import SALT, SALTS, hot_keys, salted_copies, salted_rows
 
 LOOKUP_BOUND = 200_000  # lookup rows that may be broadcast or ordered in one task
+LOOKUP_BYTES = 64 << 20  # bytes of a lookup that may be broadcast
 HOT_SHARE = 0.001  # a key with this share of the rows is hot: at most 1000 such keys
 
 
@@ -49,44 +52,37 @@ def running_totals(
     )
 
 
+def small_enough(lookup: DataFrame, bound: int = LOOKUP_BOUND) -> bool:
+    """Whether a written lookup has few enough rows and bytes to be sent to every task."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    rows, total = lookup.agg(F.count("*"), F.sum(width)).first()
+    return rows <= bound and (total or 0) <= LOOKUP_BYTES
+
+
 def attach_by_key(
     df: DataFrame,
     lookup: DataFrame,
     key: str,
-    weight: str | None = None,
     bound: int = LOOKUP_BOUND,
     written: bool = False,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Left join with a lookup that has one row per key.
 
-    A lookup of at most ``bound`` rows is broadcast after counting it; for that it is
-    written down first, unless it already rests on a ``written`` table. A larger one is
-    joined by a shuffle, and rows without a key or with a hot key stay out of it. Hot keys
-    are those whose ``weight`` in the lookup (rows per key in ``df``) reaches ``HOT_SHARE``
-    of all rows; without a weight a sketch of the key column names them. Either way their
-    number is limited by the share, so their lookup rows can always be broadcast.
+    A lookup of bounded rows and bytes is broadcast; to be measured it is written down first,
+    unless it already rests on a ``written`` table. A larger one is joined by one exchange:
+    rows whose key is hot in ``df`` (or in ``keys_of``, which holds the same keys at less cost)
+    or missing are spread over salts, and the lookup rows of hot keys are repeated per salt.
+    Hot keys are named by a sketch and limited in number by their share.
     """
     if not written:
         lookup = materialise(lookup)
-    if lookup.count() <= bound:
+    if small_enough(lookup, bound):
         return df.join(F.broadcast(lookup), key, "left")
-    added = [f for f in lookup.schema.fields if f.name != key]
-    no_key = df.filter(quoted(key).isNull()).withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in added}
-    )
-    keyed = df.filter(quoted(key).isNotNull())
-    if weight is None:
-        is_hot = quoted(key).isin(hot_keys(keyed, key))
-    else:
-        total = lookup.agg(F.sum(weight)).first()[0] or 0
-        is_hot = quoted(weight) >= max(1, int(total * HOT_SHARE))
-    hot = F.broadcast(lookup.filter(is_hot))
-    cold = lookup.filter(~is_hot)
-    return (
-        keyed.join(hot, key, "inner")
-        .unionByName(keyed.join(hot.select(key), key, "left_anti").join(cold, key, "left"))
-        .unionByName(no_key)
-    )
+    hot = hot_keys(df if keys_of is None else keys_of, key, HOT_SHARE)
+    is_hot = F.coalesce(quoted(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    salted = salted_rows(df, is_hot | quoted(key).isNull(), SALTS)
+    return salted.join(salted_copies(lookup, is_hot, SALTS), [key, SALT], "left").drop(SALT)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -106,7 +102,15 @@ def average_ranks(df: DataFrame, column: str, bound: int = LOOKUP_BOUND) -> Data
     )
 
 
-def replace_by_rank(df: DataFrame, column: str, bound: int = LOOKUP_BOUND) -> DataFrame:
-    ranks = average_ranks(df, column, bound)
-    joined = attach_by_key(df, ranks, column, weight="n", bound=bound, written=True)
-    return joined.withColumn(column, F.col("avg_rank")).drop("avg_rank", "n")
+def replace_by_ranks(df: DataFrame, columns: Sequence[str], bound: int = LOOKUP_BOUND) -> DataFrame:
+    """Replace columns by their average ranks; all ranks are counted on ``df`` itself.
+
+    Each column adds one join to the plan, whatever the size of its lookup.
+    """
+    base = materialise(df)
+    out = base
+    for c in columns:
+        ranks = materialise(average_ranks(base, c, bound).drop("n").withColumnRenamed("avg_rank", "_rank"))
+        joined = attach_by_key(out, ranks, c, bound, written=True, keys_of=base.select(quoted(c)))
+        out = joined.withColumn(c, F.col("_rank")).drop("_rank")
+    return out

@@ -129,7 +129,7 @@ BASELINE_ROWS = f"""select 'majority' as model, faulty as label, (select faulty
 
 @query("b72_baseline_majority", f"select round(sum(hits)::double / sum(support), 6) as accuracy, round(sum(f * support)::double / sum(support), 6) as f1_weighted from {scores_sql(BASELINE_ROWS)}")
 def b72(spark, sf_dir):
-    train, test = split.split_holdout(labels_y(spark, sf_dir), "faulty")
+    train, test = split.split_holdout(labels_y(spark, sf_dir), None, split.BY_THRESHOLD)
     scored = evaluate.baseline_prediction(train, test, "faulty")
     heads = evaluate.headline_scores(evaluate.confusion_counts(scored, "faulty"))
     return rounded(heads.select("accuracy", "f1_weighted"), "accuracy", "f1_weighted")
@@ -138,7 +138,7 @@ def b72(spark, sf_dir):
 @query("b72_baseline_mean", f"""select round(sqrt(avg((margin - m) ** 2)), 3) as rmse, round(avg(abs(margin - m)), 3) as mae, count(*) as support
  from {Y_SQL}, (select avg(margin) as m from {Y_SQL} where not {TEST}) where {TEST}""")
 def b72_mean(spark, sf_dir):
-    train, test = split.split_holdout(labels_y(spark, sf_dir), "faulty")
+    train, test = split.split_holdout(labels_y(spark, sf_dir), None, split.BY_THRESHOLD)
     scored = evaluate.baseline_prediction(train, test, "margin", "naive_mean")
     return rounded(evaluate.regression_scores(scored, "margin"), "rmse", "mae", digits=3)
 
@@ -164,7 +164,7 @@ def b73(spark, sf_dir):
        .replace("from tr", "from (select event_id, ts from events where not (substr(md5(cast(event_id as varchar) || ':42'), 1, 8) < '33333333'))"))
 def b74(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    train, test = split.split_holdout(events, None, split.HoldoutConfig(key="event_id"))
+    train, test = split.split_holdout(events, None, split.HoldoutConfig(stratify=False, exact=False, key="event_id"))
     return evaluate.leakage_detection(train, test, ["value", "event_type"], "value", "user_id", "ts")
 
 
@@ -178,8 +178,8 @@ def b75(spark, sf_dir):
 @query("b77_reproducibility_check", f"""select count(*) filter (not {TEST}) as rows_first, count(*) filter (not {TEST}) as rows_second, true as identical from {Y_SQL}""")
 def b77(spark, sf_dir):
     y = labels_y(spark, sf_dir)
-    first, _ = split.split_holdout(y, "faulty")
-    again, _ = split.split_holdout(y.repartition(7), "faulty")
+    first, _ = split.split_holdout(y, None, split.BY_THRESHOLD)
+    again, _ = split.split_holdout(y.repartition(7), None, split.BY_THRESHOLD)
     return evaluate.reproducibility_check(first, again)
 
 
@@ -193,18 +193,20 @@ def _naive_bayes_sql() -> str:
  select id, faulty, arg_max(cls, {score})::double as prediction from xy, g where {TEST} group by 1, 2"""
 
 
+# The reference models' own parameters.
 TREES = {
-    "decision_tree_classifier": {"max_depth": 6},
-    "random_forest_classifier": {"n_estimators": 20, "max_depth": 6},
+    "decision_tree_classifier": {"random_state": 42},
+    "random_forest_classifier": {"n_estimators": 100, "random_state": 42, "n_jobs": -1},
 }
 
 
-def _prepared(spark, sf_dir):
-    return workflow.prepare(features_x(spark, sf_dir), labels_y(spark, sf_dir), drop_after_join=["margin"])
+def _prepared(spark, sf_dir, holdout=None):
+    x, y = features_x(spark, sf_dir), labels_y(spark, sf_dir)
+    return workflow.prepare(x, y, drop_after_join=["margin"], holdout=holdout)
 
 
 def _fitted(spark, sf_dir, name, params=None, registry=model.CLASSIFIERS, label="faulty", scaling="standard"):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), label)
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES, prep.PreprocessConfig(scaling=scaling))
     estimators = model.build_estimators({name: params}, registry)
     return model.fit_models(pre, estimators, train, label)[name], train, test
@@ -238,7 +240,7 @@ def _bayes_metrics_sql() -> str:
 
 @query("a55_workflow_bayes", _bayes_metrics_sql())
 def a55_bayes(spark, sf_dir):
-    done = workflow.fit_and_score(_prepared(spark, sf_dir), {"naive_bayes_classifier": {}})
+    done = workflow.fit_and_score(_prepared(spark, sf_dir, split.BY_THRESHOLD), {"naive_bayes_classifier": {}})
     return rounded(done.metrics.select("model", "accuracy", "f1_weighted", "support"), "accuracy", "f1_weighted")
 
 
@@ -259,9 +261,71 @@ def a64(spark, sf_dir):
     return explain.permutation_importance(fitted, test, "faulty", FEATURES, n_repeats=10)
 
 
+# A tree of one split over few different values is the best cut by impurity: SQL can state it.
+STUMP = {"max_depth": 1}
+
+
+def _stump(spark, sf_dir, name, registry, label, params):
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
+    pre = prep.fit_numeric_preprocessor(train, ["n_lines"], prep.PreprocessConfig(scaling="none"))
+    fitted = model.fit_models(pre, model.build_estimators({name: params}, registry), train, label)[name]
+    return fitted, model.predict(fitted, test, ["id", label])
+
+
+def _stump_sql(label: str, impurity: str, left: str, right: str) -> str:
+    """Best cut of n_lines: nl rows and a label sum of sl up to the cut, n and s in all."""
+    return f"""with xy as materialized (select id, n_lines, {label}, {TEST} as held from {XY_SQL}),
+ per as (select n_lines as v, count(*)::double as n, sum({label})::double as s from xy where not held group by 1),
+ cuts as (select v as cut, sum(n) over (order by v) as nl, sum(s) over (order by v) as sl, sum(n) over () as n, sum(s) over () as s from per),
+ best as (select * from cuts where nl < n order by {impurity}, cut limit 1)
+ select id, {label}, round(case when n_lines <= cut then {left} else {right} end::double, 2) as prediction from xy, best where held"""
+
+
+_CLASS_STUMP = _stump_sql(
+    "faulty",
+    "nl - (sl * sl + (nl - sl) * (nl - sl)) / nl + (n - nl) - ((s - sl) * (s - sl) + (n - nl - s + sl) * (n - nl - s + sl)) / (n - nl)",
+    "cast(sl * 2 > nl as integer)", "cast((s - sl) * 2 > n - nl as integer)")
+_VALUE_STUMP = _stump_sql("margin", "- sl * sl / nl - (s - sl) * (s - sl) / (n - nl)", "sl / nl", "(s - sl) / (n - nl)")
+
+
+@query("a52_decision_stump", _CLASS_STUMP)
+def a52_stump(spark, sf_dir):
+    return _stump(spark, sf_dir, "decision_tree_classifier", model.CLASSIFIERS, "faulty", STUMP)[1]
+
+
+@query("a53_forest_of_one_stump", _CLASS_STUMP)
+def a53_stump(spark, sf_dir):
+    one = {"n_estimators": 1, "bootstrap": False, "max_features": "all", **STUMP}
+    return _stump(spark, sf_dir, "random_forest_classifier", model.CLASSIFIERS, "faulty", one)[1]
+
+
+@query("a61_importance_of_one_split", "select 'n_lines' as feature, 1.0::double as importance from orders limit 1")
+def a61_stump(spark, sf_dir):
+    fitted, _ = _stump(spark, sf_dir, "decision_tree_regressor", model.REGRESSORS, "margin", STUMP)
+    return model.feature_importance(fitted, ["n_lines"])
+
+
+@query("b62_regression_stump", _VALUE_STUMP)
+def b62_stump(spark, sf_dir):
+    scored = _stump(spark, sf_dir, "decision_tree_regressor", model.REGRESSORS, "margin", STUMP)[1]
+    return rounded(scored, "prediction", digits=2)
+
+
+@query("b62_forest_of_one_stump", _VALUE_STUMP)
+def b62_forest_stump(spark, sf_dir):
+    one = {"n_estimators": 1, "bootstrap": False, **STUMP}
+    return rounded(_stump(spark, sf_dir, "random_forest_regressor", model.REGRESSORS, "margin", one)[1], "prediction", digits=2)
+
+
+@query("b63_one_boosting_round", _VALUE_STUMP)
+def b63_stump(spark, sf_dir):
+    one = {"n_estimators": 1, **STUMP}
+    return rounded(_stump(spark, sf_dir, "boosted_trees_regressor", model.REGRESSORS, "margin", one)[1], "prediction", digits=2)
+
+
 @query("b57_svm_classifier")
 def b57(spark, sf_dir):
-    return _predictions(spark, sf_dir, "svm_classifier", {"maxIter": 20})
+    return _predictions(spark, sf_dir, "svm_classifier", {"kernel": "linear", "C": 1.0})
 
 
 @query("b58_naive_bayes_classifier", _naive_bayes_sql())
@@ -283,7 +347,7 @@ def b60(spark, sf_dir):
 
 @query("b60_ridge_and_lasso")
 def b60_ridge(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     chosen = model.build_estimators({"ridge_regression": {"alpha": 1.0}, "lasso_regression": {"alpha": 0.1}}, model.REGRESSORS)
     scored = model.score_models(model.fit_models(pre, chosen, train, "margin"), test, "margin")
@@ -291,7 +355,7 @@ def b60_ridge(spark, sf_dir):
 
 
 def _price_model(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, ["price"])
     chosen = model.build_estimators({"linear_regression": {}}, model.REGRESSORS)
     return model.fit_models(pre, chosen, train, "margin")["linear_regression"], train, test
@@ -302,7 +366,7 @@ def _price_model(spark, sf_dir):
  select id, round(y + c * n / (n + 500) * (price - m) / sd, 2) as ridge,
  round(y + sign(c) * greatest(abs(c) - 300, 0) * (price - m) / sd, 2) as lasso from xy, s where {TEST}""")
 def b60_one(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, ["price"])
     chosen = model.build_estimators({"ridge_regression": {"alpha": 500.0}, "lasso_regression": {"alpha": 300.0}}, model.REGRESSORS)
     fitted = model.fit_models(pre, chosen, train, "margin")
@@ -316,7 +380,7 @@ def b60_one(spark, sf_dir):
  g as (select regr_slope(margin, p2 - c - d * price) as q from tr, f)
  select id, round(a + b * price + q * (p2 - c - d * price), 1) as prediction from xy, f, g where {TEST}""")
 def b61_one(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, ["price"])
     chosen = model.build_estimators({"polynomial_regression": {"degree": 2}}, model.REGRESSORS)
     fitted = model.fit_models(pre, chosen, train, "margin")["polynomial_regression"]
@@ -330,7 +394,7 @@ def b61(spark, sf_dir):
 
 @query("b62_tree_regressors")
 def b62(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     chosen = model.build_estimators({"decision_tree_regressor": {"max_depth": 5},
                                      "random_forest_regressor": {"n_estimators": 20, "max_depth": 5}}, model.REGRESSORS)
@@ -344,7 +408,7 @@ def b63(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir, label):
-    train, _ = split.split_holdout(materialise(joined_xy(spark, sf_dir)), label)
+    train, _ = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     return model.labelled(pre, train, label, ["id"])
 
@@ -396,7 +460,7 @@ def b66_folds(spark, sf_dir):
 
 @query("b67_probabilistic_regression")
 def b67(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     linear = model.build_estimators({"linear_regression": {}}, model.REGRESSORS)["linear_regression"]
     return model.fit_probabilistic_regression(pre, linear, train, "margin").transform(test, ["id", "margin"])
@@ -411,7 +475,7 @@ PRICE_FIT = f"(select regr_slope(margin, price) as b, regr_intercept(margin, pri
  select id, 'norm' as distribution, round(a + b * price, 2) as loc,
  round(greatest((c + d * price) * sqrt(pi() / 2), typical / 1000), 2) as scale from {XY_SQL}, f, g where {TEST}""")
 def b67_one(spark, sf_dir):
-    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), "margin")
+    train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, ["price"])
     linear = model.build_estimators({"linear_regression": {}}, model.REGRESSORS)["linear_regression"]
     fitted = model.fit_probabilistic_regression(pre, linear, train, "margin")
@@ -461,7 +525,7 @@ def b69(spark, sf_dir):
 @query("b70_partial_dependence")
 def b70(spark, sf_dir):
     fitted, _, test = _fitted(spark, sf_dir, "decision_tree_classifier", TREES["decision_tree_classifier"])
-    return explain.partial_dependence(fitted, test, FEATURES, grid_resolution=10, max_features=3)
+    return explain.partial_dependence(fitted, test, FEATURES)
 
 
 @query("b76_batch_scoring")

@@ -210,9 +210,9 @@ def a43_near(spark, sf_dir):
     return select.remove_constant_features(_padded_x(spark, sf_dir), threshold_unique=2).df
 
 
-@query("a44_remove_duplicate_features", f"select * exclude (qty_again, lines_again, void) from {PADDED_SQL}")
+@query("a44_remove_duplicate_features", f"select * exclude (qty_again, lines_again) from {PADDED_SQL}")
 def a44(spark, sf_dir):
-    return select.remove_duplicate_features(_padded_x(spark, sf_dir).drop("void")).df
+    return select.remove_duplicate_features(_padded_x(spark, sf_dir)).df
 
 
 @query("b12_manual_include_exclude", f"select id, qty, tax from {X_SQL}")
@@ -252,9 +252,21 @@ def b17(spark, sf_dir):
 # --- splits ----------------------------------------------------------------------------
 
 
-@query("a45_stratified_holdout", f"select id, faulty, {TEST} as is_test from {Y_SQL}")
-def a45(spark, sf_dir):
-    return split.holdout_side(labels_y(spark, sf_dir), "faulty").drop("margin")
+def _test_counts_sql(share: float) -> str:
+    """Test rows per class of faulty by largest remainder; p holds the rows."""
+    n_train = f"(total - ceil(round(total * {share}::double, 9)))"
+    return f"""select label, n - floor(n * {n_train} / total) - cast(row_number() over (
+   order by floor(n * {n_train} / total) - n * {n_train} / total, cast(label as varchar))
+   <= {n_train} - sum(floor(n * {n_train} / total)) over () as integer) as k
+  from (select faulty as label, count(*) as n, sum(count(*)) over () as total from p group by 1)"""
+
+
+def _many_classes_sql() -> str:
+    rows = "(select o_orderkey as id, cast(floor(o_totalprice / 100) as bigint) as class from orders)"
+    counts = _test_counts_sql(0.2)
+    return f"""with p as (select id, class as faulty from {rows}), t as ({counts}),
+ r as (select *, row_number() over (partition by faulty order by {digest_sql('id', 42, 13)}, id) as r from p)
+ select id, faulty as class, r <= k as is_test from r join t on t.label = faulty"""
 
 
 def _exact_sql(label: str) -> str:
@@ -266,12 +278,31 @@ def _exact_sql(label: str) -> str:
  select id, faulty, r <= n - whole - cast(turn <= rest as integer) as is_test from t join f on t.{label} = f.label"""
 
 
+@query("a45_stratified_holdout", _exact_sql("faulty"))
+def a45(spark, sf_dir):
+    return split.holdout_side(labels_y(spark, sf_dir), "faulty").drop("margin")
+
+
+@query("a45_threshold_holdout", f"select id, faulty, {TEST} as is_test from {Y_SQL}")
+def a45_threshold(spark, sf_dir):
+    return split.holdout_side(labels_y(spark, sf_dir), None, split.BY_THRESHOLD).drop("margin")
+
+
 @query("a45_stratified_exact", _exact_sql("faulty"))
 def a45_exact(spark, sf_dir):
     exact = split.HoldoutConfig(exact=True)
     return split.holdout_side(labels_y(spark, sf_dir), "faulty", exact).drop("margin")
 
 
+@query("a45_many_classes", _many_classes_sql())
+def a45_many(spark, sf_dir):
+    """More classes than a filter can list: the priced part of each line stands for its class."""
+    lines = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.floor(F.col("o_totalprice") / 100).cast("long").alias("class")
+    )
+    return split.holdout_side(lines, "class")
+
+
 @query("a46_plain_holdout", f"""select id, faulty, row_number() over (order by {digest_sql('id', 7, 13)}, id)
  <= ceil(round(count(*) over () * 0.25::double, 9)) as is_test from {Y_SQL}""")
 def a46(spark, sf_dir):
@@ -279,9 +310,19 @@ def a46(spark, sf_dir):
     return split.holdout_side(labels_y(spark, sf_dir), None, plain).drop("margin")
 
 
-@query("b53_train_val_test", f"""select id, faulty, case when {digest_sql('id')} < '33333333' then 'test'
- when {digest_sql('id')} < '4ccccccd' then 'val' else 'train' end as part from {Y_SQL}""")
+@query("b53_train_val_test", f"""with p as (select id, faulty, {digest_sql('id', 42, 13)} as d from {Y_SQL}),
+ t as ({_test_counts_sql(0.2)}), u as ({_test_counts_sql(0.3)}),
+ r as (select *, row_number() over (partition by faulty order by d, id) as r from p)
+ select id, faulty, case when r <= t.k then 'test' when r <= u.k then 'val' else 'train' end as part
+ from r join t on t.label = faulty join u on u.label = faulty""")
 def b53(spark, sf_dir):
+    parts = split.train_val_test(labels_y(spark, sf_dir), 0.1, 0.2, label="faulty")
+    return parts.drop("margin")
+
+
+@query("b53_threshold_parts", f"""select id, faulty, case when {digest_sql('id')} < '33333333' then 'test'
+ when {digest_sql('id')} < '4ccccccd' then 'val' else 'train' end as part from {Y_SQL}""")
+def b53_threshold(spark, sf_dir):
     return split.train_val_test(labels_y(spark, sf_dir), 0.1, 0.2).drop("margin")
 
 
@@ -303,7 +344,7 @@ def b55(spark, sf_dir):
 
 def _train_and_all(spark, sf_dir):
     x = materialise(x_missing(spark, sf_dir))
-    return split.split_holdout(x, None)[0], x
+    return split.split_holdout(x, None, split.BY_THRESHOLD)[0], x
 
 
 def _prepared_sql(centre: str, scaling: bool = True) -> str:
@@ -417,12 +458,12 @@ def b18(spark, sf_dir):
     return clean.drop_rows(wide_missing(spark, sf_dir))
 
 
-@query("b19_drop_columns", "select o_orderkey, o_totalprice from orders")
+@query("b19_drop_columns", "select o_orderkey, o_totalprice, nullif(o_orderstatus, 'P') as status from orders")
 def b19(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", F.nullif("o_orderstatus", F.lit("P")).alias("status"),
         F.when(F.col("o_orderstatus") == "P", F.col("o_custkey")).alias("customer"))
-    return clean.drop_columns(orders.drop("status"), 0.5)
+    return clean.drop_columns(orders, 0.5)
 
 
 @query("b20_drop_rows_threshold", f"select qty, disc from {X_MISSING_SQL} where cast(qty is null as integer) + cast(disc is null as integer) <= 1")
@@ -578,7 +619,7 @@ def b40(spark, sf_dir):
 def b41(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), "o_custkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
-    train, _ = split.split_holdout(rows, "y")
+    train, _ = split.split_holdout(rows, None, split.BY_THRESHOLD)
     return rounded(encode.target_encoding(rows, "o_custkey", "y", train), "o_custkey_target", digits=6)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import select_numeric
+from sensorlens.functions.frames import checkpoint_folder
 from sensorlens.operators.select import (
     cast_label,
     drop_after_join,
@@ -14,7 +17,7 @@ from sensorlens.operators.select import (
 )
 from sensorlens.plans.catalog import query
 from sensorlens.plans.tables import X_SQL, XY_SQL, Y_SQL, features_x, joined_xy, labels_y, table
-from sensorlens.sources.reader import ReadStrategy, parse_number, parse_report, preview, read_table
+from sensorlens.sources.reader import ReadStrategy, parse_number, parse_report, preview, read_csv, read_table
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
@@ -24,6 +27,14 @@ def a01(spark, sf_dir):
     return read_table(spark, f"{sf_dir}/orders.parquet").select(*ORDER_COLUMNS)
 
 
+@query("a01_scan_csv", f"select {', '.join(ORDER_COLUMNS)} from orders")
+def a01_csv(spark, sf_dir):
+    """The orders as delimited text in the shared folder, scanned with a declared schema."""
+    path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").select(*ORDER_COLUMNS).write.option("header", "true").csv(path)
+    return read_csv(spark, path, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+
+
 @query("a02_scan_sample", f"select {', '.join(ORDER_COLUMNS)} from orders order by o_orderkey limit 12000")
 def a02(spark, sf_dir):
     first = ReadStrategy(mode="sample", sample_rows=12_000)

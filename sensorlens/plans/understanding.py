@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from sensorlens.functions.frames import materialise
+from sensorlens.functions.frames import checkpoint_folder, materialise
 from sensorlens.operators import profile as P
 from sensorlens.operators.evaluate import top_k
 from sensorlens.operators.order_stats import smallest_rows
-from sensorlens.operators.split import split_holdout
+from sensorlens.operators.split import BY_THRESHOLD, split_holdout
 from sensorlens.plans.catalog import query
 from sensorlens.plans.tables import WIDE, WIDE_SQL, X_SQL, XY_SQL, Y_SQL
 from sensorlens.plans.tables import digest_sql, features_x, joined_xy, labels_y, table, wide_missing
@@ -43,7 +45,7 @@ def _values_sql(column: str, ordinal: int) -> str:
     blank = ", ".join(f"cast(null as double) as {n}" for n in ('mean', 'std', '"min"', 'p25', 'p50', 'p75', '"max"'))
     return f"""select '{column}' as "column", {ordinal} as ordinal, cast(sum(n) as bigint) as count,
  count(*) as "unique", arg_min(v, (-n, v)) as top, max(n) as freq, {blank}
- from (select {column} as v, count(*) as n from events where {column} is not null group by 1)"""
+ from (select cast({column} as varchar) as v, count(*) as n from events where {column} is not null group by 1)"""
 
 
 def _numbers_sql(column: str, ordinal: int) -> str:
@@ -56,10 +58,10 @@ def _numbers_sql(column: str, ordinal: int) -> str:
 
 
 @query("a24_describe_all", " union all ".join([
-    _numbers_sql("event_id", 0), _numbers_sql("user_id", 1), _values_sql("event_type", 2),
-    _numbers_sql("value", 3), _values_sql("props", 4)]))
+    _numbers_sql("event_id", 0), _values_sql("ts", 1), _numbers_sql("user_id", 2),
+    _values_sql("event_type", 3), _numbers_sql("value", 4), _values_sql("props", 5)]))
 def a24_all(spark, sf_dir):
-    d = P.describe(table(spark, sf_dir, "events").drop("ts"))
+    d = P.describe(table(spark, sf_dir, "events"))
     return rounded(d, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -145,7 +147,7 @@ def a32(spark, sf_dir):
  union all select 1, 'test', count(*), 3 from {Y_SQL} where {digest_sql('id')} < '33333333')
  select ordinal, split, n_rows, n_columns, round(n_rows * 100.0::double / (select sum(n_rows) from p), 2) as percentage from p""")
 def a33(spark, sf_dir):
-    train, test = split_holdout(labels_y(spark, sf_dir), "faulty")
+    train, test = split_holdout(labels_y(spark, sf_dir), None, BY_THRESHOLD)
     return P.split_sizes({"train": train, "test": test})
 
 
@@ -207,8 +209,11 @@ def a42(spark, sf_dir):
  round(max({c})::double, 4) as "max", round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std from t""",
     ["event_id", "user_id", "value"], "events"))
 def a62(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    stream = file_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    """The events arrive in six files, two to a batch, so totals of batches are merged."""
+    events = table(spark, sf_dir, "events")
+    path = f"{checkpoint_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    events.repartition(6).write.parquet(path)
+    stream = file_stream(spark, path, events.schema, files_per_batch=2)
     profile = profile_available_files(stream, ["event_id", "user_id", "value"]).drop("missing_ratio")
     return rounded(profile, "min", "max", "mean", "std")
 
@@ -305,10 +310,9 @@ def _ranks_sql(columns, source: str) -> str:
     return f"(select {ranks} from {source})"
 
 
-@query("b09_correlation_spearman", _pairs_sql(WIDE[:4], _ranks_sql(WIDE[:4], WIDE_SQL)))
+@query("b09_correlation_spearman", _pairs_sql(WIDE, _ranks_sql(WIDE, WIDE_SQL)))
 def b09(spark, sf_dir):
-    lines = wide_missing(spark, sf_dir).select(*WIDE[:4])
-    return rounded(P.correlation_matrix(lines, "spearman"), "corr", digits=6)
+    return rounded(P.correlation_matrix(wide_missing(spark, sf_dir), "spearman"), "corr", digits=6)
 
 
 @query("b10_scatter_sample", f"select id, qty, price, disc, tax, n_lines from {X_SQL} order by {digest_sql('id', 42, 13)}, id limit 10000")
@@ -329,6 +333,21 @@ def b11_two(spark, sf_dir):
     return pcs.select("id", F.round(F.abs("pc1"), 6).alias("pc1"), F.round(F.abs("pc2"), 6).alias("pc2"))
 
 
+@query("a02_sample_null_keys", """select id, "key" from (select o_orderkey as id, case when o_custkey % 3 > 0 then o_orderkey end as "key" from orders)
+ order by "key" nulls first, id limit (select count(*) // 2 from orders)""")
+def a02_null_keys(spark, sf_dir):
+    """A sample that ends among the keyed rows, all rows without a key before them."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderkey")).alias("key"))
+    return smallest_rows(orders, orders.count() // 2, "key")
+
+
+@query("a02_sample_text_key", """select p_name from part order by p_name limit (select count(*) // 2 from part)""")
+def a02_text_key(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select("p_name")
+    return smallest_rows(parts, parts.count() // 2, "p_name")
+
+
 @query("a02_smallest_by_key", "select l_orderkey from lineitem order by l_orderkey limit 20000")
 def a02_threshold(spark, sf_dir):
     return smallest_rows(table(spark, sf_dir, "lineitem").select("l_orderkey"), 20_000, "l_orderkey")

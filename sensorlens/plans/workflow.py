@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sensorlens.functions.frames import materialise
 from sensorlens.operators import evaluate, explain, keys, model, prep, profile, select, split
@@ -88,6 +89,7 @@ class Modelled:
     metrics: DataFrame
     report: DataFrame
     best: model.BestModel = field(repr=False)
+    counts: DataFrame = field(repr=False)
 
 
 DEFAULT_MODELS = {"decision_tree_classifier": {}, "random_forest_classifier": {}}
@@ -96,16 +98,21 @@ DEFAULT_MODELS = {"decision_tree_classifier": {}, "random_forest_classifier": {}
 def fit_and_score(
     prepared: Prepared, enabled: Mapping[str, Mapping | None] = DEFAULT_MODELS
 ) -> Modelled:
-    """Fit the enabled classifiers, score the hold-out once per model, pick the best."""
+    """Fit the enabled classifiers, score the hold-out once with all of them, pick the best.
+
+    Labels and predictions are counted in that one pass and the counts written down: metrics,
+    report, choice and the later confusion matrix all come from them.
+    """
     estimators = model.build_estimators(enabled)
     models = model.fit_models(
         prepared.preprocessor, estimators, prepared.train, prepared.label
     )
     by = ["model", "model_ordinal"]
     scored = model.score_models(models, prepared.test, prepared.label)
-    metrics = evaluate.headline_scores(evaluate.confusion_counts(scored, by=by), by)
-    report = evaluate.classification_report(scored, by=["model"])
-    return Modelled(models, metrics, report, model.select_best(models, metrics))
+    counts = materialise(evaluate.confusion_counts(scored, by=by))
+    metrics = evaluate.headline_scores(counts, by)
+    report = evaluate.report_of_counts(counts.drop("model_ordinal"), by=["model"])
+    return Modelled(models, metrics, report, model.select_best(models, metrics), counts)
 
 
 def interpret(
@@ -118,11 +125,11 @@ def interpret(
 ) -> dict[str, DataFrame | None]:
     """Importances and the confusion matrix of the best model on the hold-out."""
     best = modelled.best.model
-    scored = model.score_models({modelled.best.name: best}, prepared.test, prepared.label)
+    counts = modelled.counts.filter(F.col("model") == modelled.best.name)
     return {
         "feature_importance": model.feature_importance(best, prepared.features, k),
         "permutation_importance": explain.permutation_importance(
             best, prepared.test, prepared.label, prepared.features, n_repeats, random_state, k
         ),
-        "confusion_matrix": evaluate.confusion_matrix(scored, normalize=normalize),
+        "confusion_matrix": evaluate.matrix_of_counts(counts.select("label", "prediction", "n"), normalize),
     }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import quoted
+from sensorlens.operators.profile import row_cap
 
 FORMATS = ("json", "parquet", "csv")
 
@@ -66,16 +67,16 @@ def write_document(document: DataFrame, path: str) -> None:
 def write_report(
     report: DataFrame,
     path: str,
-    max_rows: int | None = 60,
+    max_rows: int | None = None,
     order_by: Sequence[str] = ("ordinal",),
     format: str = "parquet",
 ) -> None:
-    """A report table in report order; ``max_rows=None`` writes all of it."""
+    """A report table in report order; ``max_rows`` cuts it and marks whether rows are missing."""
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, got {format}")
-    ordered = report.orderBy(*[quoted(c) for c in order_by])
     if max_rows is not None:
-        ordered = ordered.limit(max_rows)
+        report = row_cap(report, max_rows, order_by)
+    ordered = report.orderBy(*[quoted(c) for c in order_by])
     writer = ordered.coalesce(1).write.mode("overwrite")
     if format == "csv":
         writer = writer.option("header", "true")

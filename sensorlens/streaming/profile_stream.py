@@ -24,12 +24,13 @@ def file_stream(
     path: str,
     schema: T.StructType,
     format: str = "parquet",
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """A stream over the files of a folder, ``files_per_batch`` at a time."""
-    reader = spark.readStream.format(format).schema(schema)
-    reader = reader.option("maxFilesPerTrigger", files_per_batch).options(**options)
+    """A stream over the files of a folder, all that have arrived or ``files_per_batch`` at a time."""
+    reader = spark.readStream.format(format).schema(schema).options(**options)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return missing_to_null(reader.load(path))
 
 

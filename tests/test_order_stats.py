@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlens.operators.order_stats import order_statistics, quantiles, smallest_rows
+from sensorlens.operators import ranks
+from sensorlens.operators.keys import salted_rows
 from sensorlens.operators.ranks import attach_by_key, average_ranks, running_totals
 
 
@@ -52,17 +54,34 @@ def test_rank_out_of_range(numbers):
         order_statistics(numbers(1, 2), {"x": F.col("x")}, {"x": [2]})
 
 
-@pytest.mark.parametrize("bound", [1, 10_000])
-def test_smallest_rows_with_ties(spark, bound):
+def test_smallest_rows_with_ties(spark):
     df = spark.createDataFrame([(i // 3, i) for i in range(60)], "k long, i int")
-    got = sorted(r.k for r in smallest_rows(df, 10, "k", bound=bound).collect())
+    got = sorted(r.k for r in smallest_rows(df, 10, "k").collect())
     assert got == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
-    assert smallest_rows(df, 100, "k", bound=bound).count() == 60
+    assert smallest_rows(df, 100, "k").count() == 60
+
+
+def test_smallest_rows_of_missing_and_text_keys(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 != 0, F.format_string("k%05d", "id")).alias("k"), "id"
+    )
+    assert smallest_rows(df, 5, "k").filter("k is null").count() == 5
+    got = smallest_rows(df, 12_001, "k")
+    assert (got.count(), got.filter("k is null").count()) == (12_001, 10_000)
+    assert got.agg(F.max("k")).first()[0] == "k03001"
+    assert smallest_rows(df, 30_000, "k").count() == smallest_rows(df, 50_000, "k").count() == 30_000
+
+
+def test_look_alike_integers_are_ranked_as_they_are(spark):
+    big = 2**60
+    df = spark.range(40_000).select((F.col("id") + big).alias("x"))
+    got = order_statistics(df, {"x": F.col("x")}, {"x": [0, 123, 39_999]})
+    assert [got["x", r] for r in (0, 123, 39_999)] == [big, big + 123, big + 39_999]
 
 
 def test_smallest_rows_among_identical_copies(spark):
     df = spark.createDataFrame([(1, "a")] * 3 + [(2, "b")] * 40 + [(2, "c")] * 2 + [(3, "d")], "k int, v string")
-    got = smallest_rows(df, 30, "k", bound=1)
+    got = smallest_rows(df, 30, "k")
     counts = {r.v: r["count"] for r in got.groupBy("v").count().collect()}
     assert counts["a"] == 3 and sum(counts.values()) == 30 and "d" not in counts
     assert got.exceptAll(df).count() == 0
@@ -80,15 +99,14 @@ def test_running_totals_across_partitions(spark, bound):
     assert {r.k: r.before for r in got.collect()} == expected
 
 
-@pytest.mark.parametrize("weight", ["n", None])
 @pytest.mark.parametrize("bound", [1, 10_000])
-def test_attach_keeps_every_row(spark, bound, weight):
+def test_attach_keeps_every_row(spark, bound):
     keys = ["hot"] * 300 + [f"c{i}" for i in range(50)] * 2 + [None] * 20 + ["stranger"]
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i int")
     lookup = spark.createDataFrame(
         [("hot", 300, 1.0)] + [(f"c{i}", 2, float(i)) for i in range(50)], "k string, n int, v double"
     )
-    got = attach_by_key(df, lookup, "k", weight=weight, bound=bound)
+    got = attach_by_key(df, lookup, "k", bound=bound)
     assert got.count() == len(keys) == got.select("i").distinct().count()
     values = {r.i: r.v for r in got.collect()}
     assert values[0] == 1.0 and values[len(keys) - 1] is None and values[305] == 5.0
@@ -98,3 +116,23 @@ def test_attach_keeps_every_row(spark, bound, weight):
 def test_average_ranks_share_ties(numbers, bound):
     got = {r.x: r.avg_rank for r in average_ranks(numbers(5, 1, 5, 9, None, 2), "x", bound).collect()}
     assert got == {1.0: 1.0, 2.0: 2.0, 5.0: 3.5, 9.0: 5.0}
+
+
+def test_rank_plan_grows_by_one_join_a_column(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "LOOKUP_BYTES", 0)
+    df = spark.range(300).select(*[F.pmod(F.hash("id", F.lit(i)), F.lit(97)).alias(f"c{i}") for i in range(4)])
+    sizes = []
+    for n in (2, 3, 4):
+        plan = ranks.replace_by_ranks(df, [f"c{i}" for i in range(n)], bound=5)
+        sizes.append(plan._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+    assert sizes == [3, 4, 5]
+    for i in range(4):
+        want = ranks.average_ranks(df, f"c{i}").agg(F.sum(F.col("avg_rank") * F.col("n"))).first()[0]
+        assert plan.agg(F.sum(f"c{i}")).first()[0] == want
+
+
+def test_missing_and_new_hot_keys_are_spread(spark):
+    df = spark.range(3_000).select(F.when(F.col("id") % 2 == 0, "unknown").alias("k"))
+    salted = salted_rows(df, F.col("k").isNull() | (F.col("k") == "unknown"), 16)
+    counts = [r["count"] for r in salted.groupBy("k", "_salt").count().collect()]
+    assert len(counts) == 32 and max(counts) < 200

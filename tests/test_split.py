@@ -15,7 +15,7 @@ def test_disjoint_complete_and_repeatable(labelled):
     train_ids, test_ids = ({r.id for r in d.collect()} for d in (train, test))
     assert not train_ids & test_ids and len(train_ids | test_ids) == 2_000
     assert test_ids == {r.id for r in again.collect()}
-    assert 0.16 < len(test_ids) / 2_000 < 0.24
+    assert len(test_ids) == 400
 
 
 def test_seeds_are_independent(labelled):
@@ -74,3 +74,23 @@ def test_time_splits(spark):
     for k, (train, test) in enumerate(folds, start=1):
         assert (train.count(), test.count()) == (20 * k, 20)
         assert train.agg(F.max("id")).first()[0] < test.agg(F.min("id")).first()[0]
+
+
+def test_a_rare_class_has_its_share_for_every_seed(spark):
+    df = spark.range(2_000).withColumn("y", F.when(F.col("id") % 400 == 0, "rare").otherwise("common"))
+    for seed in range(4):
+        parts = split.train_val_test(df, 0.2, 0.2, seed, label="y")
+        assert {r.part: r["count"] for r in parts.filter("y = 'rare'").groupBy("part").count().collect()} == {
+            "train": 3, "val": 1, "test": 1
+        }
+        tested = split.split_holdout(df, "y", split.HoldoutConfig(random_state=seed))[1]
+        assert tested.filter("y = 'rare'").count() == 1
+
+
+def test_more_classes_than_a_filter_lists(labelled, monkeypatch):
+    df = labelled.withColumn("c", F.when(F.col("id") % 50 != 0, F.col("id") % 50))
+    listed = {r.id: r.is_test for r in split.holdout_side(df, "c").collect()}
+    monkeypatch.setattr(split, "LISTED_CLASSES", 10)
+    assert {r.id: r.is_test for r in split.holdout_side(df, "c").collect()} == listed
+    train, test = split.split_holdout(df, "c")
+    assert (train.count(), test.count()) == (1_600, 400)
