@@ -183,7 +183,9 @@ def cardinality_count(
 
 
 def percentile_name(p: float) -> str:
-    return f"p{round(p * 1000) / 10:g}"
+    """``p`` and the percentage without trailing zeros: p5, p99.9."""
+    percent = f"{100 * p:.1f}"
+    return "p" + percent.removesuffix(".0")
 
 
 def percentile_analysis(

@@ -13,6 +13,7 @@ from sensorlens.functions.columns import all_of, quoted, require_columns
 from sensorlens.functions.frames import report_frame, union_all
 
 OCCUPANCY_BITS = 64
+COLUMNS_PER_SCAN = 16
 SIGNATURE_BITS = 0x7FFFF
 
 
@@ -110,16 +111,21 @@ def _few_slots(df: DataFrame, features: Sequence[str], at_most: int) -> list[str
 def _low_cardinality(df: DataFrame, features: Sequence[str], at_most: int) -> list[str]:
     if not features:
         return []
-    row = df.agg(
-        *[
-            (
-                F.count_distinct(quoted(c))
-                + F.coalesce(F.max(quoted(c).isNull().cast("int")), F.lit(0))
-            ).alias(f"u{i}")
-            for i, c in enumerate(features)
-        ]
-    ).first()
-    return [c for i, c in enumerate(features) if row[i] <= at_most]
+    low = []
+    # several exact distinct counts multiply the rows by their number: a few columns at a time
+    for start in range(0, len(features), COLUMNS_PER_SCAN):
+        batch = features[start : start + COLUMNS_PER_SCAN]
+        row = df.agg(
+            *[
+                (
+                    F.count_distinct(quoted(c))
+                    + F.coalesce(F.max(quoted(c).isNull().cast("int")), F.lit(0))
+                ).alias(f"u{i}")
+                for i, c in enumerate(batch)
+            ]
+        ).first()
+        low += [c for i, c in enumerate(batch) if row[i] <= at_most]
+    return low
 
 
 def remove_duplicate_features(

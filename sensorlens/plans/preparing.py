@@ -69,7 +69,7 @@ def a22(spark, sf_dir):
 
 # Column descriptions and the texts shown for columns without one.
 LEGEND = {
-    "id": {"en": "Sample index", "it": "Indice del campione"},
+    "id": {"en": "Order number", "it": "Numero dell'ordine"},
     "qty": {"en": "Quantity summed over the order", "it": "Quantità totale dell'ordine"},
     "price": {"en": "Price summed over the order", "it": "Prezzo totale dell'ordine"},
 }
