@@ -15,7 +15,7 @@ running sums give the final level in one step. This needs one row per source in
 Nulls and repeats: a null text has no words; null is a source of its own; a null id is a value
 like any other. Rows equal in id and text share a key, are interchangeable and are each taken at
 most ``cap`` times. Sources without words get a target of 0. An empty table gives an empty one.
-Input columns named like an added one are replaced.
+Input columns named like an added one are replaced, those in ``WORKING`` are left out.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 KEY_BITS = 60
 ROWS_PER_RANGE = 500
 MOST_RANGES = 1 << 16
-ADDED = ["_key", "_range", "size", "source_size", "target", "taken"]
+ADDED = ["size", "source_size", "target", "taken"]
+WORKING = ["_key", "_range", "_source", "_at", "_before", "_start", "_words"]  # not kept either
 
 
 def keyed(docs: DataFrame, seed: int = 42) -> DataFrame:
@@ -37,7 +38,7 @@ def keyed(docs: DataFrame, seed: int = 42) -> DataFrame:
     named = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     text = F.coalesce(F.col("text"), F.lit(""))
     digest = F.md5(F.concat(named, F.lit(":"), text))
-    return docs.drop(*ADDED).withColumns(
+    return docs.drop(*ADDED, *WORKING).withColumns(
         {
             "size": F.regexp_count(text, F.lit(WORD)).cast("long"),
             "_key": F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("long"),
