@@ -41,7 +41,7 @@ def test_topk_of_odd_vectors(odd):
     assert topk.top_k(rows.limit(0), rows.limit(0), 3).count() == 0
 
 
-@pytest.mark.parametrize("scale", [1, 10_000_000])
+@pytest.mark.parametrize("scale", [1, 1_000_000])
 def test_impact_index_is_exact(scale):
     rng = np.random.default_rng(1)
     rows = np.floor(rng.normal(size=(3000, 16)) * 90 * scale).astype(np.int64)
