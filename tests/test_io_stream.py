@@ -71,7 +71,7 @@ def test_stream_equals_batch_and_continues(spark, sf_dir, tmp_path):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "value")
     folder, state = str(tmp_path / "in"), str(tmp_path / "state")
     events.filter("event_id % 2 = 0").repartition(3).write.parquet(folder)
-    first = start_profile(file_stream(spark, folder, events.schema), "first_half", ["value"], state)
+    first = start_profile(file_stream(spark, folder, events.schema, files_per_batch=1), "first_half", ["value"], state)
     first.awaitTermination()
     assert len(first.recentProgress) >= 3
     events.filter("event_id % 2 = 1").repartition(2).write.mode("append").parquet(folder)
