@@ -27,11 +27,14 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which the driver and all executors share."""
+    """The folder in ``spark.checkpoint.dir``, which the driver and all executors share.
+
+    Where the setting is missing, a folder in the warehouse, which is shared as well.
+    """
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
         folder = sc.getCheckpointDir()
