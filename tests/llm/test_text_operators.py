@@ -154,6 +154,66 @@ def test_every_near_pair_is_a_candidate(spark):
     assert rows_of(got) == sorted(plain_lines(rows), key=repr)
 
 
+def plain_growing(rows, percent):
+    """Lines near an earlier one, by the plain distance of every pair."""
+    gone, seen = [], []
+    for _, text in sorted(rows):
+        body = text.strip().encode()
+        for other in seen:
+            most = max(2, min(len(body), len(other)) * percent // 100)
+            if abs(len(body) - len(other)) <= most and lines._plain_distance(body, other) <= most:
+                gone.append(text)
+                break
+        seen.append(body)
+    return gone
+
+
+def test_replaced_and_deleted_words_make_near_lines(spark):
+    rng = random.Random(11)
+    texts = []
+    for n in (6, 9, 14, 30):
+        for _ in range(3):
+            words = ["".join(rng.choices("abcdefé", k=rng.randint(2, 9))) for _ in range(n)]
+            texts.append(" ".join(words))
+            for changes in (1, 1, 1, 2, 3):
+                copy = list(words)
+                for _ in range(changes):
+                    at = rng.randrange(len(copy))
+                    copy[at : at + 1] = rng.choice([[], ["".join(rng.choices("abcdef", k=4))]])
+                texts.append(" ".join(copy))
+    texts += ["ab" * 30, "ab" * 31, "ab" * 40, "字" * 40, "字" * 39 + "語", "字" * 30 + "語" * 10]
+    rng.shuffle(texts)
+    texts = [t for t in dict.fromkeys(texts) if len(t.encode()) >= lines.SHORTEST]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_growing(rows, 5)
+    got = lines.dedup_lines(docs, percent=5)
+    assert sorted(texts[r["doc_id"]] for r in got.filter("n_near = 1").collect()) == sorted(want)
+    assert len(want) > lines.dedup_lines(docs).filter("n_near = 1").count() + 10
+
+
+def test_query_takes_out_lines_with_a_word_replaced(spark, tmp_path):
+    words = [f"word{i:02d}x" for i in range(40)]
+    other = words[:20] + ["changed"] + words[21:]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:11] + words[12:])), (4, " ".join(words[20:] + words[:20]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_near"] for r in QUERIES["op2_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0}
+
+
+def test_distance_within_a_bound_of_any_size():
+    rng = random.Random(5)
+    for _ in range(400):
+        x = bytearray(rng.choices(b"abc", k=rng.randint(0, 150)))
+        y = bytearray(x)
+        for _ in range(rng.randint(0, 60)):
+            at = rng.randint(0, len(y))
+            y[at : at + rng.randint(0, 1)] = rng.choices(b"abc", k=rng.randint(0, 1))
+        far = lines._plain_distance(bytes(x), bytes(y))
+        for most in (far - 1, far, far + 3):
+            assert lines._distance_within(bytes(x), bytes(y), most) == (most >= far)
+
+
 # --- sets of shingles
 
 
