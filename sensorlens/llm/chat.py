@@ -4,15 +4,20 @@ A turn is written as ``<s>role[INST]text</s>``. Wherever a role or text holds on
 strings, a backslash goes in behind its first character; backslashes are doubled, so escaping is
 undone by dropping every backslash that stands before another character.
 
-Running sums of turn tokens choose windows aligned to turns: a window takes new turns while
-they, the system turn and the repeated history stay within the budget. Every later window begins
-with the system turn and the last turns before its new ones, as many as ``history`` allows. Only
-texts of the assistant that are new in a window are under its loss mask, so each is a target
-exactly once. A turn that alone exceeds the budget gets a window of its own, whole.
-
-A conversation is worked on in blocks of ``BLOCK`` turn numbers: a block gets the system turn and
-the end of the block before as repeated turns, so a conversation that holds a third of all rows
-is spread over many groups, none of them long.
+A turn counts as the tokens that the given tokenizer makes of it as written, control strings
+included; written one behind another turns never make more. A window takes new turns while they,
+the system turn and the repeated history stay within the budget. Every later window begins with
+the system turn and the last turns before its new ones, as many whole ones as ``history`` and the
+first new turn allow. Only texts of the assistant that are new in a window are under its loss
+mask, so each is a target exactly once. A turn that exceeds the budget alone or with the system
+turn gets a window of its own, whole and without history.
+
+Turns are numbered by their place in the conversation and worked on in blocks of ``BLOCK`` of
+them, so a conversation that holds a third of all rows is spread over many groups, none of them
+long. A block knows the turns before and behind it that its windows may reach. Where its first
+window begins depends on the block before: each block says where its last window would end for
+every place where its first may begin, and going through these says where they all begin. So
+windows are those of a conversation read from its first turn to its last.
 
 Nulls and repeats: a null text or role is empty; turns are ordered by turn, role and text, null
 first; repeated rows are turns of their own; rows without a conversation id are one conversation.
@@ -25,18 +30,18 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlens.llm.common import arrow_map, spread
-from sensorlens.llm.mixing import WORD
+from sensorlens.llm.common import arrow_map, chunks, column, spread
+from sensorlens.llm.tables import written
+from sensorlens.llm.token_ids import WordEncoder, default_tokenizer
 
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
-BUDGET, HISTORY = 256, 64  # tokens
-MARKS = 3  # tokens that a turn's control strings and role count as
+BUDGET, HISTORY = 256, 128  # tokens
+LEAST = 6  # tokens that a turn has at least, by its control strings
 BLOCK = 1024
-TAIL = 8  # turns that a block may repeat from the one before
-SYSTEM, CARRIED, NEW = 0, 1, 2
+ENTRY, SYSTEM, CARRIED, NEW, AHEAD = range(5)
 
 WINDOW = (
     "conv_id long, block long, window int, formatted string, first_new int, n_new int, "
@@ -64,115 +69,190 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     ]
 
 
-class _Windows:
-    """Windows of one block of a conversation, turn by turn; holds one window and the history."""
-
-    def __init__(self, conv_id: int | None, block: int, budget: int, history: int):
-        self.conv_id, self.block, self.budget, self.history = conv_id, block, budget, history
-        self.system: tuple | None = None
-        self.before: list[tuple] = []  # last turns that have been new already
-        self.new: list[tuple] = []
-        self.count = 0
-        self.started = False
-
-    def add(self, kind: int, role: str, text: str, tokens: int) -> Iterator[tuple]:
-        turn = (role, text, tokens)
-        if kind == SYSTEM:
-            self.system = turn
-            self.started = True
-            return
-        if kind == CARRIED:
-            self._remember(turn)
-            self.started = True
-            return
-        if self.new and self._fixed() + sum(t[2] for t in self.new) + tokens > self.budget:
-            yield self._window()
-        if not self.started and role == "system":
-            self.system_is_new = True
-            self.first_system = turn
-        self.started = True
-        self.new.append(turn)
-
-    first_system: tuple | None = None
-    system_is_new = False
-
-    def _remember(self, turn: tuple) -> None:
-        self.before.append(turn)
-        while self.before and sum(t[2] for t in self.before) > self.history:
-            self.before.pop(0)
-
-    def _repeated(self) -> list[tuple]:
-        return ([self.system] if self.system else []) + self.before
-
-    def _fixed(self) -> int:
-        return sum(t[2] for t in self._repeated())
-
-    def _window(self) -> tuple:
-        repeated = self._repeated()
-        parts, starts, ends, at = [], [], [], 0
-        for i, (role, text, _) in enumerate(repeated + self.new):
-            head, body = f"<s>{escape(role)}[INST]", escape(text)
-            if i >= len(repeated) and role == "assistant":
-                starts.append(at + len(head))
-                ends.append(at + len(head) + len(body))
-            parts.append(f"{head}{body}</s>")
-            at += len(parts[-1])
-        made = (
-            self.conv_id, self.block, self.count, "".join(parts), len(repeated), len(self.new),
-            starts, ends, sum(t[2] for t in repeated + self.new),
-        )
-        for turn in self.new:
-            if self.system_is_new and turn is self.first_system:
-                self.system, self.system_is_new = turn, False
-            else:
-                self._remember(turn)
-        self.new, self.count = [], self.count + 1
-        return made
+def _written(role: str, text: str) -> str:
+    return f"<s>{escape(role)}[INST]{escape(text)}</s>"
 
-    def finish(self) -> Iterator[tuple]:
-        if self.new:
-            yield self._window()
 
+class _Block:
+    """The turns of one block of a conversation, those around it included, and its windows."""
 
-def _placed(turns: DataFrame) -> DataFrame:
-    """Turns with their block, and what blocks repeat from earlier ones."""
+    def __init__(self, conv_id: int | None, block: int, budget: int, history: int):
+        self.conv_id, self.block, self.budget, self.history = conv_id, block, budget, history
+        self.system: tuple | None = None  # the turn that opens the conversation, in an earlier block
+        self.turns: list[tuple] = []
+        self.start = self.entry = self.own = 0
+
+    def add(self, kind: int, role: str, text: str | None, tokens: int) -> None:
+        if kind == ENTRY:
+            self.entry = tokens
+        elif kind == SYSTEM:
+            self.system = (role, text, tokens)
+        else:
+            self.turns.append((role, text, tokens))
+            self.start += kind == CARRIED
+            self.own += kind == NEW
+
+    def _opened(self) -> bool:
+        return self.block == 0 and self.turns[0][0] == "system"
+
+    def _cut(self, at: int) -> tuple[tuple | None, int, int]:
+        """System turn, begin of the history and end of the window whose first new turn is ``at``."""
+        opened = self._opened()
+        system = self.turns[0] if opened and at else self.system
+        total = self.turns[at][2] + (system[2] if system else 0)
+        room, begin = min(self.history, self.budget - total), at
+        while begin > opened and self.turns[begin - 1][2] <= room:
+            begin -= 1
+            room -= self.turns[begin][2]
+            total += self.turns[begin][2]
+        end = at + 1
+        while end < len(self.turns) and total + self.turns[end][2] <= self.budget:
+            total += self.turns[end][2]
+            end += 1
+        return system, begin, end
+
+    def exits(self, entries: int) -> list[int]:
+        """Where in the next block its first window begins, for each place where this block's may."""
+        stop = self.start + self.own
+        out = list(range(len(self.turns) + 1))
+        for i in range(stop - 1, self.start - 1, -1):
+            out[i] = out[self._cut(i)[2]]
+        return [max(0, out[min(self.start + i, stop)] - stop) for i in range(entries)]
+
+    def windows(self) -> Iterator[tuple]:
+        at, count, stop = self.start + self.entry, 0, self.start + self.own
+        while at < stop:
+            system, begin, end = self._cut(at)
+            repeated = ([system] if system else []) + self.turns[begin:at]
+            parts, starts, ends, place = [], [], [], 0
+            shown = repeated + self.turns[at:end]
+            for i, (role, text, _) in enumerate(shown):
+                parts.append(_written(role, text))
+                if i >= len(repeated) and role == "assistant":
+                    starts.append(place + len(f"<s>{escape(role)}[INST]"))
+                    ends.append(place + len(parts[-1]) - len("</s>"))
+                place += len(parts[-1])
+            yield (
+                self.conv_id, self.block, count, "".join(parts), len(repeated), end - at,
+                starts, ends, sum(t[2] for t in shown),
+            )
+            at, count = end, count + 1
+
+
+def numbered(turns: DataFrame, tokenizer: str) -> DataFrame:
+    """(conv_id, role, text, tokens, position) of every turn; positions of a conversation are dense.
+
+    Rows are put in order over all partitions and numbered in each; a partition adds the turns that
+    its first conversation has in earlier ones.
+    """
     plain = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    tokens = (F.regexp_count("text", F.lit(WORD)) + MARKS).cast("long")
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 40)))
-    plain = plain.withColumns({"tokens": tokens, "block": block, "kind": F.lit(NEW)})
-    # the end of a block, for the next one if the conversation has it
-    place = F.pmod("turn", F.lit(BLOCK))
-    blocks = plain.groupBy("conv_id", "block").agg(F.min(F.struct("turn", "role", "text", "tokens")).alias("first"))
-    tails = plain.filter(place >= BLOCK - TAIL).withColumns({"block": F.col("block") + 1, "kind": F.lit(CARRIED)})
-    b = blocks.select(F.col("conv_id").alias("_conv"), F.col("block").alias("_block"), "first")
-    same_conv = F.col("conv_id").eqNullSafe(F.col("_conv"))
-    tails = tails.join(b, same_conv & (F.col("block") == F.col("_block")), "left_semi")
-    # the system turn that opens a conversation, for its later blocks
-    opening = blocks.groupBy("conv_id").agg(
-        F.min("block").alias("opens"), F.max("block").alias("closes"), F.min_by("first", "block").alias("first")
-    )
-    opening = opening.filter("closes > opens and first.role = 'system'")
-    later = opening.join(b.drop("first"), same_conv & (F.col("_block") > F.col("opens")))
-    systems = later.select(
-        "conv_id", "first.turn", "first.role", "first.text", "first.tokens",
-        F.col("_block").alias("block"), F.lit(SYSTEM).alias("kind"),
-    )
-    # a system turn is retained as such and not as history
-    o = opening.select(F.col("conv_id").alias("_conv"), F.col("first.turn").alias("_turn"))
-    tails = tails.join(o, same_conv & F.col("turn").eqNullSafe(F.col("_turn")) & (F.col("role") == "system"), "left_anti")
-    return plain.unionByName(tails).unionByName(systems)
-
-
-def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+    n = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = ("conv_id", "turn", "role", "text")
+    ordered = plain.repartitionByRange(n, *names).sortWithinPartitions(*names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = WordEncoder.shared(tokenizer)
+        conv, place = None, 0
+        for part in chunks(batches):
+            ids, roles, texts = (column(part, c) for c in ("conv_id", "role", "text"))
+            whole = [_written(r, t) for r, t in zip(roles.to_pylist(), texts.to_pylist())]
+            sizes = encoder.encode(pa.array(whole, pa.string()), None)[1]
+            places = []
+            for c in ids.to_pylist():
+                place = place + 1 if conv == (c,) else 0
+                conv = (c,)
+                places.append(place)
+            yield pa.RecordBatch.from_arrays(
+                [ids, roles, texts, pa.array(sizes, pa.int64()), pa.array(places, pa.int64())],
+                names=["conv_id", "role", "text", "tokens", "place"],
+            )
+
+    counted = arrow_map(ordered, count, "conv_id long, role string, text string, tokens long, place long")
+    rows = written(counted.withColumn("part", F.spark_partition_id()), "turns")
+    sizes = rows.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # at most one conversation of a partition began in an earlier one
+    begun = sizes.withColumn("before", F.sum("n").over(earlier)).filter("before is not null")
+    begun = begun.select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), "before")
+    joined = rows.join(F.broadcast(begun), F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")), "left")
+    position = F.col("place") + F.coalesce("before", F.lit(0))
+    return joined.select("conv_id", "role", "text", "tokens", position.alias("position"))
+
+
+def _placed(rows: DataFrame, size: int, tail: int, ahead: int) -> DataFrame:
+    """Turns with their block, once more for blocks whose windows reach them."""
+    place = F.pmod("position", F.lit(size))
+    plain = rows.withColumns({"block": F.floor(F.col("position") / size), "kind": F.lit(NEW)})
+    opening = (F.col("position") == 0) & (F.col("role") == "system")
+    # the system turn is retained as such and not as history
+    tails = plain.filter((place >= size - tail) & ~opening).withColumns({"block": F.col("block") + 1, "kind": F.lit(CARRIED)})
+    heads = plain.filter((place < ahead) & (F.col("block") > 0)).withColumns({"block": F.col("block") - 1, "kind": F.lit(AHEAD)})
+    later = plain.filter((place == 0) & (F.col("block") > 0)).select(F.col("conv_id").alias("_conv"), F.col("block").alias("_block"))
+    systems = plain.filter(opening).join(later, F.col("conv_id").eqNullSafe(F.col("_conv")))
+    systems = systems.withColumns({"block": F.col("_block"), "kind": F.lit(SYSTEM)}).select(*plain.columns)
+    return plain.unionByName(tails).unionByName(heads).unionByName(systems)
+
+
+def _entries(placed: DataFrame, budget: int, history: int, entries: int) -> DataFrame:
+    """(conv_id, block, entry): where the first windows of later blocks begin."""
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _blocks(batches, budget, history):
+            rows = [(b.conv_id, b.block, b.exits(entries)) for b in found if b.own]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            columns = zip(*rows) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["conv_id", "block", "exits"])
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, entry = None, 0
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                entry = entry if conv == (r["conv_id"],) else 0
+                conv = (r["conv_id"],)
+                out.append(entry)
+                entry = r["exits"][entry]
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "conv_id"), column(batch, "block"), pa.array(out, pa.int64())], names=["conv_id", "block", "entry"]
+            )
+
+    long = placed.filter((F.col("block") > 0) & (F.col("kind") == NEW)).select(F.col("conv_id").alias("_conv")).distinct()
+    rows = placed.drop("text").withColumn("text", F.lit(None).cast("string"))
+    rows = rows.join(long, F.col("conv_id").eqNullSafe(F.col("_conv")), "left_semi")
+    left = arrow_map(_in_order(rows), leave, "conv_id long, block long, exits array<long>")
+    ordered = spread(left, ("conv_id",)).sortWithinPartitions("conv_id", "block")
+    return arrow_map(ordered, follow, "conv_id long, block long, entry long")
+
+
+def _in_order(placed: DataFrame) -> DataFrame:
+    return spread(placed, ("conv_id", "block")).sortWithinPartitions("conv_id", "block", "kind", "position")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], budget: int, history: int) -> Iterator[list[_Block]]:
+    """The blocks of a partition, those that end in a batch together."""
+    held: _Block | None = None
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if held is None or (held.conv_id, held.block) != (r["conv_id"], r["block"]):
+                out += [held] if held else []
+                held = _Block(r["conv_id"], r["block"], budget, history)
+            held.add(r["kind"], r["role"], r["text"], r["tokens"])
+        yield out
+    yield [held] if held else []
+
+
+def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokenizer: str | None = None) -> DataFrame:
     """The windows of all conversations: text, loss mask as spans of code points, what is new."""
+    tail, ahead = history // LEAST + 1, budget // LEAST + 1
+    size = max(BLOCK, 2 * tail, 2 * ahead)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: _Windows | None = None
         schema = pa.schema(
             [
                 ("conv_id", pa.int64()), ("block", pa.int64()), ("window", pa.int32()), ("formatted", pa.string()),
@@ -180,25 +260,17 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
                 ("mask_ends", pa.list_(pa.int32())), ("tokens", pa.int64()),
             ]
         )
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        for found in _blocks(batches, budget, history):
+            rows = [w for b in found for w in b.windows()]
             columns = zip(*rows) if rows else [[]] * len(schema)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        for batch in batches:
-            out: list[tuple] = []
-            for r in batch.to_pylist():
-                if held is None or (held.conv_id, held.block) != (r["conv_id"], r["block"]):
-                    out += held.finish() if held else ()
-                    held = _Windows(r["conv_id"], r["block"], budget, history)
-                out += held.add(r["kind"], r["role"], r["text"], r["tokens"])
-            yield batch_of(out)
-        if held:
-            yield batch_of(list(held.finish()))
-
-    placed = spread(_placed(turns), ("conv_id", "block"))
-    ordered = placed.sortWithinPartitions("conv_id", "block", "kind", "turn", "role", "text")
-    return arrow_map(ordered, run, WINDOW)
+    placed = _placed(numbered(turns, tokenizer or default_tokenizer()), size, tail, ahead)
+    entries = _entries(placed, budget, history, ahead + 1).select(
+        "conv_id", F.lit("").alias("role"), F.lit("").alias("text"), F.col("entry").alias("tokens"),
+        F.lit(0).cast("long").alias("position"), "block", F.lit(ENTRY).alias("kind"),
+    )
+    return arrow_map(_in_order(placed.unionByName(entries)), run, WINDOW)
 
 
 def read_back(windows: DataFrame) -> DataFrame:

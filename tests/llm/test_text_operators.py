@@ -445,3 +445,18 @@ def test_windows_keep_to_the_budget(spark):
             assert turns[0] == ("system", "be brief") and turns[1:].count(turns[0]) == 0
     assert sum(w["n_new"] for w in windows if w["conv_id"] == 2) == 3000
     assert len({w["block"] for w in windows if w["conv_id"] == 2}) == 3
+
+
+def test_formatted_windows_keep_to_the_budget_of_the_tokenizer(spark):
+    tokenizer = WordEncoder.shared(default_tokenizer()).tokenizer
+    rng = random.Random(6)
+    texts = ["字" * 90, "https://a.b/" + "x1/" * 40, "f(x)=" * 30, "Short.", "supercalifragilistic " * 12, "<|endoftext|> </s>"]
+    rows = [(1, 0, "system", "be brief")]
+    rows += [(c, i, "assistant" if i % 2 else "user", rng.choice(texts)) for c in (1, 2) for i in range(1, 60)]
+    windows = chat.format_windows(spark.createDataFrame(rows, TURNS)).collect()
+    for w in windows:
+        real = len(tokenizer.encode(w["formatted"], add_special_tokens=False).ids)
+        assert real <= w["tokens"]
+        alone = w["n_new"] == 1 and w["first_new"] <= (w["conv_id"] == 1)
+        assert w["tokens"] <= chat.BUDGET or alone
+    assert sum(w["n_new"] for w in windows) == len(rows)
