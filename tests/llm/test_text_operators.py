@@ -460,3 +460,35 @@ def test_formatted_windows_keep_to_the_budget_of_the_tokenizer(spark):
         alone = w["n_new"] == 1 and w["first_new"] <= (w["conv_id"] == 1)
         assert w["tokens"] <= chat.BUDGET or alone
     assert sum(w["n_new"] for w in windows) == len(rows)
+
+
+def plain_windows(turns, sizes, budget, history):
+    """(first_new, n_new, repeated texts) of the windows of one conversation, from first turn to last."""
+    out, at = [], 0
+    while at < len(turns):
+        head = [0] if at and turns[0][0] == "system" else []
+        total = sum(sizes[i] for i in head) + sizes[at]
+        past, used = [], 0
+        for i in range(at - 1, len(head) - 1, -1):
+            if used + sizes[i] > history or total + used + sizes[i] > budget:
+                break
+            past, used = [i, *past], used + sizes[i]
+        end, total = at + 1, total + used
+        while end < len(turns) and total + sizes[end] <= budget:
+            total, end = total + sizes[end], end + 1
+        out.append([turns[i] for i in head + past + list(range(at, end))])
+        at = end
+    return out
+
+
+@pytest.mark.parametrize("step", [1, 1000, 5000])
+def test_windows_do_not_depend_on_turn_numbers_or_blocks(spark, step):
+    tokenizer = WordEncoder.shared(default_tokenizer()).tokenizer
+    rng = random.Random(9)
+    rows = [(1, 0, "system", "be brief")]
+    rows += [(1, i * step, "assistant" if i % 2 else "user", f"n{i} " + "w " * rng.randint(0, 40)) for i in range(1, 2100)]
+    turns = [(r, t) for _, _, r, t in rows]
+    sizes = [len(tokenizer.encode(chat._written(r, t), add_special_tokens=False).ids) for r, t in turns]
+    windows = chat.format_windows(spark.createDataFrame(rows, TURNS).repartition(5)).orderBy("block", "window").collect()
+    assert [chat.read_turns(w["formatted"]) for w in windows] == plain_windows(turns, sizes, chat.BUDGET, chat.HISTORY)
+    assert len({w["block"] for w in windows}) == 3
