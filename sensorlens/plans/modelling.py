@@ -397,15 +397,15 @@ def b61(spark, sf_dir):
 def b62(spark, sf_dir):
     train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
-    chosen = model.build_estimators({"decision_tree_regressor": {"max_depth": 5},
-                                     "random_forest_regressor": {"n_estimators": 20, "max_depth": 5}}, model.REGRESSORS)
+    chosen = model.build_estimators({"decision_tree_regressor": {"max_depth": None},
+                                     "random_forest_regressor": {"n_estimators": 200, "max_depth": None}}, model.REGRESSORS)
     scored = model.score_models(model.fit_models(pre, chosen, train, "margin"), test, "margin")
     return evaluate.rank_regressors(evaluate.regression_scores(scored, by=["model", "model_ordinal"]))
 
 
 @query("b63_boosted_trees")
 def b63(spark, sf_dir):
-    return _predictions(spark, sf_dir, "boosted_trees_regressor", {"n_estimators": 10, "max_depth": 4}, model.REGRESSORS, "margin")
+    return _predictions(spark, sf_dir, "boosted_trees_regressor", {"n_estimators": 300, "max_depth": 6}, model.REGRESSORS, "margin")
 
 
 def _vectors(spark, sf_dir, label):
@@ -417,8 +417,8 @@ def _vectors(spark, sf_dir, label):
 @query("b64_grid_search")
 def b64(spark, sf_dir):
     tree = model.build_estimators({"decision_tree_classifier": {"max_depth": 3}})["decision_tree_classifier"]
-    found = model.hyperparameter_search(tree, {"maxDepth": [2, 4], "minInstancesPerNode": [1, 10]},
-                                        _vectors(spark, sf_dir, "faulty"), folds=3)
+    found = model.hyperparameter_search(tree, {"maxDepth": [3, 5, 10, model.MAX_TREE_DEPTH], "minInstancesPerNode": [1, 5, 10]},
+                                        _vectors(spark, sf_dir, "faulty"), folds=5)
     return model.search_report(found, "f1_weighted")
 
 
@@ -427,7 +427,7 @@ def b65(spark, sf_dir):
     linear = model.build_estimators({"ridge_regression": {}}, model.REGRESSORS)["ridge_regression"]
     found = model.hyperparameter_search(linear, {"regParam": [0.0, 0.1, 1.0, 10.0], "elasticNetParam": [0.0, 0.5, 1.0]},
                                         _vectors(spark, sf_dir, "margin"), scoring="neg_root_mean_squared_error",
-                                        strategy="random", n_iter=3, folds=3)
+                                        strategy="random", n_iter=30, folds=5)
     return model.search_report(found, "rmse")
 
 

@@ -218,3 +218,45 @@ def test_normal_regression(sensors):
 def test_split_is_made_on_keys(prepared):
     assert prepared.train.join(prepared.test, "id", "left_semi").count() == 0
     assert isinstance(split.HoldoutConfig(), split.HoldoutConfig)
+
+
+class _Stop(Exception):
+    pass
+
+
+def _asked(spark, sf_dir, monkeypatch, name, fn):
+    """What a registered query hands to the library; nothing is trained."""
+    from sensorlens.plans import modelling
+
+    held = {}
+    real = getattr(model, name)
+
+    def catch(*args, **kwargs):
+        held["args"], held["kwargs"] = args, kwargs
+        if name == "build_estimators":
+            held["made"] = real(*args, **kwargs)
+        raise _Stop
+
+    monkeypatch.setattr(modelling.model, name, catch)
+    try:
+        getattr(modelling, fn)(spark, sf_dir)
+    except _Stop:
+        pass
+    return held
+
+
+def test_registered_searches_try_the_whole_grid_on_five_folds(spark, sf_dir, monkeypatch):
+    grid = _asked(spark, sf_dir, monkeypatch, "hyperparameter_search", "b64")
+    assert grid["args"][1]["maxDepth"] == [3, 5, 10, model.MAX_TREE_DEPTH] and grid["kwargs"]["folds"] == 5
+    monkeypatch.undo()
+    drawn = _asked(spark, sf_dir, monkeypatch, "hyperparameter_search", "b65")
+    assert drawn["kwargs"]["n_iter"] == 30 and drawn["kwargs"]["folds"] == 5
+
+
+def test_registered_regressors_have_the_reference_counts(spark, sf_dir, monkeypatch):
+    trees = _asked(spark, sf_dir, monkeypatch, "build_estimators", "b62")["made"]
+    assert trees["random_forest_regressor"].getNumTrees() == 200
+    assert {m.getMaxDepth() for m in trees.values()} == {model.MAX_TREE_DEPTH}
+    monkeypatch.undo()
+    boosted = _asked(spark, sf_dir, monkeypatch, "build_estimators", "b63")["made"]["boosted_trees_regressor"]
+    assert boosted.getMaxIter() == 300
