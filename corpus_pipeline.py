@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlens.llm import jaccard, lines, mixing, packing, quality
-from sensorlens.llm.tables import written
+from sensorlens.llm.tables import delete, new_path, scratch
 from sensorlens.llm.token_ids import default_tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -70,7 +70,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("q_secrets", "q_lines", "q_packing", "q_topk", "q_quality", "q_jaccard", "q_chat", "q_mixing", "q_tokens", "q_neighbours", "q_heapmeans", "q_byte_bpe")
+MODULES = ("q_secrets", "q_lines", "q_packing", "q_topk", "q_quality", "q_jaccard", "q_chat", "q_mixing", "q_tokens", "q_neighbours", "q_heapmeans", "q_byte_bpe", "q_variants")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

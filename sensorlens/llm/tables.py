@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
     return held or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
+_OPEN: list[list[str]] = []  # tables written inside the scratch blocks that are open
+
+
 def new_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, kind: str = "table") -> DataFrame:
@@ -24,12 +32,32 @@ def written(df: DataFrame, kind: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _without_scheme(path: str) -> str:
+    return "/" + path.split(":", 1)[-1].lstrip("/")
+
+
 def release(df: DataFrame) -> None:
     """Delete the tables behind a frame made by ``written``, once nothing reads it any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        if folder.startswith(shared_folder(df.sparkSession)) or "/table-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    spark = df.sparkSession
+    shared = _without_scheme(shared_folder(spark)) + "/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if _without_scheme(folder).startswith(shared):
+            delete(spark, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written inside, at the end: what is kept must have been read by then."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            delete(spark, path)
