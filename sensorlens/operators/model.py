@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from sensorlens.functions.columns import quoted
 from sensorlens.functions.frames import report_frame
 from sensorlens.operators.evaluate import confusion_counts, headline_scores, top_k
+from sensorlens.operators.neighbours import NeighbourClassifier, NeighbourRegressor
 from sensorlens.operators.prep import NumericPreprocessor
 from sensorlens.operators.split import fold_column
 
@@ -133,6 +134,13 @@ def _boosted(params: dict) -> GBTRegressor:
     return out
 
 
+def _neighbours(params: dict, kind: type) -> Estimator:
+    params.pop("random_state", None)
+    chosen = {n: params.pop(n) for n in ("n_neighbors", "weights") if n in params}
+    _known("nearest neighbour", params)
+    return kind(**chosen)
+
+
 # Names of split criteria, and what Spark ML calls them.
 CLASS_IMPURITIES = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
 VALUE_IMPURITIES = {"squared_error": "variance"}
@@ -144,6 +152,7 @@ CLASSIFIERS = {
     ),
     "svm_classifier": _svm,
     "naive_bayes_classifier": _bayes,
+    "knn_classifier": lambda p: _neighbours(p, NeighbourClassifier),
 }
 
 REGRESSORS = {
@@ -163,6 +172,7 @@ REGRESSORS = {
         **_tree({"n_estimators": 100, "max_features": "all", **p}, VALUE_IMPURITIES)
     ),
     "boosted_trees_regressor": _boosted,
+    "knn_regressor": lambda p: _neighbours(p, NeighbourRegressor),
 }
 
 

@@ -218,6 +218,11 @@ def _predictions(spark, sf_dir, name, params=None, registry=model.CLASSIFIERS, l
     return model.predict(fitted, test, ["id", label])
 
 
+def _predictions_of(spark, sf_dir, name, params, registry, label, scaling):
+    fitted, _, test = _fitted(spark, sf_dir, name, params, registry, label, scaling)
+    return model.predict(fitted, test, ["id", label])
+
+
 @query("a52_decision_tree")
 def a52(spark, sf_dir):
     return _predictions(spark, sf_dir, "decision_tree_classifier", TREES["decision_tree_classifier"])
