@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -13,7 +12,6 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
-    NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -29,10 +27,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import quoted
-from sensorlens.functions.frames import report_frame
-from sensorlens.operators.evaluate import confusion_counts, headline_scores, top_k
+from sensorlens.functions.frames import materialise, report_frame
+from sensorlens.operators.bayes import GaussianBayes
+from sensorlens.operators.evaluate import (
+    confusion_counts,
+    headline_scores,
+    regression_scores,
+    top_k,
+)
+from sensorlens.operators.fold_sums import chosen_candidates
 from sensorlens.operators.neighbours import NeighbourClassifier, NeighbourRegressor
-from sensorlens.operators.prep import NumericPreprocessor
+from sensorlens.operators.prep import (
+    NumericPreprocessor,
+    PreprocessConfig,
+    fit_numeric_preprocessor,
+)
 from sensorlens.operators.split import fold_column
 
 # Estimators whose penalty weighs against the sum over all rows, not their mean.
@@ -57,12 +66,10 @@ def _only(params: dict, name: str, accepted: Sequence) -> None:
 
 def _tree(params: dict, impurities: Mapping[str, str]) -> dict:
     depth = params.pop("max_depth", None)
+    _only(params, "min_samples_split", [2])  # Spark ML bounds the rows of leaves, not of split nodes
     out = {
         "maxDepth": MAX_TREE_DEPTH if depth is None else min(depth, MAX_TREE_DEPTH),
-        # a split needs that many rows, so each side of it at least half of them in balance
-        "minInstancesPerNode": max(
-            params.pop("min_samples_leaf", 1), params.pop("min_samples_split", 2) // 2
-        ),
+        "minInstancesPerNode": params.pop("min_samples_leaf", 1),
         "maxBins": params.pop("max_bins", 32),
         "seed": params.pop("random_state", 42),
         "maxMemoryInMB": 512,
@@ -111,11 +118,17 @@ def _svm(params: dict) -> LinearSVC:
     return out
 
 
-def _bayes(params: dict) -> NaiveBayes:
-    # Spark ML smooths Gaussian variances by a share of the largest one on its own
-    _only(params, "var_smoothing", [1e-9])
+def _bayes(params: dict) -> Estimator:
+    smoothing = params.pop("var_smoothing", 1e-9)
     _known("naive bayes", params)
-    return NaiveBayes(modelType="gaussian")
+    return GaussianBayes(smoothing)
+
+
+def _column_share(share: float) -> str:
+    """All columns or a share of them. Spark ML draws them anew at every node, not once per tree."""
+    if not 0 < share <= 1:
+        raise ValueError(f"colsample_bytree must be above 0 and at most 1, got {share!r}")
+    return "all" if share == 1 else str(float(share))
 
 
 def _boosted(params: dict) -> GBTRegressor:
@@ -126,7 +139,7 @@ def _boosted(params: dict) -> GBTRegressor:
         maxDepth=MAX_TREE_DEPTH if depth is None else depth,
         stepSize=params.pop("learning_rate", 0.1),
         subsamplingRate=params.pop("subsample", 1.0),
-        featureSubsetStrategy=str(params.pop("colsample_bytree", "all")).replace("1.0", "all"),
+        featureSubsetStrategy=_column_share(params.pop("colsample_bytree", 1.0)),
         maxBins=params.pop("max_bins", 32),
         seed=params.pop("random_state", 42),
     )
@@ -211,8 +224,9 @@ def fit_models(
     try:
         fitted = {}
         for name, est in estimators.items():
-            if name in PENALTY_PER_TABLE:
-                est = est.copy({est.regParam: _penalty_per_row(vectors, est.getRegParam(), name)})
+            kind = name.split("#")[0]
+            if kind in PENALTY_PER_TABLE:
+                est = est.copy({est.regParam: _penalty_per_row(vectors, est.getRegParam(), kind)})
             fitted[name] = PipelineModel([*preprocessor.stages(), _flat(est.fit(vectors))])
         return fitted
     finally:
@@ -329,11 +343,7 @@ def hyperparameter_search(
 
     Folds follow the digest of the key, so they do not depend on partitioning.
     """
-    choices = parameter_grid(estimator, grid)
-    if strategy == "random":
-        choices = random.Random(random_state).sample(choices, min(n_iter, len(choices)))
-    elif strategy != "grid":
-        raise ValueError(f"strategy must be grid or random, got {strategy}")
+    choices = chosen_candidates(parameter_grid(estimator, grid), strategy, n_iter, random_state)
     evaluators = {
         "f1_weighted": lambda: MulticlassClassificationEvaluator(metricName="f1"),
         "accuracy": lambda: MulticlassClassificationEvaluator(metricName="accuracy"),
@@ -354,6 +364,50 @@ def hyperparameter_search(
     return validator.fit(fold_column(vectors, folds, random_state, key))
 
 
+def search_pipeline(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    candidates: Sequence[tuple[str, Mapping]],
+    registry: Mapping = CLASSIFIERS,
+    folds: int = 5,
+    random_state: int = 42,
+    key: str = "id",
+    cfg: PreprocessConfig = PreprocessConfig(),
+    strategy: str = "grid",
+    n_iter: int = 30,
+) -> DataFrame:
+    """Scores of every (model, parameters) on every fold, fills and scales fitted outside the fold.
+
+    Parameters are those of :func:`build_estimators` and mean the same as in :func:`fit_models`.
+    Columns: candidate, model, params, fold, then accuracy and f1_weighted, or rmse and mae, and support. Models
+    whose sums merge are searched without refitting by ``fold_sums`` and ``bayes``.
+    """
+    tried = chosen_candidates(candidates, strategy, n_iter, random_state)
+    made = {
+        f"{name}#{i}": build_estimators({name: params}, registry)[name] for i, (name, params) in enumerate(tried)
+    }
+    if not made:
+        raise ValueError("no candidate to try")
+    placed = materialise(fold_column(df.filter(quoted(label).isNotNull()), folds, random_state, key))
+    parts = []
+    for fold in range(folds):
+        train, held = placed.filter(F.col("fold") != fold), placed.filter(F.col("fold") == fold)
+        fitted = fit_models(fit_numeric_preprocessor(train, features, cfg), made, train, label)
+        parts.append(score_models(fitted, held, label).withColumn("fold", F.lit(fold)))
+    scored, by = reduce(DataFrame.unionByName, parts), ["model_ordinal", "fold"]
+    if registry is REGRESSORS:
+        report = regression_scores(scored, by=by)
+    else:
+        report = headline_scores(confusion_counts(scored, by=by), by).drop("f1_macro")
+    named = report_frame(
+        df.sparkSession,
+        [(i, name, "; ".join(f"{k}={v}" for k, v in params.items())) for i, (name, params) in enumerate(tried)],
+        "candidate int, model string, params string",
+    )
+    return named.join(report.withColumnRenamed("model_ordinal", "candidate"), "candidate")
+
+
 def search_report(search: CrossValidatorModel, scoring: str) -> DataFrame:
     """Mean score per tried parameter set, in the order tried."""
     rows = [

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorlens.functions.frames import materialise
-from sensorlens.operators import evaluate, explain, model, prep, split
+from sensorlens.operators import bayes, evaluate, explain, fold_sums, model, prep, split
 from sensorlens.plans import workflow
 from sensorlens.plans.catalog import query
-from sensorlens.plans.tables import FEATURES, SCORED_SQL, X_SQL, XY_SQL, Y_SQL
-from sensorlens.plans.tables import digest_sql, features_x, joined_xy, labels_y, rule_scored, table
+from sensorlens.plans.tables import FEATURES, SCORED_SQL, X_MISSING_SQL, X_SQL, XY_SQL, Y_SQL
+from sensorlens.plans.tables import digest_sql, features_x, joined_xy, labels_y, rule_scored, table, x_missing
 
 TEST = f"({digest_sql('id')} < '33333333')"
 
@@ -185,11 +185,12 @@ def b77(spark, sf_dir):
 
 # --- models ------------------------------------------------------------------------------
 
-def _naive_bayes_sql() -> str:
-    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) as v_{c}" for c in FEATURES)
+def _naive_bayes_sql(raised: str = "0") -> str:
+    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) + any_value(raised) as v_{c}" for c in FEATURES)
     score = "ln(n / total)" + "".join(f" - 0.5 * ln(v_{c}) - ({c} - m_{c}) ** 2 / (2 * v_{c})" for c in FEATURES)
     return f"""with xy as materialized (select * from {XY_SQL}),
- g as (select faulty as cls, count(*)::double as n, sum(count(*)) over () as total, {fit} from xy where not {TEST} group by 1)
+ t as (select *, {raised} as raised from xy where not {TEST}),
+ g as (select faulty as cls, count(*)::double as n, sum(count(*)) over () as total, {fit} from t group by 1)
  select id, faulty, arg_max(cls, {score})::double as prediction from xy, g where {TEST} group by 1, 2"""
 
 
@@ -419,21 +420,105 @@ def _vectors(spark, sf_dir, label):
     return model.labelled(pre, train, label, ["id"])
 
 
+def _training_rows(spark, sf_dir, x=None):
+    xy = joined_xy(spark, sf_dir) if x is None else x.join(labels_y(spark, sf_dir), "id")
+    return split.split_holdout(materialise(xy), None, split.BY_THRESHOLD)[0]
+
+
 @query("b64_grid_search")
 def b64(spark, sf_dir):
-    tree = model.build_estimators({"decision_tree_classifier": {"max_depth": 3}})["decision_tree_classifier"]
-    found = model.hyperparameter_search(tree, {"maxDepth": [3, 5, 10, model.MAX_TREE_DEPTH], "minInstancesPerNode": [1, 5, 10]},
-                                        _vectors(spark, sf_dir, "faulty"), folds=5)
-    return model.search_report(found, "f1_weighted")
+    grid = [("decision_tree_classifier", {"max_depth": d, "min_samples_leaf": n}) for d in (3, 5, 10, None) for n in (1, 5, 10)]
+    return model.search_pipeline(_training_rows(spark, sf_dir), FEATURES, "faulty", grid)
+
+
+FOLD = f"cast(('0x' || {digest_sql('id', 42, 13)})::bigint % 5 as integer)"
+ALPHAS = [0.0, 0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
+
+
+def _fold_errors_sql(fill: str, tried: list[tuple[str, float]]) -> str:
+    """One feature with missing values, filled and scaled per training part: ridge and lasso have closed forms."""
+    values = ", ".join(f"({i}, '{kind}', {alpha!r}::double)" for i, (kind, alpha) in enumerate(tried))
+    return f"""with xy as materialized (select x.id, x.qty, y.margin, fold from {X_MISSING_SQL} x join
+   (select id, margin, {FOLD} as fold from {Y_SQL} where not {TEST}) y on x.id = y.id),
+ m as (select k, {fill} as m from xy, range(5) r(k) where fold <> k group by k),
+ z as materialized (select k, fold, margin, coalesce(qty, m) as z from xy, m),
+ s as (select k, avg(z) as c, stddev_pop(z) as d, avg(margin) as y, covar_pop(z, margin) / stddev_pop(z) as g, count(*) as n from z where fold <> k group by k),
+ p(candidate, model, alpha) as (values {values}),
+ w as (select *, case when model = 'lasso_regression' then sign(g) * greatest(abs(g) - alpha, 0) else g * n / (n + alpha) end as w from s, p)
+ select candidate::int as candidate, model, alpha, fold, round(sqrt(avg((margin - y - w * (z - c) / d) ** 2)), 2) as rmse, count(*) as support
+ from w join z on w.k = z.k and z.fold = w.k group by 1, 2, 3, 4"""
+
+
+LINEAR_GRIDS = {"linear_regression": [0.0], "ridge_regression": ALPHAS[1:], "lasso_regression": [0.001, 0.01, 0.1, 1.0, 1000.0]}
+MANY = {"ridge_regression": [round(1.7**i, 6) for i in range(25)], "lasso_regression": [round(1.5**i, 6) for i in range(25)]}
+
+
+def _linear_folds(spark, sf_dir, grids, fill, strategy="grid"):
+    found = fold_sums.linear_search(_training_rows(spark, sf_dir, x_missing(spark, sf_dir)), ["qty"], "margin", grids,
+                                    strategy=strategy, n_iter=30, cfg=prep.PreprocessConfig(fill))
+    return rounded(found, "rmse", digits=2)
+
+
+@query("b64_linear_grid_folds", _fold_errors_sql("avg(qty)", fold_sums.linear_candidates(LINEAR_GRIDS)))
+def b64_linear(spark, sf_dir):
+    return _linear_folds(spark, sf_dir, LINEAR_GRIDS, "mean")
+
+
+@query("b65_linear_random_folds", _fold_errors_sql("median(qty)", fold_sums.chosen_candidates(fold_sums.linear_candidates(MANY), "random", 30, 42)))
+def b65_linear(spark, sf_dir):
+    return _linear_folds(spark, sf_dir, MANY, "median", "random")
 
 
 @query("b65_random_search")
 def b65(spark, sf_dir):
-    linear = model.build_estimators({"ridge_regression": {}}, model.REGRESSORS)["ridge_regression"]
-    found = model.hyperparameter_search(linear, {"regParam": [0.0, 0.1, 1.0, 10.0], "elasticNetParam": [0.0, 0.5, 1.0]},
-                                        _vectors(spark, sf_dir, "margin"), scoring="neg_root_mean_squared_error",
-                                        strategy="random", n_iter=30, folds=5)
-    return model.search_report(found, "rmse")
+    return fold_sums.linear_search(_training_rows(spark, sf_dir, x_missing(spark, sf_dir)), FEATURES, "margin", MANY, "random", 30)
+
+
+@query("b66_regressor_folds", _fold_errors_sql("avg(qty)", [("ridge_regression", 500.0)]))
+def b66_ridge(spark, sf_dir):
+    """The same by fitting every fold on its rows, as for models without merging sums."""
+    rows = _training_rows(spark, sf_dir, x_missing(spark, sf_dir))
+    found = model.search_pipeline(rows, ["qty"], "margin", [("ridge_regression", {"alpha": 500.0})], model.REGRESSORS,
+                                  cfg=prep.PreprocessConfig("mean"))
+    return rounded(found.select("candidate", "model", F.lit(500.0).alias("alpha"), "fold", "rmse", "support"), "rmse", digits=2)
+
+
+SMOOTHINGS = [1e-9, 1e-8, 1e-3]
+
+
+def _smoothing_sql() -> str:
+    """Gaussian naive Bayes per fold, filled with the mean of the training part, for several smoothings."""
+    fill = ", ".join(f"avg({c}) as a_{c}" for c in FEATURES)
+    filled = ", ".join(f"coalesce({c}, a_{c}) as {c}" for c in FEATURES)
+    fit = ", ".join(f"avg({c}) as m_{c}, var_pop({c}) as v_{c}" for c in FEATURES)
+    largest = "greatest(" + ", ".join(f"var_pop({c})" for c in FEATURES) + ")"
+    score = "ln(n / total)" + "".join(f" - 0.5 * ln(v_{c} + s * e) - ({c} - m_{c}) ** 2 / (2 * (v_{c} + s * e))" for c in FEATURES)
+    scored = "select candidate || ':' || fold as model, faulty as label, prediction from scored"
+    tried = ", ".join(f"({i}, {s!r}::double)" for i, s in enumerate(SMOOTHINGS))
+    return f"""with xy as materialized (select x.*, y.faulty, fold from {X_MISSING_SQL} x join
+   (select id, faulty, {FOLD} as fold from {Y_SQL} where not {TEST}) y on x.id = y.id),
+ a as (select k, {fill} from xy, range(5) r(k) where fold <> k group by k),
+ z as materialized (select k, id, fold, faulty, {filled} from xy, a),
+ e as (select k, {largest} as e from z where fold <> k group by k),
+ g as (select k, faulty as cls, count(*)::double as n, sum(count(*)) over (partition by k) as total, {fit} from z where fold <> k group by k, faulty),
+ p(candidate, s) as (values {tried}),
+ scored as materialized (select candidate, id, z.fold, z.faulty, arg_max(cls, {score}) as prediction from z join g on z.k = g.k and z.fold = z.k join e on e.k = z.k, p group by 1, 2, 3, 4)
+ select split_part(model, ':', 1)::int as candidate, s as var_smoothing, split_part(model, ':', 2)::int as fold,
+ round(sum(hits)::double / sum(support), 6) as accuracy, round(sum(f * support)::double / sum(support), 6) as f1_weighted, sum(support)::bigint as support
+ from {scores_sql(scored)} t join p on p.candidate = split_part(t.model, ':', 1)::int group by 1, 2, 3"""
+
+
+@query("b64_bayes_smoothing_folds", _smoothing_sql())
+def b64_bayes(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir, x_missing(spark, sf_dir))
+    found = bayes.bayes_search(rows, FEATURES, "faulty", SMOOTHINGS, cfg=prep.PreprocessConfig("mean", "none"))
+    return rounded(found, "accuracy", "f1_weighted")
+
+
+@query("b58_bayes_smoothed", _naive_bayes_sql("0.01 * greatest(" + ", ".join(f"var_pop({c}) over ()" for c in FEATURES) + ")"))
+def b58_smoothed(spark, sf_dir):
+    fitted, _, test = _fitted(spark, sf_dir, "naive_bayes_classifier", {"var_smoothing": 0.01}, scaling="none")
+    return model.predict(fitted, test, ["id", "faulty"])
 
 
 @query("b66_cross_validation")

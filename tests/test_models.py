@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sensorlens.plans import modelling
 from sensorlens.operators import evaluate, explain, model, prep, split
 from sensorlens.plans import workflow
 from sensorlens.sources import sinks
@@ -226,8 +227,6 @@ class _Stop(Exception):
 
 def _asked(spark, sf_dir, monkeypatch, name, fn):
     """What a registered query hands to the library; nothing is trained."""
-    from sensorlens.plans import modelling
-
     held = {}
     real = getattr(model, name)
 
@@ -246,11 +245,11 @@ def _asked(spark, sf_dir, monkeypatch, name, fn):
 
 
 def test_registered_searches_try_the_whole_grid_on_five_folds(spark, sf_dir, monkeypatch):
-    grid = _asked(spark, sf_dir, monkeypatch, "hyperparameter_search", "b64")
-    assert grid["args"][1]["maxDepth"] == [3, 5, 10, model.MAX_TREE_DEPTH] and grid["kwargs"]["folds"] == 5
+    grid = _asked(spark, sf_dir, monkeypatch, "search_pipeline", "b64")["args"][3]
+    assert {(p["max_depth"], p["min_samples_leaf"]) for _, p in grid} == {(d, n) for d in (3, 5, 10, None) for n in (1, 5, 10)}
     monkeypatch.undo()
-    drawn = _asked(spark, sf_dir, monkeypatch, "hyperparameter_search", "b65")
-    assert drawn["kwargs"]["n_iter"] == 30 and drawn["kwargs"]["folds"] == 5
+    drawn = modelling.b65(spark, sf_dir)
+    assert drawn.select("candidate").distinct().count() == 30 and drawn.count() == 150 and len(sum(modelling.MANY.values(), [])) > 30
 
 
 def test_registered_regressors_have_the_reference_counts(spark, sf_dir, monkeypatch):
