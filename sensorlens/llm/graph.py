@@ -4,6 +4,9 @@ Rows are dealt into shards by a hash of their id, and every shard gets a graph o
 vectors. Points enter in growing batches: a greedy beam search from the entry point proposes
 neighbours for the whole batch at once, relaxed distance pruning keeps the near ones that no
 kept neighbour is nearer to by the factor ``ALPHA``, and edges back are added and pruned alike.
+Tight clusters fill their lists with their own members, so searches begin at ``HUBS`` points drawn far from each
+other, and what cannot be reached from these is linked, part by part, to its nearest reached
+point in slots of their own that pruning leaves alone.
 The graphs are written down; a query runs a beam search in every shard and the shards' finds are
 ranked together by exact distances in double precision.
 
@@ -32,15 +35,17 @@ from sensorlens.llm.vectors import matrix, one_per_id, ranked
 ALPHA = 1.2
 DEGREE = 24
 BUILD_BEAM = 48
-SEARCH_BEAM = 96
+SEARCH_BEAM = 224
+HUBS = 128  # points where searches begin
+BRIDGES = 8  # slots for links between parts
 EXPANDED = 3  # points of a beam expanded at once
 BATCH = 512
-ROWS_PER_SHARD = 4_096
+SHARD_BYTES = 4 << 20  # vectors of a shard in double precision: 8 192 of 64 components
 QUERIES_PER_BLOCK = 2_048
 
 
 def beam_search(
-    points: np.ndarray, nexts: np.ndarray, entry: int, queries: np.ndarray, beam: int
+    points: np.ndarray, nexts: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Nearest points found for all queries at once: ids (-1 where none) and squared distances."""
     n, asked = len(points), len(queries)
@@ -49,8 +54,11 @@ def beam_search(
     far = np.full((asked, beam), np.inf)
     open_ = np.zeros((asked, beam), bool)
     seen = np.zeros((asked, n), bool)
-    ids[:, 0], open_[:, 0], seen[:, entry] = entry, True, True
-    far[:, 0] = norms[entry] + own - 2 * queries @ points[entry]
+    start = norms[entries] + own[:, None] - 2 * queries @ points[entries].T
+    first = np.argsort(start, axis=1, kind="stable")[:, :beam]
+    held = first.shape[1]
+    ids[:, :held], open_[:, :held], seen[:, entries] = entries[first], True, True
+    far[:, :held] = np.take_along_axis(start, first, axis=1)
     active = np.arange(asked)
     while len(active):
         turn = np.argsort(~open_[active], axis=1, kind="stable")[:, :EXPANDED]
@@ -102,30 +110,79 @@ def robust_prune(points: np.ndarray, at: np.ndarray, proposed: np.ndarray) -> np
     return out
 
 
+def spread_points(points: np.ndarray, most: int) -> np.ndarray:
+    """The point nearest to the middle, then points drawn by their squared distance to those before."""
+    rng = np.random.default_rng(7)
+    middle = points.mean(axis=0)
+    chosen = [int(((points - middle) ** 2).sum(axis=1).argmin())]
+    away = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < min(most, len(points)) and away.max() > 0:
+        at = min(int(np.searchsorted(np.cumsum(away), rng.random() * away.sum(), side="right")), len(points) - 1)
+        chosen.append(at if away[at] > 0 else int(away.argmax()))
+        away = np.minimum(away, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+        away[chosen] = 0
+    return np.array(chosen)
+
+
 class Graph:
-    """A directed graph over different vectors, and its entry point."""
+    """A directed graph over different vectors, and the points where searches begin."""
 
     def __init__(self, points: np.ndarray):
         n = len(points)
         self.points = points
-        self.nexts = np.full((n, DEGREE), -1)
-        middle = points.mean(axis=0)
-        self.entry = int(((points - middle) ** 2).sum(axis=1).argmin())
-        order = np.random.default_rng(5).permutation(n)
-        order = np.concatenate([[self.entry], order[order != self.entry]])
+        self.nexts = np.full((n, DEGREE + BRIDGES), -1)
+        self.entries = spread_points(points, HUBS)
+        rest = np.random.default_rng(5).permutation(n)
+        order = np.concatenate([self.entries, rest[~np.isin(rest, self.entries)]])
         done, size = 1, 1
         while done < n:
             batch = order[done : done + size]
-            found = beam_search(points, self.nexts, self.entry, points[batch], BUILD_BEAM)[0]
+            begun = self.entries[: min(done, len(self.entries))]
+            found = beam_search(points, self.nexts, begun, points[batch], BUILD_BEAM)[0]
             if size < BATCH:  # early batches hold much of what there is: they propose each other
                 found = np.concatenate([found, np.tile(batch, (len(batch), 1))], axis=1)
-            self.nexts[batch] = robust_prune(points, batch, found)
+            self.nexts[batch, :DEGREE] = robust_prune(points, batch, found)
             self._link_back(batch)
             done += len(batch)
             size = min(BATCH, size * 2)
+        self._connect()
+
+    def _reach(self, begin: np.ndarray, reached: np.ndarray) -> np.ndarray:
+        """Mark what can be reached from ``begin`` outside ``reached``; the points found."""
+        found, front = [], begin[~reached[begin]]
+        reached[front] = True
+        while len(front):
+            found.append(front)
+            near = np.unique(self.nexts[front])
+            near = near[near >= 0]
+            front = near[~reached[near]]
+            reached[front] = True
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def _connect(self) -> None:
+        """Link every part that cannot be reached both ways with the nearest point that can."""
+        reached = np.zeros(len(self.points), bool)
+        self._reach(self.entries, reached)
+        bridges = self.nexts[:, DEGREE:]
+        while not reached.all():
+            part = self._reach(np.flatnonzero(~reached)[:1], reached.copy())
+            free = np.flatnonzero(reached & (bridges[:, -1] < 0))
+            best = (np.inf, -1, -1)
+            for begin in range(0, len(part), 256):
+                some = part[begin : begin + 256]
+                there, here = self.points[free], self.points[some]
+                away = (there**2).sum(axis=1) + (here**2).sum(axis=1)[:, None] - 2 * here @ there.T
+                row, col = np.unravel_index(away.argmin(), away.shape)
+                best = min(best, (float(away[row, col]), int(some[row]), int(free[col])))
+            _, inside, outside = best
+            for a, b in ((outside, inside), (inside, outside)):
+                slots = np.flatnonzero(bridges[a] < 0)
+                if len(slots):
+                    bridges[a, slots[0]] = b
+            self._reach(np.array([inside]), reached)
 
     def _link_back(self, batch: np.ndarray) -> None:
-        to = self.nexts[batch].ravel()
+        to = self.nexts[batch, :DEGREE].ravel()
         source = np.repeat(batch, DEGREE)[to >= 0]
         to = to[to >= 0]
         order = np.argsort(to, kind="stable")
@@ -134,7 +191,7 @@ class Graph:
         place = np.arange(len(to)) - np.repeat(first, count)
         added = np.full((len(hit), int(count.max(initial=0))), -1)
         added[np.repeat(np.arange(len(hit)), count), place] = source
-        merged = np.concatenate([self.nexts[hit], added], axis=1)
+        merged = np.concatenate([self.nexts[hit, :DEGREE], added], axis=1)
         merged.sort(axis=1)
         merged[:, 1:][merged[:, 1:] == merged[:, :-1]] = -1
         full = (merged >= 0).sum(axis=1) > DEGREE
@@ -144,13 +201,17 @@ class Graph:
         for begin in range(0, int(full.sum()), 256):
             some = slice(begin, begin + 256)
             width = max(DEGREE, int((narrow[some] >= 0).sum(axis=1).max(initial=0)))
-            self.nexts[hit[full][some]] = robust_prune(self.points, hit[full][some], narrow[some][:, :width])
+            self.nexts[hit[full][some], :DEGREE] = robust_prune(self.points, hit[full][some], narrow[some][:, :width])
+
 
+def build_graphs(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The written index: (shard, node, v, ids, nexts, hub), a row per different vector of a shard.
 
-def build_graphs(rows: DataFrame) -> DataFrame:
-    """The written index: (shard, node, v, ids, nexts, entry), a row per different vector of a shard."""
+    Shards are as large as memory allows, as a search costs little more in a larger graph.
+    """
     let_workers_import(rows.sparkSession)
-    shards = max(1, math.ceil(rows.count() / ROWS_PER_SHARD))
+    whole = rows.agg(F.sum(F.size("v")).alias("n")).first()["n"] or 0
+    shards = max(1, math.ceil(8 * whole / shard_bytes))
     placed = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
 
     def build(shard: pa.Table) -> pa.Table:
@@ -167,11 +228,11 @@ def build_graphs(rows: DataFrame) -> DataFrame:
                 "v": pa.array(list(points), pa.list_(pa.float64())),
                 "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[order])),
                 "nexts": pa.array(list(graph.nexts.astype(np.int32)), pa.list_(pa.int32())),
-                "entry": pa.array(np.full(len(points), graph.entry, np.int32)),
+                "hub": pa.array(np.isin(np.arange(len(points)), graph.entries)),
             }
         )
 
-    schema = "shard int, node int, v array<double>, ids array<long>, nexts array<int>, entry int"
+    schema = "shard int, node int, v array<double>, ids array<long>, nexts array<int>, hub boolean"
     return written(placed.groupBy("shard").applyInArrow(build, schema), "graphs")
 
 
@@ -180,13 +241,14 @@ def search_shard(shard: pa.Table, block: pa.Table, k: int) -> list[tuple[np.ndar
     shard = shard.sort_by("node")
     width = max(int(pa.compute.max(pa.compute.list_value_length(t["v"])).as_py() or 0) for t in (shard, block))
     points, queries = matrix(shard["v"], width), matrix(block["v"], width)
-    nexts, members = matrix(shard["nexts"], DEGREE), shard["ids"].to_pylist()
+    nexts, members = matrix(shard["nexts"], DEGREE + BRIDGES), shard["ids"].to_pylist()
+    entries = np.flatnonzero(shard["hub"].to_numpy())
     out = []
     asked = block["vec_id"].to_numpy()
     step = max(1, (32 << 20) // max(1, len(points)))  # what beam_search notes per query and point
     for begin in range(0, len(asked), step):
         some = queries[begin : begin + step]
-        found = beam_search(points, nexts, shard["entry"][0].as_py(), some, max(SEARCH_BEAM, 2 * k))[0]
+        found = beam_search(points, nexts, entries, some, max(SEARCH_BEAM, 2 * k))[0]
         for own, query, nodes in zip(asked[begin : begin + step], some, found):
             nodes = nodes[nodes >= 0]
             away = np.sqrt(((points[nodes] - query) ** 2).sum(axis=1))

@@ -90,6 +90,45 @@ def test_copies_do_not_hide_neighbours():
     rng = np.random.default_rng(3)
     points = np.unique(rng.normal(size=(1500, 12)), axis=0)
     made = graph.Graph(points)
-    found = graph.beam_search(points, made.nexts, made.entry, points[:200], 64)[0]
+    found = graph.beam_search(points, made.nexts, made.entries, points[:200], 64)[0]
     assert (found[:, 0] == np.arange(200)).mean() > 0.98
     assert made.nexts.max() < len(points) and (made.nexts >= 0).sum(axis=1).min() >= 1
+
+
+def hard_points(kind):
+    """4 000 vectors that lie in tight clusters, or a third of which are near copies."""
+    rng = np.random.default_rng(12)
+    if kind == "clusters":
+        return np.repeat(rng.normal(size=(40, 64)), 100, axis=0) + rng.normal(size=(4000, 64)) * 0.01
+    if kind == "many clusters":
+        return np.repeat(rng.normal(size=(160, 64)), 25, axis=0) + rng.normal(size=(4000, 64)) * 0.001
+    points = rng.normal(size=(4000, 64))
+    if kind == "near copies":
+        points[:1333] = points[0] + rng.normal(size=(1333, 64)) * 0.001
+    return points
+
+
+@pytest.mark.parametrize("kind", ["clusters", "many clusters", "near copies", "gauss"])
+@pytest.mark.parametrize("shards", [1, 4])
+def test_recall_on_hard_vectors(spark, kind, shards):
+    points = hard_points(kind)[np.random.default_rng(1).permutation(4000)]
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, v array<double>").repartition(3)
+    graphs = graph.build_graphs(rows, shard_bytes=-(-points.size * 8 // shards))
+    assert graphs.select("shard").distinct().count() == shards
+    found = {}
+    for r in graph.nearest(graphs, rows.filter("vec_id % 20 = 0"), 10).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q, got in found.items():
+        away = ((points - points[q]) ** 2).sum(axis=1)
+        away[q] = np.inf
+        hits += len(got & set(np.argsort(away, kind="stable")[:10].tolist()))
+    assert len(found) == 200 and hits >= 0.9 * 2000, hits / 2000
+
+
+@pytest.mark.parametrize("kind", ["clusters", "near copies"])
+def test_every_point_can_be_reached(kind):
+    made = graph.Graph(hard_points(kind))
+    reached = np.zeros(4000, bool)
+    made._reach(made.entries, reached)
+    assert reached.all()
