@@ -36,6 +36,7 @@ from sensorlens.operators.evaluate import (
     top_k,
 )
 from sensorlens.operators.fold_sums import chosen_candidates
+from sensorlens.operators.kernel import DRAWS, KernelMachine
 from sensorlens.operators.neighbours import NeighbourClassifier, NeighbourRegressor
 from sensorlens.operators.prep import (
     NumericPreprocessor,
@@ -105,17 +106,21 @@ def _linear(params: dict, mixing: float) -> dict:
     return out
 
 
-def _svm(params: dict) -> LinearSVC:
-    _only(params, "kernel", ["linear"])
+def _svm(params: dict) -> Estimator:
+    kernel, gamma = params.pop("kernel", "linear"), params.pop("gamma", "scale")
+    if kernel not in ("linear", "rbf"):
+        raise ValueError(f"kernel must be linear or rbf, got {kernel!r}")
     _only(params, "probability", [False, True])
-    params.pop("random_state", None)
+    seed, draws = params.pop("random_state", None), params.pop("n_components", DRAWS)
     out = LinearSVC(
         regParam=1.0 / params.pop("C", 1.0),
         maxIter=params.pop("max_iter", params.pop("maxIter", 100)),
         tol=params.pop("tol", 1e-6),
     )
     _known("svm", params)
-    return out
+    if kernel == "linear":
+        return out
+    return KernelMachine(out, None if gamma == "scale" else gamma, draws, 42 if seed is None else seed)
 
 
 def _bayes(params: dict) -> Estimator:

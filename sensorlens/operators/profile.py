@@ -618,3 +618,29 @@ def pca_exploratory(
         *[quoted(c) for c in keep],
         *[F.get(parts, F.lit(i)).alias(f"pc{i + 1}") for i in range(n_components)],
     )
+
+
+def grouped_counts(
+    df: DataFrame, column: str, by: Sequence[str], edges: Sequence[float], sets: Sequence[Sequence[str]]
+) -> DataFrame:
+    """Rows, mean and extremes of a column for several groupings at once, from one scan.
+
+    ``by`` and ``bin`` (the interval between two ``edges`` that holds the value, the last one closed; missing
+    outside) can be grouped; ``sets`` lists the groupings, an empty one being all rows. ``grouping``
+    numbers them by the bits of the columns left out, so that a missing value differs from a column left out.
+    """
+    names = [*by, "bin"]
+    require_columns(df, [column, *by])
+    unknown = sorted({c for s in sets for c in s} - set(names))
+    if unknown or list(edges) != sorted(set(edges)) or len(edges) < 2:
+        raise ValueError(f"groupings must be of {names} and edges ascend, got {unknown}, {list(edges)}")
+    value = quoted(column).cast("double")
+    at = F.when(value == F.lit(float(edges[-1])), F.lit(len(edges) - 2))
+    for i, (low, high) in enumerate(zip(edges, edges[1:])):
+        at = at.when((value >= F.lit(float(low))) & (value < F.lit(float(high))), F.lit(i))
+    rows = df.select(*[quoted(c) for c in by], value.alias("_value"), at.alias("bin"))
+    grouped = rows.groupingSets([[quoted(c) for c in s] for s in sets], *[quoted(c) for c in names])
+    return grouped.agg(
+        F.grouping_id().alias("grouping"), F.count("*").alias("n"), F.avg("_value").alias("mean"),
+        F.min("_value").alias("min"), F.max("_value").alias("max"),
+    )

@@ -6,7 +6,7 @@ import importlib
 
 from sensorlens.plans.catalog import ORACLES, QUERIES, Query
 
-MODULES = ("reading", "understanding", "preparing", "modelling", "neighbouring", "timing")
+MODULES = ("reading", "understanding", "preparing", "modelling", "neighbouring", "timing", "ruling")
 
 
 def _load() -> None:

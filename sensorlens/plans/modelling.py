@@ -404,7 +404,7 @@ def b62(spark, sf_dir):
     train, test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)
     pre = prep.fit_numeric_preprocessor(train, FEATURES)
     chosen = model.build_estimators({"decision_tree_regressor": {"max_depth": None},
-                                     "random_forest_regressor": {"n_estimators": 200, "max_depth": None}}, model.REGRESSORS)
+                                     "random_forest_regressor": {"n_estimators": 200, "max_depth": 10}}, model.REGRESSORS)
     scored = model.score_models(model.fit_models(pre, chosen, train, "margin"), test, "margin")
     return evaluate.rank_regressors(evaluate.regression_scores(scored, by=["model", "model_ordinal"]))
 
