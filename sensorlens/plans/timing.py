@@ -103,7 +103,8 @@ def c06(spark, sf_dir):
     return event_windows.late_rows(spark, folder, schema).select("event_id", "batch")
 
 
-_AGGREGATES = {"n": F.count("*"), "total": F.round(F.sum("value"), 2), "high": F.max("value")}
+def _aggregates():
+    return {"n": F.count("*"), "total": F.round(F.sum("value"), 2), "high": F.max("value")}
 
 
 @query("c07_stream_tumbling_windows", _ARRIVED + """ w as (select b.*, time_bucket(interval 6 hours, ts) as starts from b),
@@ -114,7 +115,7 @@ _AGGREGATES = {"n": F.count("*"), "total": F.round(F.sum("value"), 2), "high": F
 def c07(spark, sf_dir):
     schema, folder = _split(spark, sf_dir, width="6 hours")
     window = event_windows.tumbling("ts", "6 hours")
-    event_windows.start_windows(spark, folder, schema, "ts", "1 day", window, _AGGREGATES, f"{folder}/closed", ("event_type",)).awaitTermination()
+    event_windows.start_windows(spark, folder, schema, "ts", "1 day", window, _aggregates(), f"{folder}/closed", ("event_type",)).awaitTermination()
     return _untimed(spark.read.parquet(f"{folder}/closed"))
 
 
@@ -127,7 +128,7 @@ def c07(spark, sf_dir):
 def c08(spark, sf_dir):
     schema, folder = _split(spark, sf_dir, gap="8 hours")
     window = event_windows.session("ts", "8 hours")
-    event_windows.start_windows(spark, folder, schema, "ts", "1 day", window, _AGGREGATES, f"{folder}/closed", ("user_id",)).awaitTermination()
+    event_windows.start_windows(spark, folder, schema, "ts", "1 day", window, _aggregates(), f"{folder}/closed", ("user_id",)).awaitTermination()
     return _untimed(spark.read.parquet(f"{folder}/closed"))
 
 
