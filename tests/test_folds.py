@@ -75,7 +75,7 @@ def test_what_sums_cannot_do_is_refused(gappy, frame):
         model.build_estimators({"decision_tree_classifier": {"min_samples_split": 10}})
 
 
-def test_share_of_columns():
+def test_share_of_columns(spark):
     made = lambda p: model.build_estimators({"boosted_trees_regressor": p}, model.REGRESSORS)["boosted_trees_regressor"]
     assert [made({"colsample_bytree": s}).getFeatureSubsetStrategy() for s in (1, 1.0, 0.8)] == ["all", "all", "0.8"]
     assert made({}).getFeatureSubsetStrategy() == "all"

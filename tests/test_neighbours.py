@@ -98,7 +98,7 @@ def test_votes(spark, weights, classes, values):
             assert g == pytest.approx(w)
 
 
-def test_parameters_are_checked():
+def test_parameters_are_checked(spark):
     with pytest.raises(ValueError):
         model.build_estimators({"knn_classifier": {"weights": "other"}})
     with pytest.raises(ValueError):
