@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import sys
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-CACHED_WORDS = 800_000  # words whose ids a worker remembers before it starts again
+CACHED_WORDS = 800_000  # words whose ids a worker remembers before it forgets the later half
 
 
 def default_tokenizer() -> str:
@@ -34,7 +35,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.lower() for t in added]
-        self._forget()
+        self.known = pa.array([], pa.large_string())  # their ids lie in ``flat``, between ``bounds``
+        self.flat = np.zeros(1 << 20, np.int32)
+        self.bounds = np.zeros(1 << 16, np.int64)
 
     @classmethod
     def shared(cls, path: str) -> WordEncoder:
@@ -44,26 +47,32 @@ class WordEncoder:
             held[path] = cls(path)
         return held[path]
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, np.int32)
-        self.bounds = np.zeros(1 << 16, np.int64)
-        self.count = 0
-
-    def _learn(self, words: list[str]) -> None:
-        fresh = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def _learn(self, words: pa.Array) -> None:
+        count = len(self.known)
+        fresh = self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)
         ids = [e.ids for e in fresh]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        at, end = self.bounds[self.count], self.count + len(ids)
+        at, end = self.bounds[count], count + len(ids)
         while end + 1 > len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        self.bounds[self.count + 1 : end + 1] = at + np.cumsum(sizes)
-        while self.bounds[end] > len(self.flat):
+        self.bounds[count + 1 : end + 1] = at + np.cumsum(sizes)
+        total = int(sizes.sum())
+        while at + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[at : self.bounds[end]] = [x for one in ids for x in one]
-        for i, w in enumerate(words, self.count):
-            self.known[w] = i
-        self.count = end
+        self.flat[at : at + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
+        self.known = pa.concat_arrays([self.known, words])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """The place of each of these different words among the known ones; new ones are learned."""
+        if len(self.known) + len(words) > CACHED_WORDS:
+            self.known = self.known.slice(0, CACHED_WORDS // 2)  # words met first are met most
+        place = pc.index_in(words, value_set=self.known)
+        new = words.filter(place.is_null())
+        out = pc.fill_null(place, -1).to_numpy().astype(np.int64)
+        if len(new):
+            out[out < 0] = np.arange(len(self.known), len(self.known) + len(new))
+            self._learn(new)
+        return out
 
     def encode(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each text; null counts as empty."""
@@ -80,13 +89,7 @@ class WordEncoder:
         n_words = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         words = pc.list_flatten(split)
         coded = words.dictionary_encode()
-        uniques = coded.dictionary.to_pylist()
-        if self.count + len(uniques) > CACHED_WORDS:
-            self._forget()
-        new = [w for w in uniques if w not in self.known]
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.known.__getitem__, uniques), np.int64, len(uniques))
+        place = self._places(coded.dictionary)
         at = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         begin = self.bounds[at]
         length = self.bounds[at + 1] - begin
