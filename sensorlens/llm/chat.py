@@ -5,30 +5,33 @@ strings, a backslash goes in behind its first character; backslashes are doubled
 undone by dropping every backslash that stands before another character.
 
 A turn counts as the tokens that the given tokenizer makes of it as written, control strings
-included; written one behind another turns never make more. A window takes new turns while they,
-the system turn and the repeated history stay within the budget. Every later window begins with
-the system turn and the last turns before its new ones, as many whole ones as ``history`` and the
-first new turn allow. Only texts of the assistant that are new in a window are under its loss
+included, one at least; written one behind another turns never make more. A window takes new
+turns while they, the system turn and the repeated history stay within the budget. Every later
+window begins with the system turn and the last turns before its new ones, as many whole ones as
+``history`` and the first new turn allow; both ends are searched in prefix sums of the counts. Only texts of the assistant that are new in a window are under its loss
 mask, so each is a target exactly once. A turn that exceeds the budget alone or with the system
 turn gets a window of its own, whole and without history.
 
 Turns are numbered by their place in the conversation and worked on in blocks of ``BLOCK`` of
 them, so a conversation that holds a third of all rows is spread over many groups, none of them
-long. A block knows the turns before and behind it that its windows may reach. Where its first
+long. A block knows the turns before and behind it that its windows may reach, which follows from
+the smallest turn of all. Where its first
 window begins depends on the block before: each block says where its last window would end for
 every place where its first may begin, and going through these says where they all begin. So
 windows are those of a conversation read from its first turn to its last.
 
-Nulls and repeats: a null text or role is empty; turns are ordered by turn, role and text, null
-first; repeated rows are turns of their own; rows without a conversation id are one conversation.
-An empty table gives no window. Other columns do not matter.
+Nulls and repeats: a null text or role is empty; turns are ordered by turn, null first, then by role
+and text (the first ``SORTED`` characters of each, then a hash, so that sort keys stay small);
+repeated rows are turns of their own; rows without a conversation id are one conversation. An empty table gives no window. Other columns do not matter.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +42,7 @@ from sensorlens.llm.token_ids import WordEncoder, default_tokenizer
 
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 BUDGET, HISTORY = 256, 128  # tokens
-LEAST = 6  # tokens that a turn has at least, by its control strings
+SORTED = 64  # characters of role and text that sort turns of one number
 BLOCK = 1024
 ENTRY, SYSTEM, CARRIED, NEW, AHEAD = range(5)
 
@@ -80,6 +83,7 @@ class _Block:
         self.conv_id, self.block, self.budget, self.history = conv_id, block, budget, history
         self.system: tuple | None = None  # the turn that opens the conversation, in an earlier block
         self.turns: list[tuple] = []
+        self.sums = [0]  # tokens of the turns before each, and of all
         self.start = self.entry = self.own = 0
 
     def add(self, kind: int, role: str, text: str | None, tokens: int) -> None:
@@ -89,6 +93,7 @@ class _Block:
             self.system = (role, text, tokens)
         else:
             self.turns.append((role, text, tokens))
+            self.sums.append(self.sums[-1] + tokens)
             self.start += kind == CARRIED
             self.own += kind == NEW
 
@@ -99,16 +104,12 @@ class _Block:
         """System turn, begin of the history and end of the window whose first new turn is ``at``."""
         opened = self._opened()
         system = self.turns[0] if opened and at else self.system
-        total = self.turns[at][2] + (system[2] if system else 0)
-        room, begin = min(self.history, self.budget - total), at
-        while begin > opened and self.turns[begin - 1][2] <= room:
-            begin -= 1
-            room -= self.turns[begin][2]
-            total += self.turns[begin][2]
-        end = at + 1
-        while end < len(self.turns) and total + self.turns[end][2] <= self.budget:
-            total += self.turns[end][2]
-            end += 1
+        sums = self.sums
+        left = self.budget - self.turns[at][2] - (system[2] if system else 0)
+        room = min(self.history, left)
+        begin = bisect_left(sums, sums[at] - room, opened, at) if at > opened else at
+        left -= sums[at] - sums[begin]
+        end = bisect_right(sums, sums[at + 1] + left, at + 1) - 1 if left > 0 else at + 1
         return system, begin, end
 
     def exits(self, entries: int) -> list[int]:
@@ -139,8 +140,10 @@ class _Block:
             at, count = end, count + 1
 
 
-def numbered(turns: DataFrame, tokenizer: str) -> DataFrame:
-    """(conv_id, role, text, tokens, position) of every turn; positions of a conversation are dense.
+def numbered(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, int]:
+    """(conv_id, role, text, tokens, position) of every turn, and the tokens of the smallest one.
+
+    Positions of a conversation are dense.
 
     Rows are put in order over all partitions and numbered in each; a partition adds the turns that
     its first conversation has in earlier ones.
@@ -152,8 +155,9 @@ def numbered(turns: DataFrame, tokenizer: str) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     n = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ("conv_id", "turn", "role", "text")
-    ordered = plain.repartitionByRange(n, *names).sortWithinPartitions(*names)
+    # range borders pass through the driver: no whole text is part of them
+    order = ["conv_id", "turn", F.left("role", F.lit(SORTED)), F.left("text", F.lit(SORTED)), F.xxhash64("role", "text")]
+    ordered = plain.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.shared(tokenizer)
@@ -161,7 +165,7 @@ def numbered(turns: DataFrame, tokenizer: str) -> DataFrame:
         for part in chunks(batches):
             ids, roles, texts = (column(part, c) for c in ("conv_id", "role", "text"))
             whole = [_written(r, t) for r, t in zip(roles.to_pylist(), texts.to_pylist())]
-            sizes = encoder.encode(pa.array(whole, pa.string()), None)[1]
+            sizes = np.maximum(1, encoder.encode(pa.array(whole, pa.string()), None)[1])
             places = []
             for c in ids.to_pylist():
                 place = place + 1 if conv == (c,) else 0
@@ -181,7 +185,8 @@ def numbered(turns: DataFrame, tokenizer: str) -> DataFrame:
     begun = begun.select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), "before")
     joined = rows.join(F.broadcast(begun), F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")), "left")
     position = F.col("place") + F.coalesce("before", F.lit(0))
-    return joined.select("conv_id", "role", "text", "tokens", position.alias("position"))
+    least = rows.agg(F.min("tokens")).first()[0] or 1
+    return joined.select("conv_id", "role", "text", "tokens", position.alias("position")), least
 
 
 def _placed(rows: DataFrame, size: int, tail: int, ahead: int) -> DataFrame:
@@ -249,7 +254,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], budget: int, history: int) -> Ite
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokenizer: str | None = None) -> DataFrame:
     """The windows of all conversations: text, loss mask as spans of code points, what is new."""
-    tail, ahead = history // LEAST + 1, budget // LEAST + 1
+    plain, least = numbered(turns, tokenizer or default_tokenizer())
+    tail, ahead = history // least + 1, budget // least + 1
     size = max(BLOCK, 2 * tail, 2 * ahead)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +271,7 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
             columns = zip(*rows) if rows else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    placed = _placed(numbered(turns, tokenizer or default_tokenizer()), size, tail, ahead)
+    placed = _placed(plain, size, tail, ahead)
     entries = _entries(placed, budget, history, ahead + 1).select(
         "conv_id", F.lit("").alias("role"), F.lit("").alias("text"), F.col("entry").alias("tokens"),
         F.lit(0).cast("long").alias("position"), "block", F.lit(ENTRY).alias("kind"),
