@@ -7,9 +7,10 @@
    either, so only these are sent out, and n-grams met in a single set are dropped.
 3. Near copies come in groups: each set is first compared with a leader, the set that holds the
    most widely shared n-grams. Verified links join sets into groups at once.
-4. What is left goes into signature trees, one per range of n-grams: leaves are sets, nodes hold
-   the OR of their leaves' n-gram bitmaps and their range of sizes. Pairs of nodes are descended
-   together and dropped when their bitmaps share no bit, when no two sizes fit each other, or
+4. N-grams that sets of different groups share go into signature trees, one per range of n-grams
+   and of bounded size; an n-gram of very many sets is split into blocks that meet two by two.
+   Leaves are sets, nodes hold the OR of their leaves' n-gram bitmaps and their range of sizes.
+   Pairs of nodes are descended together and dropped when their bitmaps share no bit, when no two sizes fit each other, or
    when both lie in one group of step 3. Leaf pairs are counted n-gram by n-gram, the counts of
    all trees are added up, and pairs whose largest possible overlap is too small are dropped.
 5. The rest is verified on whole sets, and links are closed to components.
@@ -44,6 +45,9 @@ COUNTED = 0.4
 COUNT_BUFFER = 4_000_000
 FILTER_BITS = 22
 FAN_OUT = 8
+TREE_ROWS = 200_000  # postings of one tree, those of one block of an n-gram aside
+TREE_LISTED = 4_000_000  # and n-grams that its sets list
+HOT = 20_000  # sets of one block of an n-gram
 BITMAP_WORDS = 16  # 64-bit words of a node's bitmap
 
 
@@ -391,16 +395,26 @@ def tree_pairs(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     Pairs that share an n-gram which is not common are found, and counted, by those alone; the
     trees of common ones need only yield pairs that share no other.
     """
-    commons = shared.filter("gram < 0").groupBy("sid").agg(F.collect_list("gram").alias("commons"))
-    known = roots.withColumnRenamed("node", "sid").join(commons, "sid", "full")
-    grouped = shared.join(known, "sid", "left").select(
-        "gram", "sid", "n", "h", F.coalesce("root", "sid").alias("grp"), F.when(F.col("gram") < 0, F.col("commons")).alias("all")
+    known = roots.withColumnRenamed("node", "sid")
+    grouped = shared.join(known, "sid", "left").withColumn("grp", F.coalesce("root", "sid")).drop("root")
+    # n-grams of one group alone have done their work
+    listing = F.when(F.col("gram") < 0, F.least("h", F.floor((100 - percent) * F.col("n") / 100) + 1))
+    met = grouped.groupBy("gram").agg(
+        F.min("grp").alias("least"), F.max("grp").alias("most"), F.count("*").alias("df"), F.sum(listing).alias("listed")
     )
-
-    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
+    blocks = F.ceil(F.greatest(F.col("df") / HOT, 2 * F.col("listed") / TREE_LISTED)).cast("int").alias("blocks")
+    live = written(grouped.join(met.filter("least < most").select("gram", blocks), "gram"), "met")
+    commons = live.filter("gram < 0").groupBy("sid").agg(F.collect_list("gram").alias("commons"))
+    # every two blocks of an n-gram meet in one place, and each with itself
+    block = F.pmod(F.xxhash64("sid", F.lit(5)), "blocks")
+    placed = live.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    listed = placed.join(commons, "sid", "left").select(
+        "gram", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "sid", "n", "h", "grp",
+        F.when(F.col("gram") < 0, F.col("commons")).alias("all"),
+    )
+    dealt = spread(listed, ("gram", "x", "y")).sortWithinPartitions("gram", "x", "y")
+
+    def join(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("gram", "sid", "n", "h", "grp")
         rows = {c: np.concatenate([column(b, c).to_numpy(zero_copy_only=False) for b in parts]) for c in names}
         rows["row"] = np.arange(len(rows["gram"]))
@@ -411,8 +425,30 @@ def tree_pairs(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
                 chosen = {k: v[some] for k, v in rows.items()}
                 yield from _join_in_tree(chosen | ({"all": lists_} if common else {}), percent, common)
 
+    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, listing, last = 0, 0, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            key = [column(batch, c).to_numpy(zero_copy_only=False) for c in ("gram", "x", "y")]
+            lengths = pc.fill_null(pc.list_value_length(column(batch, "all")), 0).to_numpy(zero_copy_only=False)
+            head = np.concatenate([[last != tuple(k[0] for k in key)], np.any([k[1:] != k[:-1] for k in key], axis=0)])
+            last = tuple(k[-1] for k in key)
+            begin = 0
+            for at in np.flatnonzero(head):  # a tree ends where the next n-gram, or block of one, begins
+                held.append(batch.slice(begin, at - begin))
+                size, listing, begin = size + at - begin, listing + int(lengths[begin:at].sum()), at
+                if size >= TREE_ROWS or listing >= TREE_LISTED:
+                    yield from join(held)
+                    held, size, listing = [], 0, 0
+            held.append(batch.slice(begin))
+            size, listing = size + batch.num_rows - begin, listing + int(lengths[begin:].sum())
+        if size:
+            yield from join(held)
+
     schema = "a long, b long, a_n long, b_n long, a_h long, b_h long, c long, by_common long"
-    local = arrow_map(spread(grouped, ("gram",)), traverse, schema)
+    local = arrow_map(dealt, traverse, schema)
     summed = local.groupBy("a", "b", "a_n", "b_n", "a_h", "b_h").agg(
         F.sum("c").alias("c"), F.max("by_common").alias("by_common")
     )

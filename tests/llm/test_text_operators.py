@@ -263,6 +263,21 @@ def test_chains_of_near_copies_and_links_at_the_threshold(spark):
     assert rows_of(jaccard.link_classes(docs)) == sorted(plain_groups(rows), key=repr)
 
 
+def test_groups_do_not_depend_on_blocks_and_trees(spark, monkeypatch):
+    """An opening that all texts share, in blocks of a few sets and trees of a few postings."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(900)]
+    rows = [(i, " ".join(words[:18] + words[18 + i * 4 : 60 + i * 4])) for i in range(120)]
+    rows += [(200 + i, " ".join(words[:10] + rng.choices(words, k=1 + i % 3))) for i in range(60)]
+    want = sorted(plain_groups(rows), key=repr)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "HOT", 7)
+    monkeypatch.setattr(jaccard, "TREE_ROWS", 25)
+    assert rows_of(jaccard.link_classes(docs)) == want
+    monkeypatch.setattr(jaccard, "TREE_LISTED", 40)
+    assert rows_of(jaccard.link_classes(docs)) == want
+
+
 def test_prefix_lengths_are_safe():
     for percent in (50, 80, 95):
         for a in range(1, 60):
@@ -492,3 +507,26 @@ def test_windows_do_not_depend_on_turn_numbers_or_blocks(spark, step):
     windows = chat.format_windows(spark.createDataFrame(rows, TURNS).repartition(5)).orderBy("block", "window").collect()
     assert [chat.read_turns(w["formatted"]) for w in windows] == plain_windows(turns, sizes, chat.BUDGET, chat.HISTORY)
     assert len({w["block"] for w in windows}) == 3
+
+
+def test_chat_sort_keys_hold_no_whole_text(spark):
+    """Long texts of one turn number keep their order and stay out of the range borders."""
+    rows = [(1, 0, "user", "a" * 50_000 + c) for c in "bca"] + [(1, 0, "user", "A"), (1, None, "user", "first")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    plain, least = chat.numbered(turns, chat.default_tokenizer())
+    placed = {r["position"]: r["text"] for r in plain.collect()}
+    assert [placed[i][:5] for i in (0, 1)] == ["first", "A"] and len(placed) == 5
+    assert least == min(r["tokens"] for r in plain.collect()) > 0
+
+
+def test_encoder_forgets_the_later_half(monkeypatch):
+    from sensorlens.llm import token_ids
+
+    monkeypatch.setattr(token_ids, "CACHED_WORDS", 40)
+    encoder = token_ids.WordEncoder(token_ids.default_tokenizer())
+    rng = random.Random(8)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choices("abcde", k=rng.randint(1, 3))) for _ in range(12)) for _ in range(3)]
+        ids, sizes = encoder.encode(pa.array(texts), None)
+        whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [x for w in whole for x in w] and sizes.tolist() == [len(w) for w in whole]
