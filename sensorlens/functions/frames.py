@@ -7,6 +7,9 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,37 +49,51 @@ def materialise(df: DataFrame) -> DataFrame:
 
     For frames that several jobs read: the plan behind them runs once, the rows survive the
     loss of executors, and as a columnar table later jobs read only the columns they need.
-    The table goes with :func:`release`, and what is left when Python ends goes then.
+    The table goes with :func:`release`, and what is left when Python ends goes then, whether or
+    not the session has been stopped.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
-    _TABLES.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    path = new_folder(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_TABLES: dict[str, set[str]] = {}
+_FOLDERS: dict[str, dict[str, JavaObject]] = {}  # by application: paths and Hadoop settings
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A path for a table, for files that arrive or for the state of a stream; it goes as tables do."""
+    path = f"{checkpoint_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    _FOLDERS.setdefault(sc.applicationId, {})[path] = sc._jsc.hadoopConfiguration()
+    return path
 
 
 def tables_left(spark: SparkSession) -> list[str]:
-    """The written tables of this application that have not been released."""
-    return sorted(_TABLES.get(spark.sparkContext.applicationId, ()))
+    """The written folders of this application that have not been released."""
+    return sorted(_FOLDERS.get(spark.sparkContext.applicationId, ()))
 
 
 def release(spark: SparkSession, paths: Sequence[str] | None = None) -> None:
-    """Delete written tables, by default all of the application: nothing may read them after."""
-    sc = spark.sparkContext
-    held = _TABLES.get(sc.applicationId, set())
+    """Delete written folders, by default all of the application: nothing may read them after."""
+    held = _FOLDERS.get(spark.sparkContext.applicationId, {})
     for path in list(held) if paths is None else paths:
-        target = sc._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
-        held.discard(path)
+        _delete(path, held.pop(path, None) or spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(path: str, settings: JavaObject) -> None:
+    target = SparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(settings).delete(target, True)
 
 
 def _release_at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and tables_left(spark):
-        release(spark)
+    # the JVM outlives a stopped session, and with it the settings kept beside the paths
+    for held in _FOLDERS.values():
+        for path, settings in held.items():
+            try:
+                _delete(path, settings)
+            except (Py4JError, OSError):  # the JVM is gone, or the file system was closed
+                return
 
 
 atexit.register(_release_at_exit)

@@ -15,7 +15,10 @@ from sensorlens.functions.frames import materialise
 from sensorlens.operators.ranks import LOOKUP_BOUND, attach_by_key, running_totals, value_counts
 
 
-def categories(train: DataFrame, column: str, at_most: int | None = None) -> list:
+MOST_FLAGS = 1_000  # categories that get a column each, unless the caller lifts it
+
+
+def categories(train: DataFrame, column: str, at_most: int | None = MOST_FLAGS) -> list:
     """Distinct non-missing values in order; a column of more than ``at_most`` is refused."""
     values = value_counts(train, column).select(column)
     rows = (values if at_most is None else values.limit(at_most + 1)).collect()
@@ -50,12 +53,12 @@ def one_hot_name(column: str, value) -> str:
 
 
 def one_hot_encoding(
-    df: DataFrame, column: str, train: DataFrame | None = None, at_most: int | None = None
+    df: DataFrame, column: str, train: DataFrame | None = None, at_most: int | None = MOST_FLAGS
 ) -> DataFrame:
     """Replace a column by one 0/1 column per training category; unknown values are all 0.
 
-    The frame gets as many columns as there are categories; see :func:`one_hot_vector` for more
-    than a schema should hold.
+    The frame gets as many columns as there are categories, so more than ``at_most`` are refused
+    (``None`` lifts that); :func:`one_hot_vector` holds any number in one sparse column.
     """
     values = categories(df if train is None else train, column, at_most)
     flags = {

@@ -5,20 +5,31 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlens.functions.columns import any_of, quoted, require_columns
-from sensorlens.operators.keys import _suffixed
+from sensorlens.operators.keys import HOT_KEY_SHARE, SALT, SALTS, _suffixed, hot_keys, salted_copies, salted_rows
 from sensorlens.operators.ranks import attach_by_key
 from sensorlens.operators.select import rename_columns
 
 MERGE_KINDS = ("inner", "left", "right")
 
 
-def dataset_merging(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"):
-    """Join on shared keys; clashing columns get ``_x`` and ``_y``."""
+def dataset_merging(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    hot_share: float | None = HOT_KEY_SHARE,
+    salts: int = SALTS,
+):
+    """Join on shared keys; clashing columns get ``_x`` and ``_y``.
+
+    Keys that hold ``hot_share`` of either side are spread over ``salts`` partitions, their
+    partner rows are repeated for each; ``None`` leaves skew to the optimizer.
+    """
     if how not in MERGE_KINDS:
         raise ValueError(f"how must be one of {MERGE_KINDS}, got {how}")
     if not on:
@@ -29,13 +40,58 @@ def dataset_merging(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     keyless = any_of([quoted(c).isNull() for c in on])
     # rows without a key match nothing: they stay out of the join and are added if kept
     kept, other = (left, right) if how != "right" else (right, left)
-    joined = left.filter(~keyless).join(right.filter(~keyless), list(on), how)
+    joined = _spread_join(left.filter(~keyless), right.filter(~keyless), on, how, hot_share, salts)
     if how == "inner":
         return joined
     added = {f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in on}
     return joined.unionByName(kept.filter(keyless).withColumns(added).select(*joined.columns))
 
 
+def _spread_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, share: float | None, salts: int
+) -> DataFrame:
+    """Join of rows that all have keys, hot keys of either side spread over salts."""
+    on = list(on)
+    code = None if share is None else _key_code(left, right, on)
+    if code is None:
+        return left.join(right, on, how)
+    kept, other = (left, right) if how != "right" else (right, left)
+    hot_kept = hot_keys(kept.select(code.alias("k")), "k", share)
+    hot_other = [k for k in hot_keys(other.select(code.alias("k")), "k", share) if k not in hot_kept]
+
+    def joined(kept: DataFrame, other: DataFrame, kind: str) -> DataFrame:
+        x, y = (kept, other) if how != "right" else (other, kept)
+        return x.join(y, [*on, SALT], kind).drop(SALT)
+
+    if not hot_kept and not hot_other:
+        return left.join(right, on, how)
+    spread = code.isin(hot_kept) if hot_kept else F.lit(False)
+    main = joined(salted_rows(kept, spread, salts), salted_copies(other, spread, salts), how)
+    if not hot_other:
+        return main
+    # every kept row of a key that is hot on the other side has partners: an inner join keeps it
+    apart, every = code.isin(hot_other), F.lit(True)
+    main = joined(
+        salted_rows(kept.filter(~apart), spread, salts), salted_copies(other.filter(~apart), spread, salts), how
+    )
+    rest = joined(
+        salted_copies(kept.filter(apart), every, salts), salted_rows(other.filter(apart), every, salts), "inner"
+    )
+    return main.unionByName(rest)
+
+
+def _key_code(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column | None:
+    """A hash of the keys that is equal on both sides for equal keys; none if their types differ in kind."""
+    parts = []
+    for c in on:
+        a, b = left.schema[c].dataType, right.schema[c].dataType
+        whole = isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)
+        if not whole and (a != b or "map<" in a.simpleString()):
+            return None
+        parts.append(quoted(c).cast("long") if whole else quoted(c))
+    return F.xxhash64(*parts)
+
+
 def union_concat(parts: Sequence[DataFrame]) -> DataFrame:
     """Stack frames by column name; a column absent from a part is missing there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -76,13 +132,17 @@ def datatype_harmonization(parts: Sequence[DataFrame]) -> list[DataFrame]:
 
 
 def pk_fk_mapping(
-    source: DataFrame, target: DataFrame, mapping: Mapping[str, str], how: str = "inner"
+    source: DataFrame,
+    target: DataFrame,
+    mapping: Mapping[str, str],
+    how: str = "inner",
+    hot_share: float | None = HOT_KEY_SHARE,
 ) -> DataFrame:
-    """Join ``source`` to ``target`` where source keys carry other names than target keys."""
+    """Join ``source`` to ``target`` where source keys carry other names than target keys; hot keys are spread."""
     require_columns(source, mapping, "source key")
     require_columns(target, mapping.values(), "target key")
     renamed = source.withColumnsRenamed(dict(mapping))
-    return dataset_merging(renamed, target, list(mapping.values()), how)
+    return dataset_merging(renamed, target, list(mapping.values()), how, hot_share)
 
 
 def orphan_rows(source: DataFrame, target: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

@@ -48,10 +48,14 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_KEY_SHARE) -> list:
 def salted_rows(df: DataFrame, spread: Column, salts: int = SALTS) -> DataFrame:
     """Add a salt: a turn over ``salts`` where ``spread`` holds, 0 elsewhere.
 
-    The salt follows a row's place and not its content, so equal rows are spread too.
+    Equal rows are spread too: the salt follows a row's place in its partition, once the rows to
+    spread lie in the order of their content. So a task that runs again after a lost executor
+    gives the same rows the same salts, in whatever order they reach it.
     """
+    hashable = [quoted(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    content = F.when(spread, F.xxhash64(*hashable)) if hashable else F.lit(0)
     turn = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    return df.withColumn(SALT, F.when(spread, turn).otherwise(F.lit(0)))
+    return df.sortWithinPartitions(content).withColumn(SALT, F.when(spread, turn).otherwise(F.lit(0)))
 
 
 def salted_copies(df: DataFrame, spread: Column, salts: int = SALTS) -> DataFrame:

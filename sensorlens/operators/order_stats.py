@@ -1,12 +1,12 @@
 """Exact order statistics and quantiles without sorting or collecting a column.
 
 A column of any length is narrowed to the neighbourhood of the wanted rank: a
-quantile sketch proposes two data values around the rank, one aggregate counts how
-many rows lie below, on and between them, and the interval shrinks to the part that
-holds the rank. Every proposal is checked by exact counts, so a sketch can only cost
+quantile sketch proposes two data values around the rank, every value is put into its
+bucket among the proposals of its column and the buckets are counted, and the interval
+shrinks to the part that holds the rank. Every proposal is checked by exact counts, so a sketch can only cost
 another round, never a wrong value. When at most ``bound`` rows are left inside the
-open interval, those rows are gathered and the value is read off. No row is shuffled;
-a value held by a third of all rows ends the search as soon as a proposal hits it.
+open interval, those rows are gathered and the value is read off. Nothing else is
+shuffled but counts; a value held by a third of all rows ends the search as soon as a proposal hits it.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlens.functions.columns import quoted
 
@@ -81,7 +82,9 @@ def order_statistics(
             break
         before = {id(s): (s.interval, s.found) for s in wide}
         for start in range(0, len(wide), TARGETS_PER_JOB):
-            _narrow(df, columns, wide[start : start + TARGETS_PER_JOB])
+            batch = [s for s in wide[start : start + TARGETS_PER_JOB] if not s.found]
+            if batch:
+                _narrow(df, columns, batch, searches)
         for s in wide:
             if before[id(s)] == (s.interval, s.found):
                 _count_values(df, columns[s.name], s)
@@ -89,51 +92,87 @@ def order_statistics(
     return {(s.name, s.rank): s.value for s in searches}
 
 
-def _narrow(df: DataFrame, columns: Mapping[str, Column], searches: list[_Search]) -> None:
+def _narrow(
+    df: DataFrame, columns: Mapping[str, Column], batch: list[_Search], searches: list[_Search]
+) -> None:
+    """Propose cuts for a batch, count around them once, and shrink every search they touch."""
+    proposed = _proposals(df, columns, batch)
+    ranges = _rank_ranges(df, columns, proposed)
+    for s in searches:
+        for v, less, less_or_equal in ranges.get(s.name, ()):
+            _cut(s, v, less, less_or_equal)
+
+
+def _proposals(
+    df: DataFrame, columns: Mapping[str, Column], batch: list[_Search]
+) -> dict[str, list]:
+    """Data values around the wanted ranks, ascending per column, from one sketch an interval."""
     slack = 2.0 / SKETCH_ACCURACY
     intervals: dict[tuple, list[_Search]] = {}
-    for s in searches:
+    for s in batch:
         intervals.setdefault(s.interval, []).append(s)
-
-    sketches, clusters = [], []
+    names, sketches = [], []
     for members in intervals.values():
-        members.sort(key=lambda s: s.rank)
-        probes: list[float] = []
-        held: list[list[_Search]] = []
+        shares: set[float] = set()
         for s in members:
-            if held and s.rank - held[-1][0].rank <= slack * s.inside:
-                held[-1].append(s)
-            else:
-                held.append([s])
-        for near in held:
-            first, last = near[0], near[-1]
-            probes.append(max(0.0, (first.rank - first.below) / first.inside - slack))
-            probes.append(min(1.0, (last.rank - last.below) / last.inside + slack))
+            at = (s.rank - s.below) / s.inside
+            shares |= {max(0.0, at - slack), min(1.0, at + slack)}
         c = columns[members[0].name]
-        sketches.append(
-            F.percentile_approx(F.when(members[0].holds(c), c), probes, SKETCH_ACCURACY)
-        )
-        clusters.append(held)
-    proposed = df.agg(*[k.alias(f"s{i}") for i, k in enumerate(sketches)]).first()
-
-    cuts: dict[tuple, int] = {}
-    for i, held in enumerate(clusters):
-        for j, near in enumerate(held):
-            for v in (proposed[i][2 * j], proposed[i][2 * j + 1]):
-                cuts.setdefault((near[0].name, v), len(cuts))
-    tallies = []
-    for (name, v), i in cuts.items():
-        c = columns[name]
-        tallies.append(F.count_if(c < F.lit(v)).alias(f"lt{i}"))
-        tallies.append(F.count_if(c <= F.lit(v)).alias(f"le{i}"))
-    seen = df.agg(*tallies).first()
-
-    for i, held in enumerate(clusters):
-        for j, near in enumerate(held):
-            for s in near:
-                for v in (proposed[i][2 * j], proposed[i][2 * j + 1]):
-                    at = cuts[s.name, v]
-                    _cut(s, v, seen[2 * at], seen[2 * at + 1])
+        names.append(members[0].name)
+        kept = F.when(members[0].holds(c), c)
+        sketches.append(F.percentile_approx(kept, sorted(shares), SKETCH_ACCURACY))
+    row = df.agg(*[k.alias(f"s{i}") for i, k in enumerate(sketches)]).first()
+    found: dict[str, set] = {}
+    for i, name in enumerate(names):
+        found.setdefault(name, set()).update(row[i])
+    return {name: _ascending(values) for name, values in found.items()}
+
+
+def _ascending(values: set) -> list:
+    """Sorted, with NaN, the greatest number to Spark, last and once."""
+    numbers = sorted(v for v in values if v == v)
+    return numbers + [v for v in values if v != v][:1]
+
+
+def _place(c: Column, cuts: Sequence, low: int, high: int) -> Column:
+    """Bucket of a value among ascending cuts by halving: 2i lies below cut i, 2i + 1 on it."""
+    if low == high:
+        return F.lit(2 * low)
+    mid = (low + high) // 2
+    cut = F.lit(cuts[mid])
+    on_or_above = F.when(c == cut, F.lit(2 * mid + 1)).otherwise(_place(c, cuts, mid + 1, high))
+    return F.when(c < cut, _place(c, cuts, low, mid)).otherwise(on_or_above)
+
+
+def _bucketed(
+    df: DataFrame, columns: Mapping[str, Column], cuts: Mapping[str, Sequence], with_value: bool
+) -> tuple[DataFrame, int]:
+    """(code[, v]) of every value that is not missing; code is column place times width plus bucket."""
+    width = 2 * max(len(c) for c in cuts.values()) + 1
+    values = df.select(*[columns[name].alias(f"c{i}") for i, name in enumerate(cuts)])
+    each = []
+    for i, at in enumerate(cuts.values()):
+        c = F.col(f"c{i}")
+        code = F.when(c.isNotNull(), F.lit(i * width) + _place(c, at, 0, len(at))).alias("code")
+        each.append(F.struct(code, c.alias("v")) if with_value else F.struct(code))
+    return values.select(F.inline(F.array(*each))).filter("code is not null"), width
+
+
+def _rank_ranges(
+    df: DataFrame, columns: Mapping[str, Column], cuts: Mapping[str, Sequence]
+) -> dict[str, list[tuple[Any, int, int]]]:
+    """Per column and cut the values below it and those up to it, from one count of buckets."""
+    coded, width = _bucketed(df, columns, cuts, with_value=False)
+    seen = {r["code"]: r["count"] for r in coded.groupBy("code").count().collect()}
+    ranges: dict[str, list[tuple[Any, int, int]]] = {}
+    for i, (name, at) in enumerate(cuts.items()):
+        below = 0
+        for j, v in enumerate(at):
+            below += seen.get(i * width + 2 * j, 0)
+            on = seen.get(i * width + 2 * j + 1, 0)
+            ranges.setdefault(name, []).append((v, below, below + on))
+            below += on
+    return ranges
 
 
 def _count_values(df: DataFrame, column: Column, s: _Search) -> None:
@@ -178,15 +217,44 @@ def _gather(df: DataFrame, columns: Mapping[str, Column], searches: list[_Search
 def _read_off(
     df: DataFrame, columns: Mapping[str, Column], batch: list[list[_Search]]
 ) -> None:
-    picks = []
-    for members in batch:
-        c = columns[members[0].name]
-        kept = F.sort_array(F.collect_list(F.when(members[0].holds(c), c)))
-        picks.append(F.array(*[F.get(kept, F.lit(s.rank - s.below)) for s in members]))
-    row = df.agg(*[p.alias(f"g{i}") for i, p in enumerate(picks)]).first()
-    for i, members in enumerate(batch):
-        for j, s in enumerate(members):
-            s.found, s.value = True, row[i][j]
+    """Gather open intervals and read the wanted values; columns of one type make one job.
+
+    Every cut has been tried on every search of its column, so two intervals of a column are the
+    same or lie apart, and each is one bucket between the ends of all.
+    """
+    kinds = df.select(*[columns[m[0].name].alias(f"c{i}") for i, m in enumerate(batch)]).schema
+    by_kind: dict[str, list[list[_Search]]] = {}
+    for members, field in zip(batch, kinds):
+        by_kind.setdefault(field.dataType.simpleString(), []).append(members)
+    for groups in by_kind.values():
+        ends: dict[str, set] = {}
+        for members in groups:
+            known = ends.setdefault(members[0].name, set())
+            known.update(v for v in (members[0].low, members[0].high) if v is not None)
+        cuts = {name: _ascending(values) for name, values in ends.items()}
+        coded, width = _bucketed(df, columns, cuts, with_value=True)
+        held: dict[int, list[_Search]] = {}
+        for members in groups:
+            s, at = members[0], cuts[members[0].name]
+            bucket = len(at) if s.high is None else _index(at, s.high)
+            held[list(cuts).index(s.name) * width + 2 * bucket] = members
+        wanted = F.create_map(
+            *[
+                x
+                for code, members in held.items()
+                for x in (F.lit(code), F.array(*[F.lit(s.rank - s.below) for s in members]))
+            ]
+        )
+        kept = coded.filter(F.col("code").isin(list(held))).groupBy("code")
+        ordered = kept.agg(F.sort_array(F.collect_list("v")).alias("kept"))
+        picks = F.transform(wanted[F.col("code")], lambda i: F.get("kept", i))
+        for row in ordered.select("code", picks.alias("picks")).collect():
+            for s, v in zip(held[row["code"]], row["picks"]):
+                s.found, s.value = True, v
+
+
+def _index(cuts: Sequence, v: Any) -> int:
+    return next(i for i, c in enumerate(cuts) if c == v or (c != c and v != v))
 
 
 def quantiles(
@@ -232,8 +300,9 @@ def _neighbours(n: int, p: float) -> tuple[int, int, float]:
 def smallest_rows(df: DataFrame, n: int, key: str | Column) -> DataFrame:
     """The ``n`` rows with the smallest key, missing keys first; all rows if there are fewer.
 
-    The n-th smallest key is searched and the rows are kept by a plain filter, whatever ``n``
-    and whatever the type of the key; rows that share that key are chosen by row hash.
+    The n-th smallest key is searched and the rows are kept by a plain filter, whatever ``n``;
+    rows that share that key are chosen by row hash. Numbers, dates and times are narrowed down
+    without an exchange, keys of other types are counted and ordered.
     """
     k = quoted(key) if isinstance(key, str) else key
     total, keyed = df.agg(F.count("*"), F.count(k)).first()
@@ -242,11 +311,28 @@ def smallest_rows(df: DataFrame, n: int, key: str | Column) -> DataFrame:
     missing = total - keyed
     if n <= missing:
         return _some_of(df.filter(k.isNull()), n)
-    cut = value_at_rank(df, k, n - missing - 1)
+    number = _as_number(df, k)
+    if number is None:
+        cut = value_at_rank(df, k, n - missing - 1)
+    else:
+        k, rank = number, n - missing - 1
+        cut = order_statistics(df, {"k": k}, {"k": [rank]}, {"k": keyed})["k", rank]
     under = df.filter(k.isNull() | (k < F.lit(cut)))
     return under.unionByName(_some_of(df.filter(k == F.lit(cut)), n - under.count()))
 
 
+def _as_number(df: DataFrame, key: Column) -> Column | None:
+    """Numbers in the order of the key; ``None`` where its type has none."""
+    kind = df.select(key.alias("k")).schema["k"].dataType
+    if isinstance(kind, T.NumericType):
+        return key
+    if isinstance(kind, T.DateType):
+        return F.unix_date(key)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(key)
+    return None
+
+
 def value_at_rank(df: DataFrame, column: Column, rank: int) -> Any:
     """The value at a 0-based rank of a column of any type that has an order.
 

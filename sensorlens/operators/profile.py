@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,9 +184,9 @@ def cardinality_count(
 
 
 def percentile_name(p: float) -> str:
-    """``p`` and the percentage without trailing zeros: p5, p99.9."""
-    percent = f"{100 * p:.1f}"
-    return "p" + percent.removesuffix(".0")
+    """``p`` and the percentage with all its digits, without trailing zeros: p5, p99.9, p99.95."""
+    percent = f"{100 * Decimal(repr(float(p))):f}"
+    return "p" + (percent.rstrip("0").rstrip(".") if "." in percent else percent)
 
 
 def percentile_analysis(

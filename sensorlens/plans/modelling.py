@@ -312,6 +312,35 @@ def a61_stump(spark, sf_dir):
     return model.feature_importance(fitted, ["n_lines"])
 
 
+_GAINS = " union all ".join(
+    f"""select '{c}' as feature, max(sl * sl / nl + (s - sl) * (s - sl) / (n - nl)) as gain from (
+ select sum(n) over (order by v) as nl, sum(s) over (order by v) as sl, sum(n) over () as n, sum(s) over () as s from (
+  select {c} as v, count(*)::double as n, sum(margin)::double as s from xy group by 1)) where nl < n"""
+    for c in ("n_lines", "qty_band")
+)
+
+
+# the column whose best cut lowers the variance most is the one that a single split uses
+@query("a61_importance_by_gain", f"""with xy as materialized (select n_lines, floor(qty / 16) as qty_band, margin from {XY_SQL} where not {TEST}),
+ gains as ({_GAINS})
+ select feature, (gain = (select max(gain) from gains))::integer::double as importance from gains""")
+def a61_by_gain(spark, sf_dir):
+    xy = joined_xy(spark, sf_dir).withColumn("qty_band", F.floor(F.col("qty") / 16).cast("double"))
+    train, _ = split.split_holdout(materialise(xy), None, split.BY_THRESHOLD)
+    columns = ["n_lines", "qty_band"]
+    pre = prep.fit_numeric_preprocessor(train, columns, prep.PreprocessConfig(scaling="none"))
+    tree = model.build_estimators({"decision_tree_regressor": STUMP}, model.REGRESSORS)
+    return model.feature_importance(model.fit_models(pre, tree, train, "margin")["decision_tree_regressor"], columns)
+
+
+@query("a64_importance_of_unused_column", f"select 'qty' as feature, 0.0::double as importance_mean, 0.0::double as importance_std from {XY_SQL} where {TEST} limit 1")
+def a64_unused(spark, sf_dir):
+    fitted, _ = _stump(spark, sf_dir, "decision_tree_classifier", model.CLASSIFIERS, "faulty", STUMP)
+    test = split.split_holdout(materialise(joined_xy(spark, sf_dir)), None, split.BY_THRESHOLD)[1]
+    found = explain.permutation_importance(fitted, test, "faulty", ["n_lines", "qty"], n_repeats=3)
+    return found.filter("feature = 'qty'").select("feature", "importance_mean", "importance_std")
+
+
 @query("b62_regression_stump", _VALUE_STUMP)
 def b62_stump(spark, sf_dir):
     scored = _stump(spark, sf_dir, "decision_tree_regressor", model.REGRESSORS, "margin", STUMP)[1]

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
 from sensorlens.functions.columns import select_numeric
-from sensorlens.functions.frames import checkpoint_folder
+from sensorlens.functions.frames import new_folder
 from sensorlens.operators.select import (
     cast_label,
     drop_after_join,
@@ -30,7 +29,7 @@ def a01(spark, sf_dir):
 @query("a01_scan_csv", f"select {', '.join(ORDER_COLUMNS)} from orders")
 def a01_csv(spark, sf_dir):
     """The orders as delimited text in the shared folder, scanned with a declared schema."""
-    path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
+    path = new_folder(spark, "csv")
     table(spark, sf_dir, "orders").select(*ORDER_COLUMNS).write.option("header", "true").csv(path)
     return read_csv(spark, path, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
 

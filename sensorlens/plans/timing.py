@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
-from sensorlens.functions.frames import checkpoint_folder
+from sensorlens.functions.frames import new_folder
 from sensorlens.operators import temporal
 from sensorlens.plans.catalog import query
 from sensorlens.plans.tables import table
@@ -78,7 +77,7 @@ def _arrivals(spark, sf_dir):
     low, high = events.agg(F.min(at), F.max(at)).first()
     own = F.floor((at - low) * 4 / F.lit(high - low + 1))
     behind = F.when(F.col("event_id") % 37 == 0, 2).when(F.col("event_id") % 10 == 0, 1).otherwise(0)
-    folder = f"{checkpoint_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "arrivals")
     for batch in range(4):
         arrived = events.filter(F.least(F.lit(3), own.cast("int") + behind) == batch)
         arrived.coalesce(1).write.mode("append").parquet(f"{folder}/in")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
-from sensorlens.functions.frames import checkpoint_folder, materialise
+from sensorlens.functions.frames import materialise, new_folder
 from sensorlens.operators import profile as P
 from sensorlens.operators.evaluate import top_k
 from sensorlens.operators.order_stats import smallest_rows
@@ -211,7 +210,7 @@ def a42(spark, sf_dir):
 def a62(spark, sf_dir):
     """The events arrive in six files, two to a batch, so totals of batches are merged."""
     events = table(spark, sf_dir, "events")
-    path = f"{checkpoint_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    path = new_folder(spark, "arrivals")
     events.repartition(6).write.parquet(path)
     stream = file_stream(spark, path, events.schema, files_per_batch=2)
     profile = profile_available_files(stream, ["event_id", "user_id", "value"]).drop("missing_ratio")

@@ -10,7 +10,6 @@ because what it would drop is in ``late`` already.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlens.functions.columns import quoted, require_columns
-from sensorlens.functions.frames import checkpoint_folder
+from sensorlens.functions.frames import new_folder
 
 SIDES = ("rows", "late", "untimed")
 MARK = "batch long, latest timestamp, n_rows long, n_late long, n_untimed long"
@@ -64,7 +63,7 @@ def split_late(
     require_columns(stream, [time])
     spark = stream.sparkSession
     if checkpoint is None:
-        checkpoint = f"{checkpoint_folder(spark)}/late-{uuid.uuid4().hex}"
+        checkpoint = new_folder(spark, "late")
     ends = F.window(quoted(time), width)["end"] if width else quoted(time).cast("timestamp") + F.expr(f"interval {gap}")
 
     def deal(batch: DataFrame, batch_id: int) -> None:
@@ -124,7 +123,7 @@ def start_windows(
     later run go on with them.
     """
     if checkpoint is None:
-        checkpoint = f"{checkpoint_folder(spark)}/windows-{uuid.uuid4().hex}"
+        checkpoint = new_folder(spark, "windows")
     arrived = spark.readStream.schema(schema).parquet(f"{folder}/rows/*")
     grouped = arrived.withWatermark(time, delay).groupBy(window.alias("_w"), *[quoted(c) for c in by])
     closed = grouped.agg(*[c.alias(n) for n, c in aggregates.items()]).select(

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlens.functions.columns import missing_to_null
-from sensorlens.functions.frames import checkpoint_folder
+from sensorlens.functions.frames import new_folder
 from sensorlens.operators.profile import column_stats
 
 
@@ -46,7 +46,7 @@ def start_profile(
     files; by default the run starts afresh in the session's checkpoint folder.
     """
     if checkpoint is None:
-        checkpoint = f"{checkpoint_folder(stream.sparkSession)}/profile-{uuid.uuid4().hex}"
+        checkpoint = new_folder(stream.sparkSession, "profile")
     return (
         column_stats(stream, cols)
         .writeStream.outputMode("complete")

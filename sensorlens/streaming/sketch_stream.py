@@ -11,7 +11,6 @@ batch that is run again after a failure replaces its own row.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlens.functions.columns import numeric_cols, quoted, require_columns
-from sensorlens.functions.frames import checkpoint_folder, long_report
+from sensorlens.functions.frames import long_report, new_folder
 
 RANK_K = 800
 DISTINCT_LG_K = 14
@@ -55,7 +54,7 @@ def start_sketches(
 ) -> StreamingQuery:
     """Sketch all files present, batch by batch, into ``folder``; a fixed ``checkpoint`` lets a later run go on."""
     if checkpoint is None:
-        checkpoint = f"{checkpoint_folder(stream.sparkSession)}/sketches-{uuid.uuid4().hex}"
+        checkpoint = new_folder(stream.sparkSession, "sketches")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         sketch_batch(batch, cols, k, lg_k).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")

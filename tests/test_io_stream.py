@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -82,3 +86,19 @@ def test_stream_equals_batch_and_continues(spark, sf_dir, tmp_path):
         assert (got["n"], got["missing"]) == (batch["n"], batch["missing"])
         for name in ("min", "max", "mean", "std"):
             assert got[name] == pytest.approx(batch[name], rel=1e-12)
+
+
+def test_written_tables_go_after_the_session_has_stopped(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).parents[1])!r})
+from pyspark.sql import SparkSession
+from sensorlens.functions.frames import materialise, new_folder
+spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config(
+    'spark.checkpoint.dir', {str(tmp_path)!r}).getOrCreate()
+assert materialise(spark.range(3)).count() == 3
+spark.range(2).write.parquet(new_folder(spark, 'arrivals'))
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+    assert [p for p in tmp_path.rglob("*") if p.name.startswith(("table-", "arrivals-"))] == []

@@ -143,3 +143,20 @@ def test_integration(frame):
         integrate.dataset_merging(ha, hb, ["id"], "cross")
     assert integrate.pk_fk_mapping(ha, hb.withColumnRenamed("id", "key"), {"id": "key"}).count() == 1
     assert integrate.data_enrichment(ha, hb.withColumnRenamed("v", "extra"), "id", ["extra"]).count() == 2
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right"])
+@pytest.mark.parametrize("many", ["left", "right", "both"])
+def test_merging_spreads_hot_keys(spark, how, many):
+    def side(name, hot, kind):
+        rows = [("hot", 1, i) for i in range(hot)] + [(f"k{i}", i % 3, i) for i in range(40)] + [(None, 1, -1), (name, 2, -2)]
+        return spark.createDataFrame(rows, f"k string, g {kind}, {name} long")
+
+    left = side("a", 200 if many != "right" else 3, "int")
+    right = side("b", 200 if many != "left" else 3, "long")
+    got = integrate.dataset_merging(left, right, ["k", "g"], how, hot_share=0.2, salts=8)
+    want = integrate.dataset_merging(left, right, ["k", "g"], how, hot_share=None)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_salt" not in want._jdf.queryExecution().optimizedPlan().toString()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlens.operators.order_stats import order_statistics, quantiles, smallest_rows
-from sensorlens.operators import ranks
+from sensorlens.operators import order_stats, ranks
 from sensorlens.operators.keys import salted_rows
 from sensorlens.operators.ranks import attach_by_key, average_ranks, running_totals
 
@@ -136,3 +136,44 @@ def test_missing_and_new_hot_keys_are_spread(spark):
     salted = salted_rows(df, F.col("k").isNull() | (F.col("k") == "unknown"), 16)
     counts = [r["count"] for r in salted.groupBy("k", "_salt").count().collect()]
     assert len(counts) == 32 and max(counts) < 200
+
+
+def test_number_keys_need_no_exchange_of_keys(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("keys went through an exchange")
+
+    monkeypatch.setattr(order_stats, "value_at_rank", refuse)
+    df = spark.range(40_000).select(
+        F.col("id").alias("n"),
+        (F.col("id") / 7).alias("x"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int")).alias("d"),
+        F.timestamp_micros(F.col("id") * 1_234_567 + F.lit(10**15)).alias("t"),
+        (F.col("id") / 3).cast("decimal(18,4)").alias("m"),
+        F.when(F.col("id") % 4 > 0, F.when(F.col("id") % 5 == 0, float("nan")).otherwise(F.col("id"))).alias("f"),
+    )
+    for key in ("n", "x", "d", "t", "m", "f"):
+        got = smallest_rows(df, 15_000, key)
+        assert got.count() == 15_000, key
+        cut = df.orderBy(F.col(key).asc_nulls_first()).limit(15_000).agg(F.max(key)).first()[0]
+        assert got.agg(F.max(key)).first()[0] == cut, key
+
+
+def test_many_columns_and_types_in_one_search(spark):
+    df = spark.range(30_000).select(
+        (F.xxhash64("id") % 1_000).alias("a"), (F.xxhash64("id", F.lit(1)) / 2**40).alias("b"),
+        F.when(F.col("id") % 3 == 0, F.col("id").cast("int")).alias("c"),
+    )
+    ranks = {"a": [0, 100, 15_000, 29_999], "b": [7, 29_000], "c": [0, 5_000, 9_999]}
+    got = order_statistics(df, {c: F.col(c) for c in ranks}, ranks, bound=50)
+    for c, wanted in ranks.items():
+        values = sorted(r[0] for r in df.select(c).dropna().collect())
+        assert [got[c, r] for r in wanted] == [values[r] for r in wanted], c
+
+
+def test_salts_do_not_follow_the_order_of_rows(spark):
+    df = spark.range(2_000).select((F.col("id") % 2).alias("k"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    salts = [
+        {r.id: r._salt for r in salted_rows(d, F.lit(True), 16).collect()}
+        for d in (df.coalesce(1), df.coalesce(1).sortWithinPartitions(F.desc("id")))
+    ]
+    assert salts[0] == salts[1] and len(set(salts[0].values())) == 16

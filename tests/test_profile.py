@@ -168,3 +168,8 @@ def test_scatter_sample_is_repeatable(spark):
 def test_split_sizes(spark):
     rows = P.split_sizes({"train": spark.range(7), "test": spark.range(1)}).orderBy("ordinal").collect()
     assert [(r.split, r.n_rows, r.percentage) for r in rows] == [("train", 7, 87.5), ("test", 1, 12.5)]
+
+
+def test_percentile_names_hold_all_digits():
+    names = [P.percentile_name(p) for p in (0.05, 0.5, 0.999, 0.9995, 0.0005, 0.001, 0.07, 1.0, 0)]
+    assert names == ["p5", "p50", "p99.9", "p99.95", "p0.05", "p0.1", "p7", "p100", "p0"]
