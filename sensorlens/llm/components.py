@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from sensorlens.llm.tables import written
 
-MOST_ROUNDS = 60
-
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hang the neighbours of each node on its smallest neighbour; each edge has a > b."""
@@ -31,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); root is the component's smallest node.
 
     Links in either direction, repeated or from a node to itself do no harm; links with a null
-    end are left out. Each round is written down, so a lost executor costs one round at most.
+    end are left out. Rounds go on until nothing changes; each is written down, so a
+    lost executor costs one round at most.
     """
     edges = written(
         links.dropna(subset=["a", "b"])
@@ -41,14 +40,12 @@ def components(links: DataFrame) -> DataFrame:
         "links",
     )
     state = None
-    for _ in range(MOST_ROUNDS):
+    while True:
         total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         now = edges.agg(F.count("*"), total).first()
         if now == state or now[0] == 0:
             break
         state = now
         edges = written(_star(_star(edges, True), False), "links")
-    else:
-        raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

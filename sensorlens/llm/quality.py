@@ -8,17 +8,18 @@ brought to a common length, and a hinge loss is minimised by dual coordinate des
 the labelled rows is kept out of that to turn margins into probabilities.
 
 The fit uses a bounded sample of labelled rows: at most ``MOST_LABELLED``, chosen by hashing the
-document id, so that it does not depend on the order of rows. Scoring covers every whole text.
+document id, so that it does not depend on the order of rows. Their features reach the driver as
+slots or, where that is shorter, as a bitmap of all slots: 32 KB a row at most, 400 MB in all,
+however long the texts are. Scoring covers every whole text.
 
-Nulls and repeats: a null or empty text has no feature and gets the probability of a margin of
-zero; a null label or id is no label; a document labelled more than once counts once, with the
+Nulls and repeats: a null or empty text has only the feature that all texts have; a null label or id is no label; a document labelled more than once counts once, with the
 mean label, 1 from a half on. Without both classes among the labels the score is the share of
 label 1 (a half without labels). Repeated rows are scored each; an empty table gives none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlens.llm.common import SubstringHash, arrow_map, blobs, chunks, column, joined_bytes, words_of
+from sensorlens.llm.common import SubstringHash, arrow_map, chunks, column, joined_bytes, words_of
 
 SLOT_BITS = 18
 GRAMS = (2, 3)  # lengths of n-grams in bytes
 SHAPES = (1, 2, 3)  # lengths of n-grams of word shapes
 MOST_LABELLED = 12_000
 ROUNDS = 12
+BITMAP_BYTES = (1 << SLOT_BITS) // 8
 COST = 1.0
 
 
@@ -79,6 +81,34 @@ def features(texts: pa.Array) -> Iterator[np.ndarray]:
         yield held
 
 
+def packed(held: np.ndarray) -> bytes:
+    """Slots as numbers of four bytes, or as a bitmap where that is no longer."""
+    if 4 * len(held) < BITMAP_BYTES:
+        return held.astype("<i4").tobytes()
+    bits = np.zeros(1 << SLOT_BITS, bool)
+    bits[held] = True
+    return np.packbits(bits).tobytes()
+
+
+class PackedRows(Sequence):
+    """Rows of slots that stay packed until they are used."""
+
+    def __init__(self, raw: Sequence[bytes]):
+        self.raw = raw
+
+    def __len__(self) -> int:
+        return len(self.raw)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        raw = self.raw[i]
+        if len(raw) < BITMAP_BYTES:
+            return np.frombuffer(raw, "<i4")
+        return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8)))
+
+    def some(self, chosen: np.ndarray) -> PackedRows:
+        return PackedRows([raw for raw, c in zip(self.raw, chosen) if c])
+
+
 @dataclass
 class QualityModel:
     weights: np.ndarray
@@ -92,7 +122,7 @@ class QualityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margins + self.shift, -500, 500)))
 
 
-def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+def log_count_ratios(rows: Sequence[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Log ratio of the smoothed shares of each slot in the classes 1 and 0."""
     counts = np.ones((2, 1 << SLOT_BITS))
     for held, y in zip(rows, labels):
@@ -102,12 +132,15 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 
 
 def dual_coordinate_descent(
-    rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray, cost: float, rounds: int
+    rows: Sequence[np.ndarray], signs: np.ndarray, scale: np.ndarray, cost: float, rounds: int
 ) -> np.ndarray:
     """Weights of the hinge loss with an L2 penalty; row i holds scale[rows[i]] / sqrt(len)."""
     weights = np.zeros(len(scale))
-    values = [scale[r] / np.sqrt(max(1, len(r))) for r in rows]
-    norms = np.array([float(v @ v) for v in values])
+
+    def values(held: np.ndarray) -> np.ndarray:
+        return scale[held] / np.sqrt(max(1, len(held)))
+
+    norms = np.array([float(v @ v) for v in map(values, rows)])
     alphas = np.zeros(len(rows))
     order = np.random.default_rng(7)
     for _ in range(rounds):
@@ -115,10 +148,12 @@ def dual_coordinate_descent(
         for i in order.permutation(len(rows)):
             if norms[i] == 0:
                 continue
-            slack = signs[i] * float(weights[rows[i]] @ values[i]) - 1.0
+            held = rows[i]
+            value = values(held)
+            slack = signs[i] * float(weights[held] @ value) - 1.0
             new = min(max(alphas[i] - slack / norms[i], 0.0), cost)
             if new != alphas[i]:
-                weights[rows[i]] += (new - alphas[i]) * signs[i] * values[i]
+                weights[held] += (new - alphas[i]) * signs[i] * value
                 largest = max(largest, abs(new - alphas[i]))
                 alphas[i] = new
         if largest < 1e-3 * cost:
@@ -143,18 +178,18 @@ def _logistic_line(margins: np.ndarray, labels: np.ndarray) -> tuple[float, floa
     return float(line[0]), float(line[1])
 
 
-def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> QualityModel:
+def fit_rows(rows: PackedRows, labels: np.ndarray) -> QualityModel:
     """Fit on the features and labels of the sample; every fourth row sets the probabilities."""
     labels = labels.astype(int)
     aside = np.arange(len(rows)) % 4 == 3
-    train = [r for r, a in zip(rows, aside) if not a]
+    train = rows.some(~aside)
     if len(set(labels[~aside])) < 2 or len(set(labels[aside])) < 2:
         share = (labels.sum() + 1) / (len(labels) + 2)
         return QualityModel(np.zeros(1 << SLOT_BITS), 0.0, float(np.log(share / (1 - share))))
     ratios = log_count_ratios(train, labels[~aside])
     weights = dual_coordinate_descent(train, 2 * labels[~aside] - 1, ratios, COST, ROUNDS)
     model = QualityModel(weights, 1.0, 0.0)
-    margins = np.array([model.margin(r) for r, a in zip(rows, aside) if a])
+    margins = np.array([model.margin(r) for r in rows.some(aside)])
     model.slope, model.shift = _logistic_line(margins, labels[aside])
     return model
 
@@ -178,8 +213,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
-            rows = [h.astype(np.int32) for h in features(column(part, "text"))]
-            slots = blobs(np.concatenate(rows), np.array([len(r) for r in rows]))
+            slots = pa.array([packed(h) for h in features(column(part, "text"))], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id"), column(part, "label"), slots], names=["doc_id", "label", "slots"]
             )
@@ -192,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Qualit
     sample = sorted(labelled_sample(docs, labels, most).collect(), key=lambda r: r["doc_id"])
     rng = np.random.default_rng(11)
     order = rng.permutation(len(sample))
-    rows = [np.frombuffer(sample[i]["slots"], np.int32) for i in order]
+    rows = PackedRows([bytes(sample[i]["slots"]) for i in order])
     return fit_rows(rows, np.array([sample[i]["label"] for i in order], int))
 
 

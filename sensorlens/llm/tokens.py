@@ -55,7 +55,8 @@ def write_tokens(
 
     Texts, not ids, go through the exchange, so that sampling its ranges encodes nothing.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id")
+    # rows that share an id, or have none, are spread by their texts
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"))
     ordered = ordered.sortWithinPartitions("doc_id")
     (
         encoded(ordered, tokenizer, end_id)

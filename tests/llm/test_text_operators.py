@@ -80,7 +80,15 @@ def test_trigram_queries_hold_in_every_match():
 # --- lines
 
 
-def plain_lines(rows, edits=2):
+def plain_near(body, others, percent):
+    for other in others:
+        most = max(2, min(len(body), len(other)) * percent // 100)
+        if abs(len(body) - len(other)) <= most and lines._plain_distance(body, other) <= most:
+            return True
+    return False
+
+
+def plain_lines(rows, edits=2, percent=0):
     """(doc_id, kept text, lines, equal, near) by comparing every line with all earlier ones."""
     white = " \t\n\r\x0b\x0c"
     spread = defaultdict(list)
@@ -105,7 +113,11 @@ def plain_lines(rows, edits=2):
                 continue
             long = len(body) >= lines.SHORTEST
             others = [b for b in first if long and len(b) >= lines.SHORTEST]
-            if lines.within_edits([body] * len(others), others, edits).any():
+            if percent:
+                is_near = plain_near(body, others, percent)
+            else:
+                is_near = lines.within_edits([body] * len(others), others, edits).any()
+            if is_near:
                 near += 1
             else:
                 kept.append(line)
@@ -115,14 +127,29 @@ def plain_lines(rows, edits=2):
     return out
 
 
-def test_lines_as_plain_comparison(odd_docs, clashing, no_docs):
+@pytest.mark.parametrize("percent", [0, 5])
+def test_lines_as_plain_comparison(odd_docs, clashing, no_docs, percent):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.filter("doc_id is not null").collect()]
     source = odd_docs.filter("doc_id is not null")
-    got = lines.dedup_lines(source).select("doc_id", "text", "n_lines", "n_equal", "n_near")
-    assert rows_of(got) == sorted(plain_lines(rows), key=repr)
-    assert set(lines.dedup_lines(clashing).columns) == set(clashing.columns) | {"n_equal", "n_near"}
-    assert lines.dedup_lines(no_docs).count() == 0
-    assert lines.dedup_lines(odd_docs).count() == odd_docs.count()
+    got = lines.dedup_lines(source, percent=percent).select("doc_id", "text", "n_lines", "n_equal", "n_near")
+    assert rows_of(got) == sorted(plain_lines(rows, percent=percent), key=repr)
+    odd = lines.dedup_lines(clashing, percent=percent)
+    assert set(odd.columns) == set(clashing.columns) | {"n_equal", "n_near"} and odd.count() == clashing.count()
+    assert lines.dedup_lines(no_docs, percent=percent).count() == 0
+    assert lines.dedup_lines(odd_docs, percent=percent).count() == odd_docs.count()
+
+
+def test_very_long_lines_are_compared_whole(spark):
+    rng = random.Random(8)
+    line = bytearray(rng.choices(b"abcdefgh ijkl", k=60_000))
+    near, far = bytearray(line), bytearray(line)
+    for copy, changes in ((near, 900), (far, 9_000)):
+        for at in rng.sample(range(len(line)), changes):
+            copy[at] = ord("Z")
+    texts = [t.decode().strip() for t in (line, near, far)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_near"] for r in lines.dedup_lines(docs, percent=5).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}
 
 
 def test_edit_distance():
@@ -214,6 +241,20 @@ def test_distance_within_a_bound_of_any_size():
             assert lines._distance_within(bytes(x), bytes(y), most) == (most >= far)
 
 
+def test_banded_distance_of_long_texts():
+    rng = random.Random(6)
+    for _ in range(60):
+        x = bytearray(rng.choices(b"ab", k=rng.randint(200, 400)))
+        y = bytearray(x)
+        for _ in range(rng.randint(0, 25)):
+            at = rng.randint(0, len(y))
+            y[at : at + rng.randint(0, 2)] = rng.choices(b"abc", k=rng.randint(0, 2))
+        far = lines._plain_distance(bytes(x), bytes(y))
+        for most in {max(1, far - 1), max(1, far), far + 1, far + 9}:
+            assert lines._distance_within(bytes(x), bytes(y), most) == (most >= far)
+            assert lines._distance_within(bytes(y), bytes(x), most) == (most >= far)
+
+
 # --- sets of shingles
 
 
@@ -404,6 +445,16 @@ def test_quality_of_odd_documents(spark, odd_docs, clashing, no_docs):
     assert {r["score"] for r in quality.score(odd_docs, alone).collect()} == {0.5}
 
 
+def test_packed_rows_are_bounded_and_whole():
+    rng = np.random.default_rng(2)
+    held = [np.sort(rng.choice(1 << quality.SLOT_BITS, n, replace=False)) for n in (0, 1, 8191, 8192, 200_000)]
+    raw = [quality.packed(h) for h in held]
+    assert max(map(len, raw)) == quality.BITMAP_BYTES == 32_768
+    rows = quality.PackedRows(raw)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(rows, held))
+    assert [len(r) for r in rows.some(np.array([0, 1, 0, 0, 1], bool))] == [1, 200_000]
+
+
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(0)
     rows = [np.sort(rng.choice(40, 8, replace=False)) for _ in range(200)]
