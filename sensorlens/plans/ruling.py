@@ -27,8 +27,8 @@ def _rules(spark, sf_dir):
 @query("b05_rule_matches", f"""select rule, count(*) as n, count(distinct event_id) as n_events, max(value) as high_value
  from events join {_RULES_SQL} r on r.event_type = events.event_type and value >= coalesce(low, -1e300) and value <= coalesce(high, 1e300) group by 1""")
 def b05_matches(spark, sf_dir):
-    met = range_join.range_join(table(spark, sf_dir, "events"), _rules(spark, sf_dir), "value", "low", "high", ["event_type"])
-    return met.groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_events"), F.max("value").alias("high_value"))
+    found = range_join.rule_counts(table(spark, sf_dir, "events"), _rules(spark, sf_dir), "value", "rule", "low", "high", ["event_type"], "event_id")
+    return found.select("rule", "n", F.col("n_distinct").alias("n_events"), F.col("highest").alias("high_value"))
 
 
 @query("b05_rule_violations", f"""select rule, r.event_type, count(value) as n, count(value) - count(*) filter (value between coalesce(low, -1e300) and coalesce(high, 1e300)) as outside,

@@ -59,6 +59,41 @@ def test_violations_per_group(spark, frame):
     assert got == {"x": (2, 1, 0.5), "y": (1, 1, 1.0), "z": (0, 0, None)}
 
 
+def test_counts_per_rule_as_brute_force_without_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    values = [(int(i) if i < 90 else None, "ab"[k], float(v)) for i, k, v in zip(rng.integers(0, 100, 400), rng.integers(0, 2, 400), np.round(rng.normal(0, 50, 400)))]
+    values += [(1, "a", None), (2, "a", math.nan), (3, None, 1.0), (4, "a", -0.0), (5, "b", math.inf), (6, "b", 1e300)]
+    rules = [(r, "ab"[r % 2], None if r % 7 == 0 else float(low), None if r % 11 == 0 else float(low + w))
+             for r, (low, w) in enumerate(zip(np.round(rng.normal(0, 50, 80)), np.round(rng.exponential(40, 80))))]
+    rules += [(500, "a", 5.0, 1.0), (501, "a", math.nan, 1.0), (502, None, 0.0, 1.0), (503, "b", -math.inf, math.inf), (504, "a", 0.0, 0.0), rules[3], rules[4]]
+    several = [*rules, (8, "a", -20.0, 30.0), (8, "a", 10.0, 60.0), (None, "b", 0.0, 9.0), (None, "b", 5.0, 20.0)]
+    v = spark.createDataFrame(values, "id long, g string, v double").repartition(3)
+    schema = "rule long, g string, low double, high double"
+
+    def want(stated):
+        met = {}
+        for i, g, x in values:
+            for r, h, lo, hi in stated:
+                nan = r == 501 or x is not None and math.isnan(x)
+                if g is not None and g == h and x is not None and not nan and (lo is None or lo <= x) and (hi is None or x <= hi):
+                    met.setdefault(r, []).append((i, x))
+        return {r: (len(m), len({i for i, _ in m if i is not None}), max(x for _, x in m)) for r, m in met.items()}
+
+    def got(stated, rows=v):
+        found = range_join.rule_counts(rows, spark.createDataFrame(stated, schema), "v", "rule", "low", "high", ["g"], "id")
+        return {r["rule"]: (r["n"], r["n_distinct"], r["highest"]) for r in found.collect()}
+
+    assert got(several) == want(several)
+    monkeypatch.setattr(range_join, "range_join", None)  # one interval a rule: nothing is paired
+    assert got(rules) == want(rules)
+    assert got(rules, v.limit(0)) == {} and got([]) == {}
+    stated = spark.createDataFrame(rules, schema)
+    found = {r["rule"]: r for r in range_join.rule_violations(v, stated, "v", "rule", "low", "high", ["g"]).collect()}
+    assert {r: f["n"] - f["outside"] for r, f in found.items() if f["n"] > f["outside"]} == {r: n for r, (n, _, _) in want(rules).items()}
+    usable = sum(1 for _, g, x in values if g == "b" and not math.isnan(x))
+    assert found[3]["n"] == 2 * usable and found[502]["n"] == 0 and found[500]["outside"] == found[500]["n"] > 0
+
+
 def test_groupings_tell_missing_from_left_out(frame):
     df = frame("k string, v double", ("a", 0.0), ("a", 2.0), (None, 1.0), ("a", 9.0))
     got = profile.grouped_counts(df, "v", ["k"], [0.0, 1.0, 2.0], [["k", "bin"], ["k"], []])
