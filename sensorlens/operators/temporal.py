@@ -2,21 +2,21 @@
 
 Neither gives a key to one task. The as-of join deals both sides into ranges of (key, time); what a range
 needs from earlier ranges is the last row of its first key, a table of one row per range. Rolling
-windows cut time into blocks; a block carries the end of the block before as a halo.
+windows cut time into blocks of one width and put each window together from running aggregates of two blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DayTimeIntervalType, DecimalType, YearMonthIntervalType
 
 from sensorlens.functions.columns import quoted, require_columns
 from sensorlens.functions.frames import materialise
 
-BLOCK_WIDTHS = 8  # a block of time is so many windows long, so an eighth of the rows is carried twice
 ROLLING: Mapping[str, object] = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count}
 
 
@@ -91,8 +91,9 @@ def rolling(
 
     ``features`` maps a new column to (aggregate, column); aggregates are sum, mean, min, max and count. ``closed`` is
     ``both`` (a row exactly ``width`` ago counts) or ``right`` (it does not). Rows at the same time see each other.
-    Rows without a time have nulls; rows without a key are a key of their own. A key's rows are spread over blocks of time: one
-    task holds the rows of one key within eight widths.
+    Rows without a time have nulls; rows without a key are a key of their own. Time is cut into blocks of one width, so a window is
+    the end of one block and the start of the next: both are running aggregates, whose cost follows the rows and not the
+    rows a window holds. One task holds the rows of one key within a width, and those of the next as marks of where their windows begin.
     """
     keys = [key] if isinstance(key, str) else list(key)
     require_columns(df, [*keys, time, *[c for _, c in features.values()]])
@@ -102,20 +103,58 @@ def rolling(
     span = int(df.sparkSession.sql(f"select cast(unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {width}) as long)").first()[0])
     if span <= 0:
         raise ValueError(f"width must be positive, got {width}")
-    block = BLOCK_WIDTHS * span
+    if not features:
+        return df
     at = F.unix_micros(quoted(time).cast("timestamp"))
-    placed = df.withColumn("_at", at).withColumn("_block", F.expr(f"(_at - pmod(_at, {block})) div {block}"))
-    needed = F.col("_at") >= (F.col("_block") + 1) * F.lit(block) - F.lit(span)
-    blocks = F.when(needed, F.array("_block", F.col("_block") + 1)).otherwise(F.array("_block"))
-    copies = placed.filter("_at is not null").select("*", F.explode(blocks).alias("_in"))
-    order = W.partitionBy(*[quoted(k) for k in keys], "_in").orderBy("_at").rangeBetween(-span if closed == "both" else 1 - span, 0)
-    made = {name: ROLLING[a](quoted(c)).over(order) for name, (a, c) in features.items()}
-    result = copies.withColumns(made).filter("_in = _block").drop("_at", "_block", "_in")
-    types = dict(result.dtypes)
-    untimed = df.filter(quoted(time).isNull()).withColumns({n: F.lit(None).cast(types[n]) for n in made})
+    whole = df.select(*[ROLLING[a](quoted(c)).alias(name) for name, (a, c) in features.items()])
+    types = {name: whole.schema[name].dataType for name in features}
+    summed, rolled = _parts_of_windows(df, features, types)
+    own = F.struct(*[quoted(c) for c in df.columns]).alias("_row")
+    parts = [c.alias(f"_p{i}") for i, (_, c) in enumerate(summed)]
+    timed = df.select(own, *[quoted(k) for k in keys], at.alias("_at"), *parts).filter("_at is not null")
+    placed = timed.withColumn("_in", F.expr(f"(_at - pmod(_at, {span})) div {span}"))
+    names = [f"_p{i}" for i in range(len(summed))]
+    # a mark lies where the window of its row begins, a block earlier, among the rows of that block
+    rows = placed.drop("_row").withColumns({"_side": F.lit(0), "_row": F.lit(None).cast(placed.schema["_row"].dataType)})
+    marks = placed.withColumns({"_side": F.lit(1 if closed == "both" else -1), "_at": F.col("_at") - span, "_in": F.col("_in") - 1})
+    group = [*[quoted(k) for k in keys], F.col("_in")]
+    back = W.partitionBy(*group).orderBy(F.desc("_at"), "_side").rowsBetween(W.unboundedPreceding, 0)
+    ends = rows.unionByName(marks).withColumns(
+        {f"_e{i}": agg(F.when(F.col("_side") == 0, F.col(n))).over(back) for i, ((agg, _), n) in enumerate(zip(summed, names))}
+    )
+    begun = ends.filter("_side <> 0").withColumns({"_at": F.col("_at") + span, "_in": F.col("_in") + 1})
+    on = W.partitionBy(*group).orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
+    both = begun.withColumns({f"_s{i}": agg(F.col(n)).over(on) for i, ((agg, _), n) in enumerate(zip(summed, names))})
+    result = both.select("_row.*", *[made.cast(types[name]).alias(name) for name, made in rolled.items()])
+    untimed = df.filter(at.isNull()).withColumns({n: F.lit(None).cast(types[n]) for n in rolled})
     return result.unionByName(untimed)
 
 
+def _parts_of_windows(df: DataFrame, features: Mapping[str, tuple[str, str]], types: Mapping[str, DataType]):
+    """Running aggregates of columns, and every feature from the end ``_e`` and the start ``_s`` of each."""
+    summed, rolled = [], {}
+
+    def part(agg, column) -> int:
+        summed.append((agg, column))
+        return len(summed) - 1
+
+    def added(i: int) -> Column:
+        end, start = F.col(f"_e{i}"), F.col(f"_s{i}")
+        return F.when(end.isNull(), start).when(start.isNull(), end).otherwise(end + start)
+
+    for name, (aggregate, column) in features.items():
+        value = quoted(column)
+        if aggregate in ("min", "max"):
+            i = part(ROLLING[aggregate], value)
+            rolled[name] = (F.least if aggregate == "min" else F.greatest)(F.col(f"_e{i}"), F.col(f"_s{i}"))
+        elif aggregate == "mean":
+            exact = isinstance(types[name], (DecimalType, DayTimeIntervalType, YearMonthIntervalType))
+            rolled[name] = added(part(F.sum, value if exact else value.cast("double"))) / F.nullif(added(part(F.count, value)), F.lit(0))
+        else:
+            rolled[name] = added(part(ROLLING[aggregate], value))
+    return summed, rolled
+
+
 def changes(df: DataFrame, key: str, time: str, columns: Sequence[str], prefix: str = "previous_") -> DataFrame:
     """Add the columns of the last strictly earlier row of the key: a shift by one that no hot key stops."""
     return as_of_join(df, df, key, time, columns=list(columns), allow_equal=False, prefix=prefix)

@@ -81,6 +81,19 @@ def test_rolling_splits_a_hot_key_over_blocks(spark):
             temporal.rolling(df, "k", "t", "10 minutes", bad)
 
 
+def test_rolling_costs_no_more_where_windows_hold_more(spark):
+    # a sliding frame adds up a window anew for every row; running frames begin without a bound
+    df = spark.createDataFrame([(i, "hot", START + timedelta(seconds=i // 3), float(i % 7)) for i in range(900)], SCHEMA)
+    made = {"n": ("count", "v"), "d": ("sum", "w"), "m": ("mean", "w"), "low": ("min", "v")}
+    rolled = temporal.rolling(df.withColumn("w", F.col("v").cast("decimal(10,2)")), "k", "t", "2 minutes", made, "right")
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe" in plan and plan.count("specifiedwindowframe") == plan.count("unboundedpreceding$()")
+    assert dict(rolled.dtypes)["d"] == "decimal(20,2)" and dict(rolled.dtypes)["m"] == "decimal(14,6)"
+    row = rolled.filter("id = 899").first()
+    held = [i % 7 for i in range(540, 900)]
+    assert (row["n"], float(row["d"]), row["low"]) == (360, sum(held), 0.0) and abs(float(row["m"]) - sum(held) / 360) < 1e-6
+
+
 def batches(spark, folder, parts):
     for rows in parts:
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
