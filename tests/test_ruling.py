@@ -145,6 +145,19 @@ def test_fourier_features_approximate_the_kernel(spark):
     assert np.abs(made @ made.T - exact).max() < 0.12 and np.abs(made @ made.T - exact).mean() < 0.02
 
 
+def test_kernel_features_are_made_in_batches(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(Vectors.dense(v),) for v in rng.normal(size=(50, 3))], ["features"])
+    stage = kernel.FourierFeatures(3, 0.5, 20)
+    made = stage.transform(df)
+    assert "ArrowEvalPython" in made._jdf.queryExecution().executedPlan().toString()  # no interpreted function per row and draw
+    turns, offsets = stage.weights()
+    for r in made.collect():
+        want = np.cos(turns @ r["features"].toArray() + offsets) * np.sqrt(2 / 20)
+        assert np.abs(r["_fourier"].toArray() - want).max() < 1e-12
+    assert stage.transform(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("kind", ["norm", "t", "gamma"])
 def test_families_are_recovered(spark, kind):
     rng = np.random.default_rng(5)
