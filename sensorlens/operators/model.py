@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
@@ -25,9 +26,11 @@ from pyspark.ml.regression import (
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from sensorlens.functions.columns import quoted
 from sensorlens.functions.frames import materialise, report_frame
+from sensorlens.operators import cells
 from sensorlens.operators.bayes import GaussianBayes
 from sensorlens.operators.evaluate import (
     confusion_counts,
@@ -49,6 +52,7 @@ from sensorlens.operators.split import fold_column
 PENALTY_PER_TABLE = ("ridge_regression", "svm_classifier")
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows; stands for "no limit"
 LABEL = "label"
+FITS_AT_ONCE = 4  # trees on the same cells that are fitted side by side
 
 
 def _known(kind: str, params: dict) -> None:
@@ -223,21 +227,32 @@ def fit_models(
     """Fit every estimator; each result scores raw rows (fill, scale, assemble, predict).
 
     Preprocessing is fitted once. Its vectors are kept for all estimators and released
-    after the last one; lost blocks are recomputed from the source.
+    after the last one; lost blocks are recomputed from the source. Trees that do not draw rows
+    are fitted on cells of equal bins, a few at once.
     """
     vectors = labelled(preprocessor, train, label).persist()
     try:
+        found = _fit_on_cells(vectors, {n: est for n, est in estimators.items() if cells.suits(est)})
         fitted = {}
         for name, est in estimators.items():
             kind = name.split("#")[0]
             if kind in PENALTY_PER_TABLE:
                 est = est.copy({est.regParam: _penalty_per_row(vectors, est.getRegParam(), kind)})
-            fitted[name] = PipelineModel([*preprocessor.stages(), _flat(est.fit(vectors))])
+            fitted[name] = PipelineModel([*preprocessor.stages(), *(found.get(name) or [_flat(est.fit(vectors))])])
         return fitted
     finally:
         vectors.unpersist()
 
 
+def _fit_on_cells(vectors: DataFrame, estimators: Mapping[str, Estimator]) -> dict[str, list[Transformer] | None]:
+    """Stages by name; estimators with equal bins share the table of cells."""
+    shapes = {n: (est.getMaxBins(), isinstance(est, DecisionTreeClassifier)) for n, est in estimators.items()}
+    tables = {shape: cells.Cells(vectors, *shape) for shape in dict.fromkeys(shapes.values())}
+    fits = [inheritable_thread_target(vectors.sparkSession)(partial(tables[shapes[n]].fit, est)) for n, est in estimators.items()]
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        return dict(zip(estimators, pool.map(lambda fit: fit(), fits)))
+
+
 def _penalty_per_row(vectors: DataFrame, alpha: float, name: str = "ridge_regression") -> float:
     """Spark ML weighs a penalty against the mean error; of a regression label scaled to unit spread."""
     row = vectors.agg(F.count("*").alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
