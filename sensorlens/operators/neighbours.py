@@ -1,15 +1,15 @@
 """Exact nearest neighbours by pivots, and the classifier and regressor that vote with them.
 
-Rows are dealt into cells by their nearest pivot, a cell into rings by the distance to its pivot.
-A row asks in two steps. The ring of its own place gives a first bound on the distance of its
-k-th neighbour, together with what is known of every cell: the distances of its k innermost rows
-to the pivot. Then it visits the cells that the bound cannot rule out (by the cell's radius and
-by the plane between two pivots), and of these the rings whose distances lie within the bound. Both
-steps are equi-joins on cell and ring; no row meets rows outside the rings it has to see.
+Rows are dealt into cells by their nearest pivot, a cell into rings: it is cut at the mean of its widest
+column, and so are its parts, until a part holds few rows. Every part knows the box of its rows.
+A row asks in two steps. Among the rows of the ring of its own place, counts of distances up to a scale of thresholds
+give a first bound on the distance of its k-th neighbour. Then it visits the cells that the bound cannot rule out (by the
+cell's radius and by the plane between two pivots), and of these, from part to part, the rings whose box lies within the
+bound. Both steps are equi-joins on cell and ring; no row meets rows outside the rings it has to see.
 
 Equal points are kept once per neighbour they can give: of a point that a third of all rows share,
 each task hands on the first k. Rows that ask with the same point ask once. What the driver
-holds is a table of pivots, at most ``MOST_PIVOTS``, with k distances each.
+holds is a table of pivots, at most ``MOST_PIVOTS``, with k distances each. Boxes, a row for some hundred rows, are broadcast.
 
 Rows without a value in one of the features, or with one beyond 1e150, are nobody's neighbour and
 have none. Of equal distances the smaller key comes first. With fewer than k rows all are neighbours.
@@ -32,10 +32,14 @@ from pyspark.sql import functions as F
 from sensorlens.functions.columns import all_of, quoted, require_columns
 from sensorlens.functions.frames import materialise
 
-MOST_PIVOTS = 256
+MOST_PIVOTS = 64
 ROWS_PER_CELL = 2_000
-ROWS_PER_RING = 500
-MOST_RINGS = 256
+ROWS_PER_RING = 150
+MOST_CUTS = 32  # one after the other, from a cell to its rings
+CUTS_A_TABLE = 4  # joined in one plan before rows are written down with their part
+CUTS_A_VISIT = 3  # passed over between two looks at boxes
+QUERIES_A_TASK = 50_000
+THRESHOLDS = 30  # of the first bound, three to a halving
 LARGEST = 1e150  # squares of larger values overrun doubles
 SLACK = 1e-9  # share of a distance that bounds are widened by, far above rounding
 WEIGHTS = ("uniform", "distance")
@@ -43,7 +47,7 @@ WEIGHTS = ("uniform", "distance")
 
 @dataclass(frozen=True)
 class NeighbourIndex:
-    """Rows by cell and ring, with what the bounds need to know of cells and rings."""
+    """Rows by cell and ring, with what the bounds need to know of cells, their parts and rings."""
 
     features: list[str]
     order: list[str]
@@ -53,6 +57,8 @@ class NeighbourIndex:
     radius: list[float | None]  # per cell, the largest one; None without rows
     points: DataFrame
     rings: DataFrame
+    parts: list[DataFrame]  # boxes after 0, 1, ... cuts, the last being the rings
+    cuts: list[DataFrame]
 
 
 def _points(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -66,8 +72,12 @@ def _names(n: int) -> list[str]:
     return [f"_f{i}" for i in range(n)]
 
 
+def _length(along: Sequence[Column]) -> Column:
+    return F.sqrt(reduce(lambda s, t: s + t, [x * x for x in along]))
+
+
 def _apart(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    return F.sqrt(reduce(lambda s, t: s + t, [(x - y) * (x - y) for x, y in zip(a, b)]))
+    return _length([x - y for x, y in zip(a, b)])
 
 
 def _to_pivots(pivots: Sequence[Sequence[float]]) -> Column:
@@ -97,7 +107,7 @@ def build_index(
     points = materialise(points.filter(F.col("_copy") <= k))
     n = points.count()
     if not n:
-        return NeighbourIndex(features, order, k, [], [], [], points, points)
+        return NeighbourIndex(features, order, k, [], [], [], points, points, [], [])
     wanted = min(MOST_PIVOTS, math.ceil(n / rows_per_cell))
     different = points.filter("_copy = 1").select(*names)
     chosen = different.orderBy(F.xxhash64(*names), *names).limit(wanted).collect()
@@ -112,21 +122,41 @@ def build_index(
     inner: list[list[float]] = [[] for _ in pivots]
     for r in first.orderBy("_cell", "_at").collect():
         inner[r["_cell"]].append(r["_away"])
-    steps = [i / MOST_RINGS for i in range(1, MOST_RINGS)]
-    cells = placed.groupBy("_cell").agg(
-        F.count("*").alias("_n"), F.max("_away").alias("_radius"), F.percentile_approx("_away", steps, 2_000).alias("_all")
-    )
+    parted = placed.drop("_away").withColumn("_ring", F.col("_cell").cast("long"))
+    parts, cuts = [], []
+    while True:
+        boxes = materialise(_boxes(parted, names))
+        parts.append(boxes)
+        cut = boxes.filter((F.col("_n") > rows_per_ring) & F.col("_cut").isNotNull()).select("_ring", "_cut.*")
+        if len(cuts) == MOST_CUTS or cut.isEmpty():
+            break
+        cuts.append(cut)
+        parted = _cut(parted, cut, names)
+        if len(cuts) % CUTS_A_TABLE == 0:
+            parted = materialise(parted)
     radius: list[float | None] = [None] * len(pivots)
-    for r in cells.select("_cell", "_radius").collect():
+    for r in placed.groupBy("_cell").agg(F.max("_away").alias("_radius")).collect():
         radius[r["_cell"]] = r["_radius"]
-    rings = F.least(F.lit(MOST_RINGS), F.ceil(F.col("_n") / rows_per_ring))
-    cuts = cells.select("_cell", F.filter("_all", lambda _, i: F.pmod((i + 1) * rings, F.lit(MOST_RINGS)) < rings).alias("_cuts"))
-    ring = F.size(F.filter("_cuts", lambda c: c < F.col("_away")))
-    # a row of cuts per pivot: at most MOST_PIVOTS * MOST_RINGS numbers, half a megabyte
-    placed = placed.join(F.broadcast(cuts), "_cell").withColumn("_ring", ring).drop("_cuts")
-    placed = materialise(placed.repartition("_cell", "_ring"))
-    bounds = placed.groupBy("_cell", "_ring").agg(F.min("_away").alias("_low"), F.max("_away").alias("_high"))
-    return NeighbourIndex(features, order, k, pivots, inner, radius, placed, materialise(bounds))
+    placed = materialise(parted.repartition("_cell", "_ring"))
+    return NeighbourIndex(features, order, k, pivots, inner, radius, placed, parts[-1], parts, cuts)
+
+
+def _boxes(parted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per part its rows, the ends of each column, and the mean of the widest one where that parts the rows."""
+    ends = [f(c).alias(f"{c}{end}") for c in names for f, end in ((F.min, "_low"), (F.max, "_high"))]
+    spread = F.array_max(F.array(*[F.struct(F.stddev_pop(c).alias("s"), F.lit(-i).alias("i"), F.avg(c).alias("at"),
+                                            F.min(c).alias("low"), F.max(c).alias("high")) for i, c in enumerate(names)]))
+    boxes = parted.groupBy("_cell", "_ring").agg(F.count("*").alias("_n"), *ends, spread.alias("_wide"))
+    wide = F.col("_wide")
+    cut = F.when((wide["at"] >= wide["low"]) & (wide["at"] < wide["high"]), F.struct((-wide["i"]).alias("_axis"), wide["at"].alias("_mean")))
+    return boxes.withColumn("_cut", cut).drop("_wide")
+
+
+def _cut(df: DataFrame, cut: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows moved on from a part to its lower or upper half; a part that is not cut is all lower half."""
+    upper = F.get(F.array(*names), F.col("_axis")) > F.col("_mean")
+    ring = F.col("_ring") * 2 + F.when(upper, 1).otherwise(0)
+    return df.join(F.broadcast(cut), "_ring", "left").withColumn("_ring", ring).drop("_axis", "_mean")
 
 
 def nearest(index: NeighbourIndex, queries: DataFrame, k: int | None = None) -> DataFrame:
@@ -140,7 +170,6 @@ def nearest(index: NeighbourIndex, queries: DataFrame, k: int | None = None) ->
     names = _names(len(index.features))
     carried = [c for c in index.points.columns if not c.startswith("_")]
     asked = _points(queries, index.features, []).distinct().withColumn("_q", F.monotonically_increasing_id())
-    asked = materialise(asked)
     if not index.pivots:
         empty = index.points.select(*[quoted(c) for c in carried]).limit(0)
         return asked.drop("_q").limit(0).crossJoin(empty).withColumns({"_rank": F.lit(1), "_distance": F.lit(0.0)})
@@ -151,32 +180,36 @@ def nearest(index: NeighbourIndex, queries: DataFrame, k: int | None = None) ->
     asked = asked.withColumn("_to", _to_pivots(index.pivots)).withColumns(
         {"_home": home["i"], "_at": home["d"], "_bound": F.coalesce(bound, F.lit(float("inf")))}
     )
+    asked = asked.drop("_to").withColumn("_ring", F.col("_home").cast("long"))
+    for cut in index.cuts:
+        asked = _cut(asked, cut, names)
     asked = materialise(asked)
-
-    first = asked.join(index.rings, F.col("_home") == F.col("_cell"))
-    gap = F.greatest(F.col("_low") - F.col("_at"), F.col("_at") - F.col("_high"), F.lit(0.0))
-    first = first.groupBy("_q").agg(
-        F.min_by(F.struct("_cell", "_ring", *names), F.struct(gap, "_ring")).alias("_best")
-    )
-    first = first.select("_q", "_best.*")
-    closer = _met(first, index, carried, names).select("_q", "_distance")
-    ranked = closer.withColumn("_rank", F.row_number().over(W.partitionBy("_q").orderBy("_distance")))
-    kth = ranked.filter(F.col("_rank") <= k).groupBy("_q").agg(
-        F.max("_distance").alias("_kth"), F.count("*").alias("_found")
-    )
-    known = F.when(F.col("_found") >= k, F.col("_kth") * F.lit(1 + SLACK))
-    bounded = asked.join(kth, "_q", "left").withColumn("_bound", F.least("_bound", known)).drop("_kth", "_found")
+    spark = queries.sparkSession
+    # a small table of queries meets many rows: sizes in bytes would put it into one task
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-asked.count() // QUERIES_A_TASK))
+    asked = asked.repartition(tasks)
+
+    far = _length([F.greatest(F.col(c) - F.col(f"{c}_low"), F.col(f"{c}_high") - F.col(c)) for c in names])
+    first = asked.join(F.broadcast(index.rings.drop("_cell", "_n", "_cut")), "_ring").withColumn("_far", far * F.lit(1 + SLACK))
+    first = first.select("_q", *names, F.col("_home").alias("_cell"), "_ring", "_far").repartition(tasks, "_cell", "_ring")
+    closer = _met(first, index, carried, ["_far"])
+    steps = [F.lit(0.0), *[F.col("_far") * F.lit(2.0 ** (-i / 3)) for i in reversed(range(THRESHOLDS))]]
+    within = [F.count_if(F.col("_distance") <= s).alias(f"_n{i}") for i, s in enumerate(steps)]
+    counted = closer.groupBy("_q").agg(F.max("_far").alias("_far"), *within)
+    known = F.coalesce(*[F.when(F.col(f"_n{i}") >= k, s) for i, s in enumerate(steps)])
+    kth = counted.select("_q", (known * F.lit(1 + SLACK)).alias("_known"))
+    bounded = asked.drop("_ring").join(kth, "_q", "left").withColumn("_bound", F.least("_bound", "_known")).drop("_known")
+    bounded = bounded.withColumn("_to", _to_pivots(index.pivots))
 
     widest = F.array(*[F.lit(r).cast("double") for r in index.radius])
     between = [[math.dist(p, q) for q in index.pivots] for p in index.pivots]
-    pairs = queries.sparkSession.createDataFrame(list(enumerate(between)), "_home int, _between array<double>")
-    # a distance per pair of pivots: at most MOST_PIVOTS ** 2 numbers, half a megabyte
+    pairs = spark.createDataFrame(list(enumerate(between)), "_home int, _between array<double>")
+    # a distance per pair of pivots: at most MOST_PIVOTS ** 2 numbers
     bounded = bounded.join(F.broadcast(pairs), "_home")
     visits = F.transform(
         F.arrays_zip("_to", widest.alias("_widest"), "_between"),
         lambda c, i: F.struct(
             i.alias("_cell"),
-            c["_to"].alias("_d"),
             (
                 (c["_to"] - c["_widest"] <= F.col("_bound") + SLACK * c["_to"])
                 & (
@@ -187,10 +220,16 @@ def nearest(index: NeighbourIndex, queries: DataFrame, k: int | None = None) ->
         ),
     )
     cells = bounded.select("_q", *names, "_bound", F.inline(F.filter(visits, lambda v: v["_open"])))
-    slack = SLACK * (F.col("_d") + F.col("_bound"))
-    rings = cells.join(index.rings, "_cell").filter(
-        (F.col("_low") <= F.col("_d") + F.col("_bound") + slack) & (F.col("_high") >= F.col("_d") - F.col("_bound") - slack)
-    )
+    rings = cells.select("_q", *names, "_bound", F.col("_cell").cast("long").alias("_ring"))
+    outside = _length([F.greatest(F.col(f"{c}_low") - F.col(c), F.col(c) - F.col(f"{c}_high"), F.lit(0.0)) for c in names])
+    last = len(index.parts) - 1
+    looks = sorted({*range(0, last, CUTS_A_VISIT), last})
+    for at, before in zip(looks, [0, *looks]):
+        boxes = index.parts[at].drop("_n", "_cut").withColumn("_of", F.shiftright("_ring", at - before))
+        boxes = boxes.withColumnRenamed("_ring", "_next")
+        rings = rings.join(F.broadcast(boxes), F.col("_ring") == F.col("_of")).filter(outside <= F.col("_bound") * F.lit(1 + SLACK))
+        rings = rings.select("_q", *names, "_bound", "_cell", F.col("_next").alias("_ring")).drop(*(["_cell"] if at != last else []))
+    rings = rings.repartition(tasks, "_cell", "_ring")
     met = _met(rings.select("_q", *names, "_bound", "_cell", "_ring"), index, carried, [*names, "_bound"])
     met = met.filter(F.col("_distance") <= F.col("_bound"))
     order = W.partitionBy("_q").orderBy("_distance", *[quoted(c) for c in index.order])

@@ -67,6 +67,14 @@ def test_only_near_rings_are_read(spark):
     assert sum(df.count() for df in met) < 120 * len(rows) / 4
 
 
+def test_a_query_meets_few_rows_of_an_even_cloud(spark, monkeypatch):
+    rows, met, whole = RNG.uniform(0, 100, size=(12_000, 3)), [], neighbours._met
+    index = neighbours.build_index(frame_of(spark, rows), ["a", "b", "c"], 3, ["id"])
+    monkeypatch.setattr(neighbours, "_met", lambda *a: met.append(whole(*a)) or met[-1])
+    neighbours.nearest(index, frame_of(spark, rows[::40]))
+    assert sum(df.count() for df in met) < 1_000 * 300
+
+
 def test_missing_values_small_tables_and_ties(spark, frame):
     rows = frame("id long, a double, b double", (1, 0.0, 0.0), (2, 0.0, 2.0), (3, 2.0, 0.0), (4, None, 0.0), (5, float("nan"), 1.0),
                  (6, float("inf"), 1.0), (2, 0.0, 2.0))
