@@ -30,6 +30,7 @@ from sensorlens.operators.order_stats import quantiles
 
 LABEL, WEIGHT, BINS = "label", "_weight", "_bins"
 CELLS_A_TASK = 20_000
+MOST_SIDE_BY_SIDE = 8  # fits that are taken to share the cores
 
 
 class Bins(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -93,9 +94,12 @@ def suits(est: Estimator) -> bool:
 
 
 class Cells:
-    """The cells of one table of vectors, written down once for all estimators that read them."""
+    """The cells of one table of vectors, written down once for all ``fits`` estimators that read them.
 
-    def __init__(self, vectors: DataFrame, bins: int, classes: bool):
+    Every task of a deep level sends sums of nearly all its nodes, so fits that run side by side take fewer tasks each.
+    """
+
+    def __init__(self, vectors: DataFrame, bins: int, classes: bool, fits: int = 1):
         self.stage = Bins(bin_cuts(vectors, bins))
         names = self.stage.names()
         binned = self.stage.columns(vectors.select("features", LABEL))
@@ -103,7 +107,7 @@ class Cells:
         label = [] if classes else [F.avg(LABEL).alias(LABEL)]
         table = materialise(binned.groupBy(*by).agg(F.count("*").cast("double").alias(WEIGHT), *label))
         n, self.rows = table.agg(F.count("*"), F.sum(WEIGHT)).first()
-        parts = max(1, min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n // CELLS_A_TASK)))
+        parts = max(1, min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n // (CELLS_A_TASK * min(fits, MOST_SIDE_BY_SIDE)))))
         self.table = VectorAssembler(inputCols=names, outputCol=BINS).transform(table).select(BINS, LABEL, WEIGHT).repartition(parts)
 
     def fit(self, est: Estimator) -> list[Transformer] | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
@@ -53,6 +54,7 @@ PENALTY_PER_TABLE = ("ridge_regression", "svm_classifier")
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows; stands for "no limit"
 LABEL = "label"
 FITS_AT_ONCE = 4  # trees on the same cells that are fitted side by side
+FOLDS_AT_ONCE = 5  # folds of a search that are fitted and scored side by side
 
 
 def _known(kind: str, params: dict) -> None:
@@ -248,7 +250,7 @@ def fit_models(
 def _fit_on_cells(vectors: DataFrame, estimators: Mapping[str, Estimator]) -> dict[str, list[Transformer] | None]:
     """Stages by name; estimators with equal bins share the table of cells."""
     shapes = {n: (est.getMaxBins(), isinstance(est, DecisionTreeClassifier)) for n, est in estimators.items()}
-    tables = {shape: cells.Cells(vectors, *shape) for shape in dict.fromkeys(shapes.values())}
+    tables = {shape: cells.Cells(vectors, *shape, n) for shape, n in Counter(shapes.values()).items()}
     fits = [inheritable_thread_target(vectors.sparkSession)(partial(tables[shapes[n]].fit, est)) for n, est in estimators.items()]
     with ThreadPool(FITS_AT_ONCE) as pool:
         return dict(zip(estimators, pool.map(lambda fit: fit(), fits)))
@@ -411,16 +413,19 @@ def search_pipeline(
     if not made:
         raise ValueError("no candidate to try")
     placed = materialise(fold_column(df.filter(quoted(label).isNotNull()), folds, random_state, key))
-    parts = []
-    for fold in range(folds):
+    by = ["model_ordinal", "fold"]
+
+    def judged(fold: int) -> DataFrame:
         train, held = placed.filter(F.col("fold") != fold), placed.filter(F.col("fold") == fold)
         fitted = fit_models(fit_numeric_preprocessor(train, features, cfg), made, train, label)
-        parts.append(score_models(fitted, held, label).withColumn("fold", F.lit(fold)))
-    scored, by = reduce(DataFrame.unionByName, parts), ["model_ordinal", "fold"]
-    if registry is REGRESSORS:
-        report = regression_scores(scored, by=by)
-    else:
-        report = headline_scores(confusion_counts(scored, by=by), by).drop("f1_macro")
+        scored = score_models(fitted, held, label).withColumn("fold", F.lit(fold))
+        if registry is REGRESSORS:
+            return materialise(regression_scores(scored, by=by))
+        return materialise(headline_scores(confusion_counts(scored, by=by), by).drop("f1_macro"))
+
+    runs = [inheritable_thread_target(df.sparkSession)(partial(judged, fold)) for fold in range(folds)]
+    with ThreadPool(FOLDS_AT_ONCE) as pool:
+        report = reduce(DataFrame.unionByName, pool.map(lambda run: run(), runs))
     named = report_frame(
         df.sparkSession,
         [(i, name, "; ".join(f"{k}={v}" for k, v in params.items())) for i, (name, params) in enumerate(tried)],

@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,7 @@ GATHER_BOUND = 10_000  # values of one column that may be gathered and sorted in
 VALUES_PER_JOB = 1_000_000  # values of all columns gathered by one job
 SKETCH_ACCURACY = 10_000
 TARGETS_PER_JOB = 128
+LISTED_CUTS = 16  # cuts of a column that are stated as comparisons; more are searched by a Bucketizer
 
 
 @dataclass
@@ -144,16 +147,34 @@ def _place(c: Column, cuts: Sequence, low: int, high: int) -> Column:
     return F.when(c < cut, _place(c, cuts, low, mid)).otherwise(on_or_above)
 
 
+def _splits(cuts: Sequence) -> list[float] | None:
+    """Splits whose buckets are those of ``_place``: a cut and the next number enclose the cut alone."""
+    if len(cuts) <= LISTED_CUTS:
+        return None
+    own = [float(v) + 0.0 for v in cuts]
+    out = [-math.inf, *[x for v in own for x in (v, float(np.nextafter(v, math.inf)))], math.inf]
+    return out if all(a < b for a, b in zip(out, out[1:])) else None
+
+
 def _bucketed(
     df: DataFrame, columns: Mapping[str, Column], cuts: Mapping[str, Sequence], with_value: bool
 ) -> tuple[DataFrame, int]:
     """(code[, v]) of every value that is not missing; code is column place times width plus bucket."""
     width = 2 * max(len(c) for c in cuts.values()) + 1
     values = df.select(*[columns[name].alias(f"c{i}") for i, name in enumerate(cuts)])
+    kinds = [field.dataType for field in values.schema]
+    splits = {i: s for i, at in enumerate(cuts.values()) if kinds[i] == T.DoubleType() and (s := _splits(at))}
+    if splits:
+        # a Bucketizer tells -0.0 from 0.0
+        values = values.withColumns({f"z{i}": F.col(f"c{i}") + F.lit(0.0) for i in splits})
+        named = [[f"{x}{i}" for i in splits] for x in "zb"]
+        values = Bucketizer(splitsArray=list(splits.values()), inputCols=named[0], outputCols=named[1], handleInvalid="keep").transform(values)
     each = []
     for i, at in enumerate(cuts.values()):
         c = F.col(f"c{i}")
-        code = F.when(c.isNotNull(), F.lit(i * width) + _place(c, at, 0, len(at))).alias("code")
+        # NaN lies above all cuts, and in a bucket of its own before
+        place = F.least(F.col(f"b{i}").cast("int"), F.lit(2 * len(at))) if i in splits else _place(c, at, 0, len(at))
+        code = F.when(c.isNotNull(), F.lit(i * width) + place).alias("code")
         each.append(F.struct(code, c.alias("v")) if with_value else F.struct(code))
     return values.select(F.inline(F.array(*each))).filter("code is not null"), width
 

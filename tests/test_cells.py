@@ -58,3 +58,11 @@ def test_a_value_lies_in_the_bin_that_ends_with_it(spark):
     vectors = many.select(cells.F.expr("v")).rdd.map(lambda r: (Vectors.dense(r["v"]),)).toDF(["features"])
     cuts = cells.bin_cuts(vectors, 10)
     assert len(cuts[0]) == 9 and abs(cuts[0][4] - 499.5) <= 1 and cuts[1] == []
+
+
+def test_fits_side_by_side_take_fewer_tasks_each(rows, monkeypatch):
+    monkeypatch.setattr(cells, "CELLS_A_TASK", 40)
+    vectors = model.labelled(prep.fit_numeric_preprocessor(rows, ["a", "b", "c"]), rows, "kind")
+    alone, shared = cells.Cells(vectors, 32, True), cells.Cells(vectors, 32, True, 4)
+    assert shared.table.rdd.getNumPartitions() < alone.table.rdd.getNumPartitions()
+    assert shared.rows == alone.rows == 3_000 and shared.table.count() == alone.table.count()

@@ -177,3 +177,16 @@ def test_salts_do_not_follow_the_order_of_rows(spark):
         for d in (df.coalesce(1), df.coalesce(1).sortWithinPartitions(F.desc("id")))
     ]
     assert salts[0] == salts[1] and len(set(salts[0].values())) == 16
+
+
+def test_many_cuts_are_searched_as_they_are_compared(spark):
+    cuts = [-0.0, *[i / 8 for i in range(1, 40)]]
+    values = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 5e-324, *cuts, *[c + 0.01 for c in cuts], *[c - 1e-17 for c in cuts]]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert order_stats._splits(cuts) and order_stats._splits(cuts[:3]) is None
+    near = [0.0, 5e-324, *[float(i) for i in range(1, 30)]]  # nothing lies between the first two
+    assert order_stats._splits(near) is None and order_stats._splits([*cuts, float("nan")]) is None
+    coded, _ = order_stats._bucketed(df, {"x": F.col("x")}, {"x": cuts}, with_value=True)
+    wanted = df.filter("x is not null").select(order_stats._place(F.col("x"), cuts, 0, len(cuts)).alias("code"), F.col("x").alias("v"))
+    key = lambda r: (r["code"], str(r["v"]))
+    assert sorted(map(key, coded.collect())) == sorted(map(key, wanted.collect()))
