@@ -248,12 +248,13 @@ def fit_models(
 
 
 def _fit_on_cells(vectors: DataFrame, estimators: Mapping[str, Estimator]) -> dict[str, list[Transformer] | None]:
-    """Stages by name; estimators with equal bins share the table of cells."""
+    """Stages by name; estimators with equal bins share the table of cells. The deepest, which take longest, begin first."""
     shapes = {n: (est.getMaxBins(), isinstance(est, DecisionTreeClassifier)) for n, est in estimators.items()}
     tables = {shape: cells.Cells(vectors, *shape, n) for shape, n in Counter(shapes.values()).items()}
-    fits = [inheritable_thread_target(vectors.sparkSession)(partial(tables[shapes[n]].fit, est)) for n, est in estimators.items()]
+    deepest = sorted(estimators, key=lambda n: -estimators[n].getMaxDepth())
+    fits = [inheritable_thread_target(vectors.sparkSession)(partial(tables[shapes[n]].fit, estimators[n])) for n in deepest]
     with ThreadPool(FITS_AT_ONCE) as pool:
-        return dict(zip(estimators, pool.map(lambda fit: fit(), fits)))
+        return dict(zip(deepest, pool.map(lambda fit: fit(), fits, chunksize=1)))
 
 
 def _penalty_per_row(vectors: DataFrame, alpha: float, name: str = "ridge_regression") -> float:

@@ -66,3 +66,13 @@ def test_fits_side_by_side_take_fewer_tasks_each(rows, monkeypatch):
     alone, shared = cells.Cells(vectors, 32, True), cells.Cells(vectors, 32, True, 4)
     assert shared.table.rdd.getNumPartitions() < alone.table.rdd.getNumPartitions()
     assert shared.rows == alone.rows == 3_000 and shared.table.count() == alone.table.count()
+
+
+def test_the_deepest_fit_begins_first(rows, monkeypatch):
+    begun, fit = [], cells.Cells.fit
+    monkeypatch.setattr(model, "FITS_AT_ONCE", 1)
+    monkeypatch.setattr(cells.Cells, "fit", lambda self, est: (begun.append(est.getMaxDepth()), fit(self, est))[1])
+    made = {f"decision_tree_classifier#{d}": model.build_estimators({"decision_tree_classifier": {"max_depth": d}})["decision_tree_classifier"] for d in (1, 4, 2)}
+    fitted = model.fit_models(prep.fit_numeric_preprocessor(rows, ["a", "b", "c"]), made, rows, "kind")
+    assert begun == [4, 2, 1] and list(fitted) == list(made)
+    assert [m.stages[-1].depth for m in fitted.values()] == [1, 4, 2]
