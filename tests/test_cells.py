@@ -75,4 +75,4 @@ def test_the_deepest_fit_begins_first(rows, monkeypatch):
     made = {f"decision_tree_classifier#{d}": model.build_estimators({"decision_tree_classifier": {"max_depth": d}})["decision_tree_classifier"] for d in (1, 4, 2)}
     fitted = model.fit_models(prep.fit_numeric_preprocessor(rows, ["a", "b", "c"]), made, rows, "kind")
     assert begun == [4, 2, 1] and list(fitted) == list(made)
-    assert [m.stages[-1].depth for m in fitted.values()] == [1, 4, 2]
+    assert [m.stages[-1].getMaxDepth() for m in fitted.values()] == [1, 4, 2]  # leaves that agree are merged, so depths may be less
