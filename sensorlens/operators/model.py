@@ -11,11 +11,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.regression import (
@@ -40,6 +36,7 @@ from sensorlens.operators.evaluate import (
     top_k,
 )
 from sensorlens.operators.fold_sums import chosen_candidates
+from sensorlens.operators.hinge import HingeMachine
 from sensorlens.operators.kernel import DRAWS, KernelMachine
 from sensorlens.operators.neighbours import NeighbourClassifier, NeighbourRegressor
 from sensorlens.operators.prep import (
@@ -118,7 +115,7 @@ def _svm(params: dict) -> Estimator:
         raise ValueError(f"kernel must be linear or rbf, got {kernel!r}")
     _only(params, "probability", [False, True])
     seed, draws = params.pop("random_state", None), params.pop("n_components", DRAWS)
-    out = LinearSVC(
+    out = HingeMachine(
         regParam=1.0 / params.pop("C", 1.0),
         maxIter=params.pop("max_iter", params.pop("maxIter", 100)),
         tol=params.pop("tol", 1e-6),

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -134,6 +135,26 @@ def test_rbf_machine_separates_rings(spark, tmp_path):
         model.build_estimators({"svm_classifier": {"kernel": "poly"}})
 
 
+def test_linear_machine_reaches_the_least_loss(spark):
+    """Labels that features say nothing about, of which a search along the hinge's slopes stopped at a loss of 8.7."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(20000, 5))
+    y = (rng.random(len(x)) < 1 / 3).astype(float)
+    df = spark.createDataFrame([(Vectors.dense(a), b) for a, b in zip(x.tolist(), y.tolist())], ["features", "label"])
+    made = model.build_estimators({"svm_classifier": {"C": 1.0}})["svm_classifier"]
+    made = made.copy({made.regParam: 1 / len(x)})
+    fitted = made.fit(df)
+    loss = np.maximum(0, 1 - (2 * y - 1) * (x @ fitted.coefficients.toArray() + fitted.intercept)).mean()
+    assert loss == pytest.approx(2 * y.mean(), abs=1e-4)
+    clear = df.withColumn("label", (F.get(vector_to_array("features"), 1) * 100 > 3).cast("double"))
+    split = made.fit(clear).transform(clear)
+    assert split.filter("label = prediction").count() > 0.999 * len(x)
+    with pytest.raises(ValueError):
+        made.fit(df.withColumn("label", F.lit(2.0)))
+    with pytest.raises(ValueError):
+        made.fit(df.limit(0))
+
+
 def test_fourier_features_approximate_the_kernel(spark):
     rng = np.random.default_rng(2)
     points = rng.normal(size=(30, 4))
