@@ -219,6 +219,19 @@ def test_replaced_and_deleted_words_make_near_lines(spark):
     assert len(want) > lines.dedup_lines(docs).filter("n_near = 1").count() + 10
 
 
+def test_lines_that_share_a_common_passage_share_no_anchors(spark):
+    rng = random.Random(3)
+    common = "this passage stands in every line of all the documents, word for word"
+    own = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=150))
+    texts = [own() + common + own() for _ in range(300)]
+    copies = [t.replace("passage", "text") for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string")
+    shared = lines.anchors(docs, 2, 5).groupBy("key").agg(F.count_distinct("line").alias("n"))
+    assert shared.agg(F.max("n")).first()[0] < 60  # the 40 lines of pairs; 320 by chance alone
+    gone = lines.dedup_lines(docs, percent=5).filter("n_near = 1")
+    assert sorted(r["doc_id"] for r in gone.collect()) == list(range(300, 320))
+
+
 def test_query_takes_out_lines_with_a_word_replaced(spark, tmp_path):
     words = [f"word{i:02d}x" for i in range(40)]
     other = words[:20] + ["changed"] + words[21:]
