@@ -6,7 +6,7 @@ gains and leaves then follow from the cells as from the rows, so all levels, and
 at most as many as the rows and at most as many as the combinations of bins. Cuts are exact quantiles of all rows, or the values
 themselves where there are few.
 
-Forests with bootstrap and boosting on samples draw rows, not cells, and stay with the rows.
+Deep trees of many cells are grown by ``branches``, which keeps them in a table. Forests with bootstrap and boosting on samples draw rows, not cells, and stay with the rows.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlens.functions.frames import materialise
+from sensorlens.operators import branches
 from sensorlens.operators.order_stats import quantiles
 
 LABEL, WEIGHT, BINS = "label", "_weight", "_bins"
@@ -100,16 +101,26 @@ class Cells:
     """
 
     def __init__(self, vectors: DataFrame, bins: int, classes: bool, fits: int = 1):
-        self.stage = Bins(bin_cuts(vectors, bins))
+        self.stage, self.classes = Bins(bin_cuts(vectors, bins)), classes
         names = self.stage.names()
         binned = self.stage.columns(vectors.select("features", LABEL))
         by = [*names, LABEL] if classes else names
         label = [] if classes else [F.avg(LABEL).alias(LABEL)]
         table = materialise(binned.groupBy(*by).agg(F.count("*").cast("double").alias(WEIGHT), *label))
-        n, self.rows = table.agg(F.count("*"), F.sum(WEIGHT)).first()
+        odd = F.col(LABEL).isNull() | ((F.col(LABEL) < 0) | (F.col(LABEL) != F.floor(LABEL)) if classes else F.lit(False))
+        n, self.rows, self.odd, most = table.agg(F.count("*"), F.sum(WEIGHT), F.count_if(odd), F.max(LABEL)).first()
+        self.cells, self.most, self.flat = n, most, table
         parts = max(1, min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n // (CELLS_A_TASK * min(fits, MOST_SIDE_BY_SIDE)))))
         self.table = VectorAssembler(inputCols=names, outputCol=BINS).transform(table).select(BINS, LABEL, WEIGHT).repartition(parts)
 
+    def grow(self, ests: Sequence[Estimator]) -> list[list[Transformer]] | None:
+        """The stages of estimators that differ in their depth alone, from one tree kept in a table; ``None`` where the driver can hold it."""
+        classes = int(self.most or 0) + 1 if self.classes else 0
+        if self.odd or not branches.suits(ests, self.cells, classes):
+            return None
+        grown = branches.Grown(self.flat, self.stage.names(), max(ests, key=lambda e: e.getMaxDepth()), self.cells, classes)
+        return [[branches.BranchTree(self.stage, grown, e.getMaxDepth())] for e in ests]
+
     def fit(self, est: Estimator) -> list[Transformer] | None:
         """The stages that bin and predict; ``None`` where leaves are to hold half of the rows and more, which cells cannot state."""
         least = est.getMinInstancesPerNode()
