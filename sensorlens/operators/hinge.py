@@ -28,11 +28,17 @@ NEWTON = [2.0**-i for i in range(11)]  # lengths tried of the steps
 BOUNDED = [0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0]
 SHRINK = 0.1
 
+Lift = Callable[[np.ndarray], np.ndarray]
+
 
 class HingeMachine(LinearSVC):
     """``LinearSVC`` with its parameters, objective and model, and with a bounded number of passes."""
 
     def _fit(self, dataset: DataFrame) -> LinearSVCModel:
+        return self.fit_lifted(dataset)
+
+    def fit_lifted(self, dataset: DataFrame, lift: Lift | None = None, size: int = 0) -> LinearSVCModel:
+        """The machine of features, or of the ``size`` components that ``lift`` makes of blocks of them: these are made anew in every pass and not kept."""
         rows = dataset.select(F.col(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
         moments = Summarizer.metrics("count", "mean", "std").summary(F.col("x"))
         held = rows.groupBy(F.lit("all")).agg(moments.alias("s"), F.count_if(~F.coalesce(F.col("y").isin(0.0, 1.0), F.lit(False))).alias("odd")).first()
@@ -41,13 +47,20 @@ class HingeMachine(LinearSVC):
         if held["odd"]:
             raise ValueError(f"a machine needs labels 0 and 1, {held['odd']} rows have others")
         n, mean, std = held["s"]["count"], held["s"]["mean"].toArray(), held["s"]["std"].toArray()
+        constant = self.getFitIntercept()
+        if lift is None:
+            turned = _turned(mean if constant else np.zeros(len(mean)), np.where(std > 0, std, 1.0), std > 0, constant)
+            blocks, made = _blocks(rows, turned).persist(), Read(len(mean) + constant)
+        else:
+            blocks = _blocks(rows, lambda x, sign: np.column_stack([x, sign])).persist()
+            mean, std = _moments(blocks, Read(len(mean) + 1, size, lambda x: lift(x[:, :-1])), n)
+            turned = _turned(mean if constant else np.zeros(size), np.where(std > 0, std, 1.0), std > 0, constant)
+            made = Read(held["s"]["mean"].size + 1, size + constant, lambda x: turned(lift(x[:, :-1]), x[:, -1]))
         unit = np.where(std > 0, std, 1.0)
-        centre = mean if self.getFitIntercept() else np.zeros(len(mean))
         penalty = self.getRegParam() / (1.0 if self.getStandardization() else unit**2) * np.ones(len(mean))
-        blocks = _blocks(rows, centre, unit, std > 0, self.getFitIntercept()).persist()
         try:
-            own = np.append(penalty, 0.0) if self.getFitIntercept() else penalty
-            found = minimise(blocks, n, own, self.getTol(), self.getMaxIter())
+            own = np.append(penalty, 0.0) if constant else penalty
+            found = minimise(blocks, n, own, self.getTol(), self.getMaxIter(), made)
         finally:
             blocks.unpersist()
         slopes = found[: len(mean)] / unit
@@ -59,33 +72,52 @@ class HingeMachine(LinearSVC):
         return model
 
 
-def _blocks(rows: DataFrame, centre: np.ndarray, unit: np.ndarray, used: np.ndarray, constant: bool) -> DataFrame:
-    """Packs of scaled rows, turned round where the label is 0: a row's margin is its product with the coefficients."""
-    width = len(centre) + constant
-    height = max(1, PACK // (8 * width))
+class Read:
+    """How rows lie in packs: ``held`` numbers each, of which ``made`` makes ``width``."""
+
+    def __init__(self, held: int, width: int = 0, made: Lift | None = None):
+        self.held, self.width, self.made = held, width or held, made
+
+
+def _turned(centre: np.ndarray, unit: np.ndarray, used: np.ndarray, constant: bool) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Scales rows and turns them round where the label is 0: a row's margin is its product with the coefficients."""
+
+    def turned(x: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        x = (x - centre) / unit * used
+        if constant:
+            x = np.column_stack([x, np.ones(len(x))])
+        return x * sign[:, None]
+
+    return turned
+
+
+def _blocks(rows: DataFrame, made: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Packs of what is made of rows and signs, -1 where the label is 0."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            x = (x - centre) / unit * used
-            if constant:
-                x = np.column_stack([x, np.ones(len(x))])
-            x = np.ascontiguousarray(x * np.where(batch.column(1).to_numpy() > 0, 1.0, -1.0)[:, None])
+            x = np.ascontiguousarray(made(x, np.where(batch.column(1).to_numpy() > 0, 1.0, -1.0)))
+            height = max(1, PACK // (8 * x.shape[1]))
             packs = [x[i : i + height].tobytes() for i in range(0, len(x), height)]
             yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], names=["rows"])
 
     return rows.select(vector_to_array("x").alias("x"), "y").mapInArrow(pack, "rows binary")
 
 
-def _sums(blocks: DataFrame, width: int, work: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+def _sums(blocks: DataFrame, read: Read, work: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """What ``work`` gives for rows, added up over all of them."""
+    held, made, step = read.held, read.made, max(1, SLICE // (8 * read.width))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, step = None, max(1, SLICE // (8 * width))
+        total = None
         for batch in batches:
-            rows = np.frombuffer(b"".join(batch.column(0).to_pylist())).reshape(-1, width)
+            rows = np.frombuffer(b"".join(batch.column(0).to_pylist())).reshape(-1, held)
             for i in range(0, len(rows), step):
-                got = work(rows[i : i + step])
+                own = rows[i : i + step]
+                got = work(own if made is None else made(own))
                 total = got if total is None else total + got
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
@@ -98,7 +130,15 @@ def _sums(blocks: DataFrame, width: int, work: Callable[[np.ndarray], np.ndarray
     return out
 
 
-def minimise(blocks: DataFrame, n: int, penalty: np.ndarray, tol: float, most: int) -> np.ndarray:
+def _moments(blocks: DataFrame, read: Read, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of what is read; a component that is the same everywhere has none."""
+    mean = _sums(blocks, read, lambda x: x.sum(axis=0)) / n
+    squares = _sums(blocks, read, lambda x: ((x - mean) ** 2).sum(axis=0))
+    std = np.sqrt(squares / max(1, n - 1))
+    return mean, np.where(std > 1e-12 * np.maximum(1e-300, np.abs(mean)), std, 0.0)
+
+
+def minimise(blocks: DataFrame, n: int, penalty: np.ndarray, tol: float, most: int, read: Read) -> np.ndarray:
     """The coefficients of least mean hinge and penalty."""
     width = len(penalty)
     upper = np.triu_indices(width)
@@ -118,7 +158,7 @@ def minimise(blocks: DataFrame, n: int, penalty: np.ndarray, tol: float, most: i
             above = (rows * (1 / (2 * far))[:, None]).T @ rows
             return np.concatenate([[(miss + far).sum() / 2], -rows.T @ ((1 + miss / far) / 2), own[upper], above[upper]])
 
-        got = _sums(blocks, width, bend)
+        got = _sums(blocks, read, bend)
         now = got[0] / n + (penalty * at * at).sum() / 2
         slope = got[1 : width + 1] / n + penalty * at
         own, above = (square(x) for x in np.split(got[width + 1 :], 2))
@@ -130,7 +170,7 @@ def minimise(blocks: DataFrame, n: int, penalty: np.ndarray, tol: float, most: i
             miss = 1 - rows @ tried.T
             return (miss + np.sqrt(miss * miss + eps * eps)).sum(axis=0) / 2
 
-        after = _sums(blocks, width, losses) / n + (penalty * tried * tried).sum(axis=1) / 2
+        after = _sums(blocks, read, losses) / n + (penalty * tried * tried).sum(axis=1) / 2
         best = int(after.argmin())
         gain = now - after[best]
         if gain > 0:

@@ -7,15 +7,19 @@ matrix product, done for Arrow batches of rows in numpy, and no row has to meet
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Estimator, Pipeline, Transformer
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorlens.operators.hinge import HingeMachine
+
 DRAWS = 200
 
 
@@ -40,19 +44,28 @@ class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         turns = rng.normal(size=(get("draws"), get("size"))) * np.sqrt(2 * get("gamma"))
         return turns, rng.uniform(0, 2 * np.pi, get("draws"))
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def lift(self) -> Callable[[np.ndarray], np.ndarray]:
+        """Makes the features of a block of rows; holds nothing of the session."""
         turns, offsets = self.weights()
         height = float(np.sqrt(2 / len(offsets)))
 
-        @F.arrow_udf("array<double>")
-        def lifted(own: pa.Array) -> pa.Array:
-            rows = own.flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1)
+        def lift(rows: np.ndarray) -> np.ndarray:
             # added up component by component, so that a row's figures do not depend on its batch
-            angles = np.zeros((len(own), len(offsets)))
+            angles = np.zeros((len(rows), len(offsets)))
             for i in range(rows.shape[1]):
                 angles += rows[:, i, None] * turns[:, i]
-            made = np.cos(angles + offsets) * height
-            ends = np.arange(0, made.size + 1, len(offsets), dtype=np.int32)
+            angles += offsets
+            return np.cos(angles, out=angles) * height
+
+        return lift
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        lift, draws = self.lift(), self.getOrDefault("draws")
+
+        @F.arrow_udf("array<double>")
+        def lifted(own: pa.Array) -> pa.Array:
+            made = lift(own.flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1))
+            ends = np.arange(0, made.size + 1, draws, dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))
 
         own = vector_to_array(self.getOrDefault("inputCol"))
@@ -62,7 +75,7 @@ class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable)
 class KernelMachine(Estimator):
     """A linear estimator fitted on Fourier features; without a ``gamma`` one over components times variance."""
 
-    def __init__(self, machine: Estimator, gamma: float | None = None, draws: int = DRAWS, seed: int = 42):
+    def __init__(self, machine: HingeMachine, gamma: float | None = None, draws: int = DRAWS, seed: int = 42):
         super().__init__()
         if gamma is not None and gamma <= 0:
             raise ValueError(f"gamma must be positive, got {gamma}")
@@ -88,5 +101,6 @@ class KernelMachine(Estimator):
             spread = dataset.select(F.explode(own).alias("x")).agg(F.var_pop("x")).first()[0]
             gamma = 1.0 / (size["n"] * spread) if spread else 1.0
         lifted = FourierFeatures(size["n"], gamma, self.draws, self.seed_)
-        machine = self.machine.copy({self.machine.featuresCol: "_fourier"})
-        return Pipeline(stages=[lifted, machine]).fit(dataset)
+        # the features of all rows would be draws over components times as large as the rows
+        fitted = self.machine.fit_lifted(dataset, lifted.lift(), self.draws)
+        return PipelineModel([lifted, fitted.copy({fitted.featuresCol: "_fourier"})])

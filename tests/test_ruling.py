@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from sensorlens.operators import families, kernel, model, profile, range_join
+from sensorlens.operators import families, hinge, kernel, model, profile, range_join
 
 
 def brute(values, rules):
@@ -179,6 +179,20 @@ def test_kernel_features_are_made_in_batches(spark):
     assert stage.transform(df.limit(0)).count() == 0
 
 
+def test_a_kernel_machine_keeps_rows_and_not_their_features(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 3))
+    df = spark.createDataFrame([(Vectors.dense(v), float(v @ v > 2.5)) for v in x], ["features", "label"]).repartition(2)
+    kept, minimise = [], hinge.minimise
+    monkeypatch.setattr(hinge, "minimise", lambda blocks, *a: (kept.append(blocks.agg(F.sum(F.length("rows"))).first()[0]), minimise(blocks, *a))[1])
+    made = kernel.KernelMachine(hinge.HingeMachine(regParam=0.01), 0.5, 50).fit(df)
+    assert kept == [400 * 4 * 8]  # three components and a sign, where 50 features and a constant were kept
+    lifted = kernel.FourierFeatures(3, 0.5, 50).transform(df)
+    plain = hinge.HingeMachine(regParam=0.01, featuresCol="_fourier").fit(lifted)
+    assert np.allclose(made.stages[1].coefficients.toArray(), plain.coefficients.toArray(), rtol=1e-4, atol=1e-4)
+    assert made.stages[1].intercept == pytest.approx(plain.intercept, abs=1e-4)
+
+
 @pytest.mark.parametrize("kind", ["norm", "t", "gamma"])
 def test_families_are_recovered(spark, kind):
     rng = np.random.default_rng(5)
